@@ -69,10 +69,10 @@ def write_raw_files(raw: DataFrame, path: str, events_per_file: int = EVENTS_PER
     return path
 
 
-def flatten_events(raw: DataFrame) -> DataFrame:
-    """Raw events -> the 15-column flat table of the feature path."""
+def flat_columns() -> list:
+    """P3 column expressions: raw event -> the 15 flat columns."""
     u = "userIdentity"
-    return raw.select(
+    return [
         F.col("eventID").alias("event_id"),
         C.parse_event_time("eventTime").alias("event_time"),
         F.col("eventSource").alias("event_source"),
@@ -88,7 +88,12 @@ def flatten_events(raw: DataFrame) -> DataFrame:
         F.col("errorMessage").alias("error_message"),
         F.col("is_anomaly").alias("is_anomaly_original"),
         F.col("anomaly_type").alias("anomaly_type_original"),
-    )
+    ]
+
+
+def flatten_events(raw: DataFrame) -> DataFrame:
+    """Raw events -> the 15-column flat table of the feature path."""
+    return raw.select(*flat_columns())
 
 
 def empty_flat(spark: SparkSession) -> DataFrame:
