@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from auditlake.functions import columns as C
@@ -54,6 +54,8 @@ def hour_key(time_col: str = "event_time"):
 class EventStats:
     table: DataFrame          # grouping-sets result, written to the checkpoint folder
     rows: dict                # set name -> exact row count
+    total_rows: int = 0       # rows of the input
+    timed_rows: int = 0       # rows of the input with a time
 
     # ---------------------------------------------------------- lookups
     def _set(self, name: str) -> DataFrame:
@@ -103,7 +105,10 @@ def event_stats(df: DataFrame, time_col: str = "event_time") -> EventStats:
         C.has_error("error_code", C.ERROR_PRESENT).alias("_ep"),
         C.has_error("error_code", C.ERROR_REFERENCE).alias("_er"),
     )
-    grouped = base.groupingSets([SETS[s] for s in SETS], *KEYS).agg(
+    counted = base.observe(
+        obs := Observation("event_rows"), F.count(F.lit(1)).alias("rows"),
+        F.count("_minute").alias("timed"))
+    grouped = counted.groupingSets([SETS[s] for s in SETS], *KEYS).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("_ep").alias("err_present"),
         F.count_if("_er").alias("err_reference"),
@@ -112,4 +117,5 @@ def event_stats(df: DataFrame, time_col: str = "event_time") -> EventStats:
     table, counts = materialize(grouped, "event_stats", **{
         name: F.count_if(F.col("_gid") == g) for name, g in GID.items()})
     rows = {name: int(counts.get(name) or 0) for name in GID}
-    return EventStats(table, rows)
+    seen = obs.get
+    return EventStats(table, rows, int(seen["rows"] or 0), int(seen["timed"] or 0))

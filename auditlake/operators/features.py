@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from auditlake.functions import columns as C
 from auditlake.functions import lists as L
 from auditlake.operators.event_stats import EventStats, hour_key, minute_key
-from auditlake.operators.lookup import attach, fits_broadcast, materialize
-from auditlake.operators.ordered import lag_over_unique
+from auditlake.operators.lookup import attach, fits_broadcast
+from auditlake.operators.ordered import lag_over_unique, range_cuts
 
 ROW_ID = "_rid"
 
@@ -96,7 +96,8 @@ def add_network_features(df: DataFrame, stats: EventStats) -> DataFrame:
 # ----------------------------------------------------------------- temporal
 def time_since_previous(df: DataFrame, time_col: str = "event_time",
                         tiebreak: list[str] | None = None,
-                        out: str = "time_since_prev_event") -> DataFrame:
+                        out: str = "time_since_prev_event",
+                        rows_bound: int | None = None) -> DataFrame:
     """Seconds since the previous event of the whole table, in order
     (time ASC, tiebreak ASC); first row and rows without a time get 0.
 
@@ -105,18 +106,22 @@ def time_since_previous(df: DataFrame, time_col: str = "event_time",
     one row per time (with the first tie-break), a range-bucketed lag runs over
     those unique times, and the per-time answer is joined back on the
     (time, tie-break) key, which is unique per event, so the join is even.
+    `rows_bound` (rows with a time, known exactly from the stats job when
+    given) bounds the per-time table for the broadcast decision.
     """
     tiebreak = tiebreak or ["event_id"]
-    keyed = df.where(F.col(time_col).isNotNull()).select(
-        F.col(time_col).alias("_t"), F.struct(*[F.col(c) for c in tiebreak]).alias("_tb"))
+    timed = df.where(F.col(time_col).isNotNull())
+    if rows_bound is None:
+        rows_bound = timed.count()
+    cuts = range_cuts(timed, time_col, rows=rows_bound)
+    keyed = timed.select(F.col(time_col).alias("_t"),
+                         F.struct(*[F.col(c) for c in tiebreak]).alias("_tb"))
     firsts = keyed.groupBy("_t").agg(F.min("_tb").alias("_first"))
-    chained = lag_over_unique(firsts, "_t", out="_tprev")
-    gaps, m = materialize(chained.select(
+    chained = lag_over_unique(firsts, "_t", out="_tprev", cuts=cuts)
+    gaps = chained.select(
         "_t", *[F.col(f"_first.{c}").alias(f"_f_{c}") for c in tiebreak],
-        F.coalesce(C.seconds_between("_t", "_tprev"), F.lit(0.0)).alias("_gap")),
-        "gaps", rows=F.count(F.lit(1)))
-    n = int(m["rows"] or 0)
-    right = F.broadcast(gaps) if fits_broadcast(df.sparkSession, gaps.schema, n) else gaps
+        F.coalesce(C.seconds_between("_t", "_tprev"), F.lit(0.0)).alias("_gap"))
+    right = F.broadcast(gaps) if fits_broadcast(df.sparkSession, gaps.schema, rows_bound) else gaps
     cond = F.col(time_col) == F.col("_t")
     for c in tiebreak:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_f_{c}"))
@@ -127,7 +132,7 @@ def time_since_previous(df: DataFrame, time_col: str = "event_time",
 
 def add_temporal_features(df: DataFrame, stats: EventStats, time_col: str = "event_time",
                           tiebreak: list[str] | None = None) -> DataFrame:
-    out = time_since_previous(df, time_col, tiebreak)
+    out = time_since_previous(df, time_col, tiebreak, rows_bound=stats.timed_rows)
     gap = F.col("time_since_prev_event")
     out = out.withColumn("is_rapid_event", C.flag((gap > 0) & (gap < 1)))
     out = out.withColumn("_minute", minute_key(time_col)).withColumn("_hour", hour_key(time_col))

@@ -39,35 +39,52 @@ def _order_value(df: DataFrame, key: str):
     return F.col(key).cast("double")
 
 
-def with_range_bucket(df: DataFrame, key: str, n_buckets: int | None = None,
-                      out: str = "_bkt") -> DataFrame:
-    """Add `out`: index of the quantile range holding `key` (monotone in key).
+SAMPLES_PER_BUCKET = 200
+
+
+def range_cuts(df: DataFrame, key: str, n_buckets: int | None = None,
+               rows: int | None = None) -> list[float]:
+    """Cut points splitting `key` into about equal-count ranges.
 
-    One aggregate pass computes the cut points (a list of at most
-    `n_buckets - 1` numbers, the only thing collected to the driver).
+    Computed from a hash sample of about SAMPLES_PER_BUCKET values per range
+    (the hash is of the key value, so equal keys are sampled together), so the
+    per-task sketches stay small at any table size. Only the cut list (at most
+    `n_buckets - 1` numbers) reaches the driver.
     """
     b = bucket_count(df, n_buckets)
+    if b <= 1:
+        return []
+    value = _order_value(df, key)
+    if rows is None:
+        rows = df.count()
+    rate = min(1.0, SAMPLES_PER_BUCKET * b / max(1, rows))
+    sampled = value if rate >= 1.0 else F.when(
+        F.pmod(F.xxhash64(value), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30))), value)
+    probs = [i / b for i in range(1, b)]
+    row = df.agg(F.percentile_approx(sampled, probs, max(10000, 20 * b)).alias("q")).first()
+    return sorted({float(q) for q in (row["q"] or []) if q is not None
+                   and not math.isinf(q) and not math.isnan(q)})
+
+
+def with_range_bucket(df: DataFrame, key: str, n_buckets: int | None = None,
+                      out: str = "_bkt", cuts: list[float] | None = None) -> DataFrame:
+    """Add `out`: index of the range holding `key` (monotone in key)."""
+    if cuts is None:
+        cuts = range_cuts(df, key, n_buckets)
+    splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
     with_val = df.withColumn("_ordv", _order_value(df, key))
-    splits = [-math.inf, math.inf]
-    if b > 1:
-        probs = [i / b for i in range(1, b)]
-        accuracy = max(10000, 20 * b)
-        row = with_val.agg(F.percentile_approx("_ordv", probs, accuracy).alias("q")).first()
-        cuts = sorted({float(q) for q in (row["q"] or []) if q is not None
-                       and not math.isinf(q) and not math.isnan(q)})
-        splits = [-math.inf] + cuts + [math.inf]
     bucketed = Bucketizer(splits=splits, inputCol="_ordv", outputCol="_bktd",
                           handleInvalid="keep").transform(with_val)
     return bucketed.withColumn(out, F.col("_bktd").cast("int")).drop("_ordv", "_bktd")
 
 
 def lag_over_unique(df: DataFrame, key: str, out: str = "_prev",
-                    n_buckets: int | None = None) -> DataFrame:
+                    n_buckets: int | None = None, cuts: list[float] | None = None) -> DataFrame:
     """Previous value of `key` in ascending global order; `key` unique, non-null."""
-    x = with_range_bucket(df, key, n_buckets)
+    b = with_range_bucket(df, key, n_buckets, cuts=cuts)
     local = Window.partitionBy("_bkt").orderBy(key)
-    x = x.withColumn("_local_prev", F.lag(key).over(local))
-    summary = x.groupBy("_bkt").agg(F.max(key).alias("_bmax"))
+    x = b.withColumn("_local_prev", F.lag(key).over(local))
+    summary = b.groupBy("_bkt").agg(F.max(key).alias("_bmax"))
     # one row per range: a bounded table
     summary = summary.withColumn("_bprev", F.lag("_bmax").over(Window.orderBy("_bkt")))
     x = x.join(F.broadcast(summary.select("_bkt", "_bprev")), "_bkt", "left")
@@ -82,12 +99,13 @@ def prefix_sums_over_unique(df: DataFrame, key: str, values: list[str],
 
     Exclusive by default: the sum over strictly smaller keys.
     """
-    x = with_range_bucket(df, key, n_buckets)
+    b = with_range_bucket(df, key, n_buckets)
     end = 0 if inclusive else -1
     local = Window.partitionBy("_bkt").orderBy(key).rowsBetween(Window.unboundedPreceding, end)
+    x = b
     for v in values:
         x = x.withColumn(f"_loc_{v}", F.coalesce(F.sum(v).over(local), F.lit(0)))
-    summary = x.groupBy("_bkt").agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
+    summary = b.groupBy("_bkt").agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
     before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     for v in values:
         summary = summary.withColumn(f"_off_{v}", F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)))
