@@ -64,22 +64,27 @@ def scaled_vector(names: list[str], scaler: dict, out: str = "features"):
 
 def detect(features: DataFrame, trees: int = L.FOREST_TREES, psi: int = L.FOREST_SAMPLE,
            seed: int = L.FOREST_SEED, contamination: float = L.CONTAMINATION) -> Detection:
-    X, names = PR.select_features(features)
-    aggs = [F.count(F.lit(1)).alias("n")]
+    names = [c for c in L.ML_FEATURES if c in features.columns]
+    # 1) write the feature table once; scaler statistics are observed in the same job
+    stats = {"n": F.count(F.lit(1))}
     for i, c in enumerate(names):
-        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
-    row = X.agg(*aggs).first()
-    n = int(row["n"])
+        stats[f"m{i}"] = F.avg(PR.clean(c))
+        stats[f"s{i}"] = F.stddev_pop(PR.clean(c))
+    table, row = materialize(features, "features", **stats)
+    n = int(row["n"] or 0)
     scaler = {c: (float(row[f"m{i}"] or 0.0), float(row[f"s{i}"] or 0.0)) for i, c in enumerate(names)}
     psi_eff = max(1, min(psi, n))
 
-    Xs = features.select("event_id", scaled_vector(names, scaler))
+    # 2) sample and grow the trees (bounded groups), collect the bounded node table
+    Xs = table.select("event_id", scaled_vector(names, scaler))
     nodes = train(sample_trees(Xs, n, trees, psi, seed), seed, psi_eff).toPandas()
     forest = Forest(nodes, psi_eff)
 
-    with_score = features.withColumn("_score_samples", forest.score_udf()(scaled_vector(names, scaler)))
+    # 3) score every row once, written; min and max observed in the same job
+    with_score = table.withColumn("_score_samples", forest.score_udf()(scaled_vector(names, scaler)))
     scored, m = materialize(with_score, "scored",
                             smin=F.min("_score_samples"), smax=F.max("_score_samples"))
+    # 4) the contamination quantile of the written scores (one column)
     st = EV.decision_stats(scored.select("_score_samples"), "_score_samples", contamination, n_rows=n)
     offset = float(st["offset"]) if st["offset"] is not None else 0.0
     dmin = None if m.get("smin") is None else float(m["smin"]) - offset
@@ -120,3 +125,47 @@ def summary_frame(spark: SparkSession, d: Detection, top: int = 10) -> DataFrame
     }
     import json
     return spark.read.json(spark.sparkContext.parallelize([json.dumps(row)]))
+
+
+# ------------------------------------------------------------------ D11-D13
+def one_class_svm(d: Detection, nu: float = L.CONTAMINATION, seed: int = L.FOREST_SEED,
+                  epochs: int = 6) -> tuple[DataFrame, object]:
+    """One-Class SVM (random Fourier features) on the detector's scaled
+    matrix; returns event_id, decision, prediction (1 = outlier)."""
+    from auditlake.ml.ocsvm import fit
+    X = d.matrix()
+    model = fit(X, len(d.names), d.n_rows, nu=nu, seed=seed, epochs=epochs)
+    dec = model.raw_udf()(F.col("features")) - F.lit(model.rho)
+    out = X.select("event_id", dec.alias("ocsvm_decision"))
+    return out.withColumn("ocsvm_prediction", EV.flag("ocsvm_decision", 0.0)), model
+
+
+def consensus(d: Detection, nu: float = L.CONTAMINATION, seed: int = L.FOREST_SEED) -> DataFrame:
+    """Flag only what both models flag (one projection of the scored table,
+    no join between the two models' outputs)."""
+    from auditlake.ml.ocsvm import fit
+    model = fit(d.matrix(), len(d.names), d.n_rows, nu=nu, seed=seed)
+    oc = model.raw_udf()(scaled_vector(d.names, d.scaler)) - F.lit(model.rho)
+    both = d.predictions.select("event_id", EV.flag("_decision", 0.0).alias("forest_prediction"),
+                                F.when(oc < 0, 1).otherwise(0).alias("ocsvm_prediction"))
+    return both.withColumn("consensus_prediction",
+                           (F.col("forest_prediction") * F.col("ocsvm_prediction")).cast("int"))
+
+
+def holdout_metrics(features: DataFrame, test_share: float = 0.2, seed: int = L.FOREST_SEED,
+                    trees: int = L.FOREST_TREES) -> DataFrame:
+    """Fit on a hash split of the events, evaluate on the held-out rest."""
+    is_test = F.pmod(F.xxhash64("event_id", F.lit(seed)), F.lit(1000)) < F.lit(int(test_share * 1000))
+    d = detect(features.where(~is_test), trees=trees, seed=seed)
+    test = features.where(is_test)
+    y = PR.ground_truth(test)
+    s = d.forest.score_udf()(scaled_vector(d.names, d.scaler))
+    scored, m = materialize(test.select((y if y is not None else F.lit(0)).alias("y"), s.alias("_s")),
+                            "holdout", n=F.count(F.lit(1)))
+    scored = scored.select("y", F.when(F.col("_s") < F.lit(d.offset), 1).otherwise(0).alias("pred"),
+                           (-F.col("_s")).alias("anomaly_score"))
+    metrics = EV.metrics_from_confusion(EV.confusion(scored, "y", "pred"))
+    auc = EV.roc_auc(scored, "y", "anomaly_score").first()["roc_auc"]
+    return metrics.select("*", F.lit(auc).alias("roc_auc"),
+                          F.lit(d.n_rows).cast("bigint").alias("n_train"),
+                          F.lit(int(m["n"] or 0)).cast("bigint").alias("n_test"))

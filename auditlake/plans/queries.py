@@ -21,7 +21,7 @@ from auditlake.operators import features as FT
 from auditlake.operators import summaries as SM
 from auditlake.operators import threats as TH
 from auditlake.operators.event_stats import event_stats
-from auditlake.operators.lookup import attach
+from auditlake.operators.lookup import attach, materialize
 from auditlake.operators.parse import parse_events
 from auditlake.plans import catalog as CAT
 from auditlake.plans import detection as DET
@@ -76,9 +76,10 @@ def features(spark: SparkSession, sf: str, semantics: str = C.ERROR_PRESENT) ->
 def rule_scored(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
     """Features with a deterministic decision column (-risk_score_normalized,
     higher = more normal) for exact checks of the detector's operators."""
-    f = features(spark, sf).withColumn("_decision", -F.col("risk_score_normalized"))
-    st = EV.decision_stats(f, "_decision", L.CONTAMINATION, exact=True)
-    return f, st
+    f, m = materialize(features(spark, sf).withColumn("_decision", -F.col("risk_score_normalized")),
+                       "rule-scored", dmin=F.min("_decision"), dmax=F.max("_decision"))
+    st = EV.decision_stats(f.select("_decision"), "_decision", L.CONTAMINATION, exact=True)
+    return f, {**st, "dmin": m["dmin"], "dmax": m["dmax"]}
 
 
 def rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,7 +185,11 @@ def q_ml_ground_truth(s, sf):
 
 def q_ml_scale(s, sf):
     X, names = PR.select_features(features(s, sf))
-    st = PR.scaler_stats(X, names)
+    aggs = {}
+    for i, c in enumerate(names):
+        aggs[f"m{i}"], aggs[f"s{i}"] = F.avg(c), F.stddev_pop(c)
+    X, row = materialize(X, "ml-matrix", **aggs)      # statistics observed while writing
+    st = {c: (float(row[f"m{i}"] or 0.0), float(row[f"s{i}"] or 0.0)) for i, c in enumerate(names)}
     sc = PR.scale(X, names, st)
     return sc.select("event_id", *[F.round(c, 6).alias(c) for c in names])
 
@@ -263,6 +268,18 @@ def q_detection_summary(s, sf):
     return DET.summary_frame(s, _detect(s, sf))
 
 
+def q_ml_ocsvm(s, sf):
+    return DET.one_class_svm(_detect(s, sf))[0]
+
+
+def q_ml_consensus(s, sf):
+    return DET.consensus(_detect(s, sf))
+
+
+def q_ml_holdout_metrics(s, sf):
+    return DET.holdout_metrics(features(s, sf))
+
+
 # --------------------------------------------------------------- threats
 def q_join_threat_feed(s, sf):
     fl = flat(s, sf)
@@ -406,6 +423,9 @@ def registry() -> dict[str, Query]:
     q["ml_permutation_importance"] = q_ml_permutation_importance
     q["model_roundtrip"] = q_model_roundtrip
     q["detection_summary"] = q_detection_summary
+    q["ml_ocsvm"] = q_ml_ocsvm
+    q["ml_consensus"] = q_ml_consensus
+    q["ml_holdout_metrics"] = q_ml_holdout_metrics
     # threats
     q["threat_privilege_escalation"] = lambda s, sf: TH.privilege_escalation(flat(s, sf))
     q["threat_unusual_access"] = lambda s, sf: TH.unusual_access(
