@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from auditlake.functions import columns as C
 from auditlake.functions import lists as L
 from auditlake.operators.event_stats import EventStats, hour_key, minute_key
-from auditlake.operators.lookup import attach, fits_broadcast
+from auditlake.operators.lookup import attach, broadcast_or_shuffle
 from auditlake.operators.ordered import lag_over_unique, range_cuts
 
 ROW_ID = "_rid"
@@ -121,7 +121,7 @@ def time_since_previous(df: DataFrame, time_col: str = "event_time",
     gaps = chained.select(
         "_t", *[F.col(f"_first.{c}").alias(f"_f_{c}") for c in tiebreak],
         F.coalesce(C.seconds_between("_t", "_tprev"), F.lit(0.0)).alias("_gap"))
-    right = F.broadcast(gaps) if fits_broadcast(df.sparkSession, gaps.schema, rows_bound) else gaps
+    right = broadcast_or_shuffle(gaps, rows_bound)
     cond = F.col(time_col) == F.col("_t")
     for c in tiebreak:
         cond = cond & F.col(c).eqNullSafe(F.col(f"_f_{c}"))

@@ -56,6 +56,15 @@ def fits_broadcast(spark: SparkSession, schema: T.StructType, rows_bound: int) -
     return budget >= 0 and rows_bound * estimated_row_bytes(schema) <= budget
 
 
+def broadcast_or_shuffle(lookup: DataFrame, rows_bound: int) -> DataFrame:
+    """Broadcast hint under the proven bound; otherwise an explicit shuffled
+    hash join hint, so the planner does not broadcast on its own (possibly
+    compressed-size) estimate. AQE still splits skewed partitions."""
+    if fits_broadcast(lookup.sparkSession, lookup.schema, rows_bound):
+        return F.broadcast(lookup)
+    return lookup.hint("shuffle_hash")
+
+
 def attach(df: DataFrame, lookup: DataFrame, rows_bound: int, keys: list[str],
            null_safe: tuple[str, ...] = ()) -> DataFrame:
     """Left-join `lookup` onto `df` on equal `keys`.
@@ -67,8 +76,7 @@ def attach(df: DataFrame, lookup: DataFrame, rows_bound: int, keys: list[str],
     renamed = lookup
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__lk_{k}")
-    if fits_broadcast(spark, lookup.schema, rows_bound):
-        renamed = F.broadcast(renamed)
+    renamed = broadcast_or_shuffle(renamed, rows_bound)
     cond: Column | None = None
     for k in keys:
         c = (F.col(k).eqNullSafe(F.col(f"__lk_{k}")) if k in null_safe

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from auditlake.functions import columns as C
 from auditlake.operators import features as FT
 from auditlake.operators.event_stats import EventStats
-from auditlake.operators.lookup import fits_broadcast
+from auditlake.operators.lookup import broadcast_or_shuffle
 from auditlake.operators.parse import parser_level, parser_points
 from auditlake.schema import RAW_FILE
 from auditlake.session import scratch_path
@@ -76,8 +76,7 @@ def enrich_with_baselines(stream: DataFrame, stats: EventStats) -> DataFrame:
     out = stream
     for lk, bound, key in ((*stats.users(), "user_name"), (*stats.event_names(), "event_name"),
                            (*stats.ips(), "source_ip")):
-        right = F.broadcast(lk) if fits_broadcast(stream.sparkSession, lk.schema, bound) else lk
-        out = out.join(right, key, "left")
+        out = out.join(broadcast_or_shuffle(lk, bound), key, "left")
     return out
 
 
