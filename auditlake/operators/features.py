@@ -30,17 +30,20 @@ def with_row_id(df: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- time
 def add_time_features(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     t = F.col(time_col)
-    return (df
-            .withColumn("hour", F.hour(t))
-            .withColumn("day_of_week", F.weekday(t))
-            .withColumn("day_of_month", F.dayofmonth(t))
-            .withColumn("month", F.month(t))
-            .withColumn("minute", F.minute(t))
-            .withColumn("is_business_hours", C.flag(C.is_business_hours("hour")))
-            .withColumn("is_weekend", C.flag(C.is_weekend("day_of_week")))
-            .withColumn("is_late_night", C.flag(C.is_late_night("hour")))
-            .withColumn("time_period", C.time_period("hour"))
-            .withColumn("time_period_encoded", C.time_period_code("time_period")))
+    hour, dow = F.hour(t), F.weekday(t)
+    period = C.time_period(hour)
+    return df.withColumns({
+        "hour": hour,
+        "day_of_week": dow,
+        "day_of_month": F.dayofmonth(t),
+        "month": F.month(t),
+        "minute": F.minute(t),
+        "is_business_hours": C.flag(C.is_business_hours(hour)),
+        "is_weekend": C.flag(C.is_weekend(dow)),
+        "is_late_night": C.flag(C.is_late_night(hour)),
+        "time_period": period,
+        "time_period_encoded": C.time_period_code(period),
+    })
 
 
 # --------------------------------------------------------------------- user
@@ -49,22 +52,25 @@ def add_user_features(df: DataFrame, stats: EventStats,
     lk, bound = stats.users(semantics)
     out = attach(df, lk, bound, ["user_name"])
     total = F.col("user_total_events")
-    return (out
-            .withColumn("user_error_rate", F.col("user_error_count") / total)
-            .withColumn("is_new_user", C.flag(total < L.NEW_USER_BELOW))
-            .withColumn("user_activity_diversity", F.col("user_unique_event_types") / total))
+    return out.withColumns({
+        "user_error_rate": F.col("user_error_count") / total,
+        "is_new_user": C.flag(total < L.NEW_USER_BELOW),
+        "user_activity_diversity": F.col("user_unique_event_types") / total,
+    })
 
 
 # -------------------------------------------------------------------- event
 def add_event_flags(df: DataFrame, semantics: str = C.ERROR_PRESENT) -> DataFrame:
-    return (df
-            .withColumn("is_sensitive_action", C.flag(C.in_list("event_name", L.FEATURE_SENSITIVE_ACTIONS)))
-            .withColumn("is_recon_action", C.flag(C.in_list("event_name", L.RECON_ACTIONS)))
-            .withColumn("is_data_access", C.flag(C.in_list("event_name", L.DATA_ACCESS_ACTIONS)))
-            .withColumn("has_error", C.flag(C.has_error("error_code", semantics)))
-            .withColumn("is_access_denied", C.flag(C.is_access_denied("error_code")))
-            .withColumn("service_category", C.service_category("event_source"))
-            .withColumn("service_category_encoded", C.service_category_code("service_category")))
+    category = C.service_category("event_source")
+    return df.withColumns({
+        "is_sensitive_action": C.flag(C.in_list("event_name", L.FEATURE_SENSITIVE_ACTIONS)),
+        "is_recon_action": C.flag(C.in_list("event_name", L.RECON_ACTIONS)),
+        "is_data_access": C.flag(C.in_list("event_name", L.DATA_ACCESS_ACTIONS)),
+        "has_error": C.flag(C.has_error("error_code", semantics)),
+        "is_access_denied": C.flag(C.is_access_denied("error_code")),
+        "service_category": category,
+        "service_category_encoded": C.service_category_code(category),
+    })
 
 
 def add_event_features(df: DataFrame, stats: EventStats,
@@ -77,20 +83,22 @@ def add_event_features(df: DataFrame, stats: EventStats,
 
 # ------------------------------------------------------------------ network
 def add_network_flags(df: DataFrame) -> DataFrame:
-    return (df
-            .withColumn("is_suspicious_ip", C.flag(C.in_list("source_ip", L.SUSPICIOUS_IPS)))
-            .withColumn("is_internal_ip", C.flag(C.is_internal_ip("source_ip")))
-            .withColumn("is_aws_internal", C.flag(C.is_aws_internal("source_ip"))))
+    return df.withColumns({
+        "is_suspicious_ip": C.flag(C.in_list("source_ip", L.SUSPICIOUS_IPS)),
+        "is_internal_ip": C.flag(C.is_internal_ip("source_ip")),
+        "is_aws_internal": C.flag(C.is_aws_internal("source_ip")),
+    })
 
 
 def add_network_features(df: DataFrame, stats: EventStats) -> DataFrame:
     out = add_network_flags(df)
     lk, bound = stats.ips()
     out = attach(out, lk, bound, ["source_ip"])
-    return (out
-            .withColumn("is_shared_ip", C.flag(F.col("ip_unique_users") > 1))
-            .withColumn("is_suspicious_user_agent", C.flag(C.is_suspicious_user_agent("user_agent")))
-            .withColumn("is_console_access", C.flag(C.is_console_access("user_agent"))))
+    return out.withColumns({
+        "is_shared_ip": C.flag(F.col("ip_unique_users") > 1),
+        "is_suspicious_user_agent": C.flag(C.is_suspicious_user_agent("user_agent")),
+        "is_console_access": C.flag(C.is_console_access("user_agent")),
+    })
 
 
 # ----------------------------------------------------------------- temporal
@@ -134,16 +142,16 @@ def add_temporal_features(df: DataFrame, stats: EventStats, time_col: str = "eve
                           tiebreak: list[str] | None = None) -> DataFrame:
     out = time_since_previous(df, time_col, tiebreak, rows_bound=stats.timed_rows)
     gap = F.col("time_since_prev_event")
-    out = out.withColumn("is_rapid_event", C.flag((gap > 0) & (gap < 1)))
-    out = out.withColumn("_minute", minute_key(time_col)).withColumn("_hour", hour_key(time_col))
+    out = out.withColumns({"is_rapid_event": C.flag((gap > 0) & (gap < 1)),
+                           "_minute": minute_key(time_col), "_hour": hour_key(time_col)})
     lk, bound = stats.minutes()
     out = attach(out, lk, bound, ["_minute"])
-    out = out.withColumn("is_burst_activity", C.flag(F.col("events_this_minute") > L.BURST_ABOVE))
     lk, bound = stats.user_hours()
     out = attach(out, lk, bound, ["_hour", "user_name"], null_safe=("_hour",))
-    out = out.withColumn("is_unusual_user_activity",
-                         C.flag(F.col("user_events_this_hour") > L.UNUSUAL_USER_HOUR_ABOVE))
-    return out.drop("_minute", "_hour")
+    return out.withColumns({
+        "is_burst_activity": C.flag(F.col("events_this_minute") > L.BURST_ABOVE),
+        "is_unusual_user_activity": C.flag(F.col("user_events_this_hour") > L.UNUSUAL_USER_HOUR_ABOVE),
+    }).drop("_minute", "_hour")
 
 
 # --------------------------------------------------------------------- risk
@@ -156,9 +164,12 @@ def risk_score_expr():
 
 
 def add_risk(df: DataFrame) -> DataFrame:
-    return (df
-            .withColumn("risk_score", risk_score_expr().cast("int"))
-            .withColumn("risk_score_normalized",
-                        F.round(F.col("risk_score") / F.lit(float(L.RISK_MAX_SCORE)) * 100, 2))
-            .withColumn("risk_level", C.risk_level_from_normalized("risk_score_normalized"))
-            .withColumn("risk_level_encoded", C.level_code("risk_level", L.RISK_LEVEL_CODES)))
+    score = risk_score_expr().cast("int")
+    norm = F.round(score / F.lit(float(L.RISK_MAX_SCORE)) * 100, 2)
+    level = C.risk_level_from_normalized(norm)
+    return df.withColumns({
+        "risk_score": score,
+        "risk_score_normalized": norm,
+        "risk_level": level,
+        "risk_level_encoded": C.level_code(level, L.RISK_LEVEL_CODES),
+    })

@@ -72,10 +72,8 @@ def attach(df: DataFrame, lookup: DataFrame, rows_bound: int, keys: list[str],
     Key columns named in `null_safe` match null to null (`<=>`). Lookup key
     columns are dropped from the result; its other columns are added.
     """
-    spark = df.sparkSession
-    renamed = lookup
-    for k in keys:
-        renamed = renamed.withColumnRenamed(k, f"__lk_{k}")
+    renamed = lookup.select(*[F.col(c).alias(f"__lk_{c}") if c in keys else F.col(c)
+                              for c in lookup.columns])
     renamed = broadcast_or_shuffle(renamed, rows_bound)
     cond: Column | None = None
     for k in keys:

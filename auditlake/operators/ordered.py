@@ -71,6 +71,8 @@ def with_range_bucket(df: DataFrame, key: str, n_buckets: int | None = None,
     """Add `out`: index of the range holding `key` (monotone in key)."""
     if cuts is None:
         cuts = range_cuts(df, key, n_buckets)
+    if not cuts:                       # a single range
+        return df.withColumn(out, F.lit(0))
     splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
     with_val = df.withColumn("_ordv", _order_value(df, key))
     bucketed = Bucketizer(splits=splits, inputCol="_ordv", outputCol="_bktd",

@@ -16,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # no Python call-site capture on every DataFrame/Column call (plan-building cost)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

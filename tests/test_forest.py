@@ -58,3 +58,19 @@ def test_detection_flags_contamination_share(spark):
     assert sc[0] == 0.0 and sc[1] == 100.0
     ev = d.evaluation().first()
     assert ev["true_positives"] + ev["false_positives"] == flagged
+
+
+def test_one_class_svm_consensus_and_holdout(spark):
+    f = build_features(trail(spark, SF001))
+    d = DET.detect(f, trees=30)
+    oc, model = DET.one_class_svm(d, epochs=3)
+    n = oc.count()
+    flagged = oc.where(F.col("ocsvm_prediction") == 1).count()
+    assert n == d.n_rows
+    assert abs(flagged - 0.1 * n) <= 0.03 * n          # offset set at the nu-quantile
+    cons = DET.consensus(d).collect()
+    assert all(r["consensus_prediction"] == r["forest_prediction"] * r["ocsvm_prediction"] for r in cons)
+    h = DET.holdout_metrics(f, trees=30).first()
+    assert h["n_train"] + h["n_test"] == f.count()
+    assert h["true_positives"] + h["true_negatives"] + h["false_positives"] + h["false_negatives"] == h["n_test"]
+    assert 0.0 <= h["roc_auc"] <= 1.0
