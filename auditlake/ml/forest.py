@@ -64,13 +64,12 @@ def sample_trees(X: DataFrame, n_rows: int, trees: int = L.FOREST_TREES,
     p_any = min(1.0, trees * r)                              # chance a row is used at all
     cond_rate = r / p_any
     pre = X.where(_unit_hash(F.col(key), F.lit(seed)) < F.lit(p_any)) if p_any < 1.0 else X
-    tree_hash = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.struct(t.alias("tree_id"),
-                           _unit_hash(F.col(key), t, F.lit(seed)).alias("h")))
-    picked = F.filter(tree_hash, lambda s: s["h"] < F.lit(cond_rate)) if cond_rate < 1.0 else tree_hash
-    exploded = pre.select("*", F.explode(picked).alias("_s")).select(
-        F.col("_s.tree_id").alias("tree_id"), F.col("_s.h").alias("_h"), *X.columns)
+    # kept rows x trees is at most ~3 psi trees^2 rows whatever the table size;
+    # explode + filter stay inside whole-stage codegen
+    exploded = (pre.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"), *X.columns)
+                .withColumn("_h", _unit_hash(F.col(key), F.col("tree_id"), F.lit(seed))))
+    if cond_rate < 1.0:
+        exploded = exploded.where(F.col("_h") < F.lit(cond_rate))
     rank = F.row_number().over(Window.partitionBy("tree_id").orderBy("_h", key))
     return exploded.withColumn("_rk", rank).where(F.col("_rk") <= psi_eff).drop("_rk", "_h")
 

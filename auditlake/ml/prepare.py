@@ -31,13 +31,14 @@ def ground_truth(df: DataFrame, label: str = "is_anomaly_original") -> Column |
 
 
 def scaler_stats(X: DataFrame, names: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population std per column, from a single aggregate pass (one
-    row of 2 x #features numbers reaches the driver)."""
-    aggs = []
-    for i, c in enumerate(names):
-        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
-    row = X.agg(*aggs).first()
-    return {c: (float(row[f"m{i}"] or 0.0), float(row[f"s{i}"] or 0.0)) for i, c in enumerate(names)}
+    """Mean and population std per column in one pass: the columns are
+    unpivoted (`stack`) and grouped by name, so the plan holds two aggregates
+    instead of two per column; one row per feature reaches the driver."""
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in names)
+    long = X.select(*names).selectExpr(f"stack({len(names)}, {pairs}) AS (feature, v)")
+    rows = long.groupBy("feature").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect()
+    got = {r["feature"]: (float(r["m"] or 0.0), float(r["s"] or 0.0)) for r in rows}
+    return {c: got.get(c, (0.0, 0.0)) for c in names}
 
 
 def scale(X: DataFrame, names: list[str], stats: dict[str, tuple[float, float]]) -> DataFrame:

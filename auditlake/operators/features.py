@@ -27,6 +27,17 @@ def with_row_id(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
+def spread_narrow_input(df: DataFrame, min_share: float = 0.5) -> DataFrame:
+    """Round-robin the rows over the cluster's parallelism when the scan came
+    out in fewer than `min_share` of it (one small file, one row group). A large
+    input is already split by the scan and is returned untouched, so this never
+    adds a shuffle of a big table. Call it after `with_row_id`."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < max(1, int(target * min_share)):
+        return df.repartition(target)
+    return df
+
+
 # --------------------------------------------------------------------- time
 def add_time_features(df: DataFrame, time_col: str = "event_time") -> DataFrame:
     t = F.col(time_col)

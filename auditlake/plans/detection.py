@@ -65,14 +65,11 @@ def scaled_vector(names: list[str], scaler: dict, out: str = "features"):
 def detect(features: DataFrame, trees: int = L.FOREST_TREES, psi: int = L.FOREST_SAMPLE,
            seed: int = L.FOREST_SEED, contamination: float = L.CONTAMINATION) -> Detection:
     names = [c for c in L.ML_FEATURES if c in features.columns]
-    # 1) write the feature table once; scaler statistics are observed in the same job
-    stats = {"n": F.count(F.lit(1))}
-    for i, c in enumerate(names):
-        stats[f"m{i}"] = F.avg(PR.clean(c))
-        stats[f"s{i}"] = F.stddev_pop(PR.clean(c))
-    table, row = materialize(features, "features", **stats)
+    # 1) write the feature table once (row count observed), then one pass over
+    #    the cleaned model columns of the written table for the scaler statistics
+    table, row = materialize(features, "features", n=F.count(F.lit(1)))
     n = int(row["n"] or 0)
-    scaler = {c: (float(row[f"m{i}"] or 0.0), float(row[f"s{i}"] or 0.0)) for i, c in enumerate(names)}
+    scaler = PR.scaler_stats(table.select(*[PR.clean(c).alias(c) for c in names]), names)
     psi_eff = max(1, min(psi, n))
 
     # 2) sample and grow the trees (bounded groups), collect the bounded node table

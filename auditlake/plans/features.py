@@ -14,7 +14,7 @@ from auditlake.schema import FEATURE_COLUMNS
 def build_features(flat: DataFrame, semantics: str = C.ERROR_PRESENT,
                    stats: EventStats | None = None) -> DataFrame:
     """Flat 15-column events -> 59 feature columns in the reference order."""
-    df = FT.with_row_id(flat)
+    df = FT.spread_narrow_input(FT.with_row_id(flat))
     stats = stats or event_stats(df)
     df = FT.add_time_features(df)
     df = FT.add_user_features(df, stats, semantics)

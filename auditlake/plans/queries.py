@@ -185,11 +185,8 @@ def q_ml_ground_truth(s, sf):
 
 def q_ml_scale(s, sf):
     X, names = PR.select_features(features(s, sf))
-    aggs = {}
-    for i, c in enumerate(names):
-        aggs[f"m{i}"], aggs[f"s{i}"] = F.avg(c), F.stddev_pop(c)
-    X, row = materialize(X, "ml-matrix", **aggs)      # statistics observed while writing
-    st = {c: (float(row[f"m{i}"] or 0.0), float(row[f"s{i}"] or 0.0)) for i, c in enumerate(names)}
+    X, _ = materialize(X, "ml-matrix")          # computed once, read by both passes
+    st = PR.scaler_stats(X, names)
     sc = PR.scale(X, names, st)
     return sc.select("event_id", *[F.round(c, 6).alias(c) for c in names])
 
