@@ -1,8 +1,9 @@
 """Threat rules described for the dashboard (D1-D7), as batch Spark jobs.
 
 The rules work on the feature table (or the flat table where noted). Group
-work is partial-aggregated before any shuffle; per-user rolling windows are cut
-by hour buckets so one window partition holds one user's two hours at most.
+work is partial-aggregated before any shuffle; the per-user rolling count is a
+difference of running counts over (user, time range) partitions whose ranges
+follow the data, so no user or hour can gather in one task.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from auditlake.functions import columns as C
 from auditlake.functions import lists as L
 from auditlake.operators.lookup import attach, materialize
+from auditlake.operators.ordered import with_range_bucket
 
 HOUR_US = 3_600_000_000
 
@@ -75,23 +77,44 @@ def exfiltration(df: DataFrame, action: str = "GetObject", k: float = 3.0) -> Da
 def user_events_last_hour(df: DataFrame) -> DataFrame:
     """Events of the same user in the closed hour [t - 1h, t] (ties included).
 
-    Every event is placed in its own hour bucket and copied into the next one;
-    a range window over (user, bucket) then sees exactly the previous hour, and
-    only the own-bucket rows are kept. Null user or time -> null.
+    count(u, t) = P(u, t) - P(u, < t - 1h), P being the user's running count.
+    Equal (user, time) pairs first collapse into one weighted key (a partial
+    aggregate). Every key also emits a probe at t - 1h. Keys and probes are cut
+    into (user, time range) partitions whose ranges come from quantiles of all
+    key and probe times, so a user holding a third of the rows, even within one
+    hour, is spread over many ranges. A range-local running sum plus the user's
+    total in earlier ranges (one row per user and range) gives P at every key
+    and probe; probes meet their key on the unique (user, time) pair, and the
+    per-key count joins back onto the events. Null user or time -> null.
     """
     base = df.select("event_id", "user_name", F.unix_micros("event_time").alias("_us"))
-    valid = base.where(F.col("user_name").isNotNull() & F.col("_us").isNotNull())
-    bucket = F.floor(F.col("_us") / F.lit(HOUR_US))
-    own = valid.withColumn("_b", bucket).withColumn("_own", F.lit(True))
-    nxt = valid.withColumn("_b", bucket + 1).withColumn("_own", F.lit(False))
-    w = (Window.partitionBy("user_name", "_b").orderBy("_us")
-         .rangeBetween(-HOUR_US, 0))
-    counted = (own.unionByName(nxt)
-               .withColumn("user_events_last_hour", F.count(F.lit(1)).over(w))
-               .where("_own").select("event_id", "user_events_last_hour"))
-    missing = base.where(F.col("user_name").isNull() | F.col("_us").isNull()).select(
-        "event_id", F.lit(None).cast("bigint").alias("user_events_last_hour"))
-    return counted.unionByName(missing)
+    keys = (base.where(F.col("user_name").isNotNull() & F.col("_us").isNotNull())
+            .groupBy("user_name", "_us").agg(F.count(F.lit(1)).alias("_w")))
+    points = keys.select("user_name", "_us", F.col("_us").alias("_t0"), "_w", F.lit(True).alias("_key")) \
+        .unionByName(keys.select("user_name", (F.col("_us") - F.lit(HOUR_US)).alias("_us"),
+                                 F.col("_us").alias("_t0"), F.lit(0).cast("bigint").alias("_w"),
+                                 F.lit(False).alias("_key")))
+    points = with_range_bucket(points, "_us")
+    w = Window.partitionBy("user_name", "_bkt").orderBy("_us")
+    upto = w.rangeBetween(Window.unboundedPreceding, 0)          # t_e <= t
+    before = w.rangeBetween(Window.unboundedPreceding, -1)       # t_e <  t
+    local = points.withColumn("_loc", F.when(F.col("_key"), F.sum("_w").over(upto))
+                                       .otherwise(F.coalesce(F.sum("_w").over(before), F.lit(0))))
+    per_range = (points.groupBy("user_name", "_bkt").agg(F.sum("_w").alias("_n"))
+                 .withColumn("_off", F.coalesce(F.sum("_n").over(
+                     Window.partitionBy("user_name").orderBy("_bkt")
+                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                 .select("user_name", "_bkt", "_off"))
+    prefix = local.join(per_range, ["user_name", "_bkt"], "left").withColumn(
+        "_p", F.col("_loc") + F.col("_off"))
+    now = prefix.where("_key").select("user_name", "_t0", F.col("_p").alias("_p_now"))
+    then = prefix.where(~F.col("_key")).select("user_name", "_t0", F.col("_p").alias("_p_before"))
+    per_key = now.join(then, ["user_name", "_t0"]).select(
+        "user_name", F.col("_t0").alias("_us"),
+        (F.col("_p_now") - F.col("_p_before")).cast("bigint").alias("user_events_last_hour"))
+    # per_key has unique (user, time) keys; hot keys on the event side are split by AQE
+    out = base.join(per_key, ["user_name", "_us"], "left")
+    return out.select("event_id", "user_events_last_hour")
 
 
 def ip_first_seen(df: DataFrame) -> DataFrame:

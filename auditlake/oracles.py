@@ -298,6 +298,12 @@ SELECT 'raw' AS zone, COUNT(*) AS rows FROM trail UNION ALL SELECT 'processed' A
   MIN(event_time) AS date_start, MAX(event_time) AS date_end,
   CAST(SUM(is_sensitive_action) AS BIGINT) AS sensitive_action_count,
   CAST(SUM(is_suspicious_ip) AS BIGINT) AS suspicious_ip_count,
+  CAST(SUM(has_error) AS BIGINT) AS error_count FROM feat""")
+    o["sink_feature_summary"] = with_features("""SELECT COUNT(*) AS total_events, 59 AS total_features,
+  59 AS n_feature_names,
+  CASE WHEN COUNT(*) FILTER (WHERE risk_level = 'low') > 0 THEN COUNT(*) FILTER (WHERE risk_level = 'low') END AS risk_low,
+  CASE WHEN COUNT(*) FILTER (WHERE risk_level = 'medium') > 0 THEN COUNT(*) FILTER (WHERE risk_level = 'medium') END AS risk_medium,
+  COUNT(DISTINCT user_name) AS unique_users, COUNT(DISTINCT source_ip) AS unique_ips,
   CAST(SUM(has_error) AS BIGINT) AS error_count FROM feat""")
     # ---- per-event features
     for key, col in [("time_hour", "hour"), ("time_day_of_week", "day_of_week"),
@@ -445,6 +451,12 @@ t AS (SELECT date_trunc('second', event_time) AS ts FROM trail WHERE event_time
 wm AS (SELECT MAX(ts) - INTERVAL 10 MINUTE AS w FROM t)
 SELECT date_trunc('minute', ts) AS minute_start, COUNT(*) AS events_this_minute FROM t, wm
 WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= wm.w GROUP BY 1"""
+    o["stream_user_hour_counts"] = f"""WITH trail AS ({TRAIL}),
+t AS (SELECT date_trunc('second', event_time) AS ts, COALESCE(user_name, 'Unknown') AS user_name
+      FROM trail WHERE event_time IS NOT NULL),
+wm AS (SELECT MAX(ts) - INTERVAL 10 MINUTE AS w FROM t)
+SELECT date_trunc('hour', ts) AS hour_start, user_name, COUNT(*) AS user_events_this_hour FROM t, wm
+WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= wm.w GROUP BY 1, 2"""
     o["alerts_high_severity"] = with_parsed(
         "SELECT DISTINCT event_id, risk_level AS parser_risk_level FROM p WHERE risk_level IN ('high', 'critical')")
     o["baseline_tables"] = with_features("""SELECT event_id, user_total_events, event_type_frequency, ip_event_count

@@ -172,6 +172,17 @@ def q_feature_summary(s, sf):
     return SM.feature_summary(features(s, sf))
 
 
+def q_sink_feature_summary(s, sf):
+    """K4: the nested summary document written as JSON and read back."""
+    doc = K.feature_summary_document(SM.feature_summary(features(s, sf)))
+    path = K.write_one_row_json(doc, scratch_path(s, "feature-summary"))
+    back = s.read.schema(doc.schema).json(path)
+    return back.select("total_events", "total_features", F.size("features").alias("n_feature_names"),
+                       F.col("risk_distribution")["low"].alias("risk_low"),
+                       F.col("risk_distribution")["medium"].alias("risk_medium"),
+                       "unique_users", "unique_ips", "error_count")
+
+
 # ------------------------------------------------------------- ml (rules)
 def q_ml_select_features(s, sf):
     X, names = PR.select_features(features(s, sf))
@@ -302,6 +313,13 @@ def q_stream_minute_counts(s, sf):
     return s.read.parquet(path)
 
 
+def q_stream_user_hour_counts(s, sf):
+    src = raw_dir(s, sf)
+    events = ST.read_raw_stream(s, src).select(*ST.flat_columns())
+    path = ST.run_to_parquet(ST.user_hour_counts(events), "stream-user-hours")
+    return s.read.parquet(path)
+
+
 def q_alerts_high_severity(s, sf):
     src = raw_dir(s, sf)
     stream = ST.row_local_stream(ST.read_raw_stream(s, src))
@@ -331,6 +349,7 @@ def registry() -> dict[str, Query]:
     q["sink_features"] = q_sink_features
     q["sink_zones"] = q_sink_zones
     q["feature_summary"] = q_feature_summary
+    q["sink_feature_summary"] = q_sink_feature_summary
     # parser
     q["safe_get"] = _parsed("user_name", "source_ip", "error_code")
     q["flatten_parsed"] = lambda s, sf: parsed(s, sf).select(*PARSED_COLUMNS)
@@ -435,6 +454,7 @@ def registry() -> dict[str, Query]:
     # streaming
     q["stream_flatten"] = q_stream_flatten
     q["stream_minute_counts"] = q_stream_minute_counts
+    q["stream_user_hour_counts"] = q_stream_user_hour_counts
     q["alerts_high_severity"] = q_alerts_high_severity
     q["baseline_tables"] = q_baseline_tables
 

@@ -70,3 +70,39 @@ def test_alerts_are_unique_per_event(spark):
     a = E.queries()["alerts_high_severity"](spark, SF001)
     assert a.count() == a.select("event_id").distinct().count()
     assert a.where(~F.col("parser_risk_level").isin("high", "critical")).count() == 0
+
+
+def test_late_rows_are_dropped_and_reported(spark):
+    """Rows older than the watermark in a later micro-batch are dropped and
+    counted in the query progress; closed windows are emitted once."""
+    import json
+    from auditlake.session import local_path, scratch_path
+    from auditlake.streaming import ingest as ST
+    src = scratch_path(spark, "late-src")
+    os.makedirs(local_path(src))
+
+    def write(name, times):
+        recs = [{"eventID": f"{name}{i}", "eventTime": t, "userIdentity": {"userName": "u"}}
+                for i, t in enumerate(times)]
+        with open(os.path.join(local_path(src), f"{name}.json"), "w") as fh:
+            json.dump({"Records": recs}, fh)
+        os.utime(os.path.join(local_path(src), f"{name}.json"))
+
+    import time as _t
+    write("a", ["2026-01-05T10:00:10Z", "2026-01-05T10:00:20Z", "2026-01-05T11:00:00Z"])
+    _t.sleep(1.1)
+    write("b", ["2026-01-05T11:30:00Z"])
+    _t.sleep(1.1)
+    # late rows are judged against the previous batch's watermark (10:50 here)
+    write("c", ["2026-01-05T09:00:00Z"])
+    stream = ST.read_raw_stream(spark, src, max_files=1).select(*ST.flat_columns())
+    out, ck = scratch_path(spark, "late-out"), scratch_path(spark, "late-ck")
+    q = (ST.minute_counts(stream).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ck).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
+                  for p in q.recentProgress for op in p["stateOperators"])
+    got = {(str(r["minute_start"]), r["events_this_minute"]) for r in spark.read.parquet(out).collect()}
+    assert dropped == 1
+    assert ("2026-01-05 10:00:00", 2) in got and ("2026-01-05 11:00:00", 1) in got
+    assert not any(k.startswith("2026-01-05 09:00") for k, _ in got)
