@@ -13,24 +13,27 @@ from pyspark.sql import functions as F
 
 from auditlake.functions import columns as C
 from auditlake.functions import lists as L
-from auditlake.operators.ordered import prefix_sums_over_unique
+from auditlake.operators.ordered import exact_quantile, prefix_sums_over_unique
 
 EXACT_PERCENTILE_MAX_ROWS = 5_000_000
 
 
 def decision_stats(df: DataFrame, decision: str, contamination: float = L.CONTAMINATION,
                    n_rows: int | None = None, exact: bool | None = None) -> dict:
-    """Offset (the contamination quantile), min and max of `decision` in one pass.
+    """Offset (the contamination quantile, linear interpolation), min and max.
 
-    The exact percentile keeps every value of the column in one aggregation
-    buffer, so it is used only when the row count is known to be small;
-    otherwise the approximate quantile (relative rank error 1e-6) is used.
+    Spark's exact `percentile` keeps every value in one aggregation buffer, so
+    it is used only when the row count is known to be small; above that the
+    same exact value comes from distributed selection (`exact_quantile`).
     """
-    if exact is None:
-        exact = n_rows is not None and n_rows <= EXACT_PERCENTILE_MAX_ROWS
-    q = (F.percentile(decision, contamination) if exact
-         else F.percentile_approx(decision, contamination, 1_000_000))
-    row = df.agg(q.alias("offset"), F.min(decision).alias("dmin"),
+    small = n_rows is not None and n_rows <= EXACT_PERCENTILE_MAX_ROWS
+    if exact is False or not small and n_rows is not None:
+        # large: exact selection by histogram rounds, no single-buffer percentile
+        row = df.agg(F.min(decision).alias("dmin"), F.max(decision).alias("dmax"),
+                     F.count(decision).alias("n")).first()
+        offset = exact_quantile(df, decision, contamination, int(row["n"] or 0))
+        return {"offset": offset, "dmin": row["dmin"], "dmax": row["dmax"], "n": row["n"]}
+    row = df.agg(F.percentile(decision, contamination).alias("offset"), F.min(decision).alias("dmin"),
                  F.max(decision).alias("dmax"), F.count(F.lit(1)).alias("n")).first()
     return {k: row[k] for k in ("offset", "dmin", "dmax", "n")}
 

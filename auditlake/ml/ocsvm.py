@@ -101,7 +101,8 @@ def fit(X: DataFrame, n_features: int, n_rows: int, nu: float = 0.1, components:
         rho = float(agg[0]["sr"]) / total
 
     model = OneClassModel(W, b, w, rho)
-    q = X.select(model.raw_udf()(F.col(features)).alias("s")).agg(
-        F.percentile_approx("s", nu, 100000).alias("q")).first()["q"]
+    from auditlake.operators.ordered import exact_quantile
+    scores = X.select(model.raw_udf()(F.col(features)).alias("s"))
+    q = exact_quantile(scores, "s", nu, n_rows)
     model.rho = float(q) if q is not None else rho
     return model

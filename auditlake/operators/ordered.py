@@ -43,7 +43,7 @@ SAMPLES_PER_BUCKET = 200
 
 
 def range_cuts(df: DataFrame, key: str, n_buckets: int | None = None,
-               rows: int | None = None) -> list[float]:
+               rows: int | None = None, per_row: bool = False) -> list[float]:
     """Cut points splitting `key` into about equal-count ranges.
 
     Computed from a hash sample of about SAMPLES_PER_BUCKET values per range
@@ -58,10 +58,12 @@ def range_cuts(df: DataFrame, key: str, n_buckets: int | None = None,
     if rows is None:
         rows = df.count()
     rate = min(1.0, SAMPLES_PER_BUCKET * b / max(1, rows))
-    sampled = value if rate >= 1.0 else F.when(
-        F.pmod(F.xxhash64(value), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30))), value)
+    # per_row: sample rows independently (a hash of the value and the row id),
+    # so a value repeated many times is sampled in proportion
+    h = F.xxhash64(value, F.monotonically_increasing_id()) if per_row else F.xxhash64(value)
+    src = df if rate >= 1.0 else df.where(F.pmod(h, F.lit(1 << 30)) < F.lit(int(rate * (1 << 30))))
     probs = [i / b for i in range(1, b)]
-    row = df.agg(F.percentile_approx(sampled, probs, max(10000, 20 * b)).alias("q")).first()
+    row = src.agg(F.percentile_approx(value, probs, max(10000, 20 * b)).alias("q")).first()
     return sorted({float(q) for q in (row["q"] or []) if q is not None
                    and not math.isinf(q) and not math.isnan(q)})
 
@@ -116,3 +118,64 @@ def prefix_sums_over_unique(df: DataFrame, key: str, values: list[str],
     for v in values:
         x = x.withColumn(f"{prefix}{v}", F.col(f"_loc_{v}") + F.col(f"_off_{v}"))
     return x.drop("_bkt", *[f"_loc_{v}" for v in values], *[f"_off_{v}" for v in values])
+
+
+SELECT_FINAL_ROWS = 50_000
+SELECT_BUCKETS = 1000
+
+
+def kth_smallest(df: DataFrame, col: str, ks: list[int], rows: int | None = None) -> dict[int, float]:
+    """Exact order statistics (0-based ranks `ks`) of a numeric column.
+
+    Each round cuts the current value range into about SELECT_BUCKETS ranges
+    from a hash sample, counts rows per range in one aggregate (count, min,
+    max per range: a table of at most SELECT_BUCKETS rows) and keeps the range
+    holding the wanted rank; once the range holds at most SELECT_FINAL_ROWS
+    rows the answer comes from a bounded top-k. Every round is one scan of one
+    column; nothing unbounded meets in one task or on the driver.
+    """
+    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    out = {}
+    for k in ks:
+        lo, hi, below = -math.inf, math.inf, 0
+        n_in = rows if rows is not None else vals.count()
+        while k not in out:
+            rng = vals.where((F.col("_v") >= F.lit(lo)) & (F.col("_v") < F.lit(hi)))
+            if n_in <= SELECT_FINAL_ROWS:
+                got = rng.orderBy("_v").offset(k - below).limit(1).collect()
+                out[k] = float(got[0]["_v"])
+                break
+            cuts = range_cuts(rng, "_v", n_buckets=SELECT_BUCKETS, rows=n_in, per_row=True)
+            hist = (with_range_bucket(rng, "_v", cuts=cuts).groupBy("_bkt")
+                    .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
+                    .orderBy("_bkt").collect())
+            seen = below
+            for h in hist:
+                if seen + h["n"] > k:
+                    if h["mn"] == h["mx"]:           # one value fills the range
+                        out[k] = float(h["mn"])
+                    elif h["n"] >= n_in:             # no progress: peel off the smallest value
+                        n_eq = rng.where(F.col("_v") == F.lit(h["mn"])).count()
+                        if seen + n_eq > k:
+                            out[k] = float(h["mn"])
+                        else:
+                            lo, hi, below, n_in = (math.nextafter(h["mn"], math.inf),
+                                                   math.nextafter(h["mx"], math.inf),
+                                                   seen + n_eq, h["n"] - n_eq)
+                    else:
+                        lo, hi, below, n_in = h["mn"], math.nextafter(h["mx"], math.inf), seen, h["n"]
+                    break
+                seen += h["n"]
+    return out
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, rows: int) -> float | None:
+    """Quantile with linear interpolation between order statistics (numpy's
+    default), exact at any table size (see `kth_smallest`)."""
+    if rows <= 0:
+        return None
+    pos = q * (rows - 1)
+    lo = int(math.floor(pos))
+    hi = min(lo + 1, rows - 1)
+    got = kth_smallest(df, col, sorted({lo, hi}), rows=rows)
+    return got[lo] + (pos - lo) * (got[hi] - got[lo])

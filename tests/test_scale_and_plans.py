@@ -107,3 +107,16 @@ def test_lookup_falls_back_to_shuffle_join_when_too_big(spark):
     for line in plan.splitlines():
         if "BroadcastHashJoin" in line:      # only the per-range summary (bounded rows)
             assert "[_bkt" in line, line
+
+
+def test_exact_quantile_by_selection_matches_numpy(spark, monkeypatch):
+    import numpy as np
+    from auditlake.operators import ordered as O
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.normal(size=4000), np.full(3000, 0.25)])   # a heavy tie
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    monkeypatch.setattr(O, "SELECT_FINAL_ROWS", 300)                        # force several rounds
+    monkeypatch.setattr(O, "SELECT_BUCKETS", 8)
+    for q in (0.1, 0.5, 0.9):
+        got = O.exact_quantile(df, "x", q, len(vals))
+        assert abs(got - float(np.percentile(vals, q * 100))) < 1e-12, q
