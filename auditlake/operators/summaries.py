@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from auditlake.functions import lists as L
-from auditlake.schema import FEATURE_COLUMNS
 
 
 def _pct(count_col: str, total_col: str):
@@ -23,20 +22,17 @@ def level_distribution(df: DataFrame, level_col: str, order: list[str],
                        out_col: str | None = None) -> DataFrame:
     """Count and percent per level in a fixed order; absent levels count 0.
 
-    The percent is over all rows (levels outside `order` included)."""
+    One aggregate pass (a conditional count per level plus the total), then
+    the single result row is unpivoted; the percent is over all rows (levels
+    outside `order` included)."""
     out_col = out_col or level_col
-    spark = df.sparkSession
-    counts = df.groupBy(F.col(level_col).alias("_lvl")).agg(F.count(F.lit(1)).alias("_n"))
-    # the aggregate has one row per distinct level: a bounded table
-    counts = counts.withColumn("_total", F.sum("_n").over(Window.partitionBy()))
-    levels = spark.createDataFrame([(i, v) for i, v in enumerate(order)], "_ord int, _lvl string")
-    joined = levels.join(F.broadcast(counts), "_lvl", "left")
-    total = F.first("_total", ignorenulls=True).over(Window.partitionBy())
-    return (joined.withColumn("_total", total)
-            .select(F.col("_lvl").alias(out_col),
-                    F.coalesce(F.col("_n"), F.lit(0)).cast("bigint").alias("count"),
-                    _pct("_n", "_total").alias("pct"), "_ord")
-            .withColumn("pct", F.coalesce("pct", F.lit(0.0)))
+    lv = F.col(level_col)
+    one = df.agg(F.count(F.lit(1)).alias("_total"),
+                 *[F.count_if(lv == F.lit(v)).alias(f"_c{i}") for i, v in enumerate(order)])
+    pairs = ", ".join(f"{i}, '{v}', _c{i}" for i, v in enumerate(order))
+    rows = one.selectExpr("_total", f"stack({len(order)}, {pairs}) AS (_ord, `{out_col}`, `count`)")
+    return (rows.select(out_col, F.col("count").cast("bigint").alias("count"),
+                        _pct("count", "_total").alias("pct"), "_ord")
             .orderBy("_ord").drop("_ord"))
 
 
@@ -116,7 +112,3 @@ def feature_statistics(features: DataFrame, cols: list[str] | None = None) -> Da
     stack = ", ".join(f"'{c}', a{i}, s{i}, n{i}, x{i}" for i, c in enumerate(cols))
     rows = one.selectExpr(f"stack({len(cols)}, {stack}) AS (feature, mean, std, min, max)")
     return rows.select("feature", *[F.round(c, 6).alias(c) for c in ["mean", "std", "min", "max"]])
-
-
-def unused(features: DataFrame) -> list[str]:
-    return [c for c in FEATURE_COLUMNS if c not in features.columns]
