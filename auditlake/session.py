@@ -48,7 +48,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     for k, v in SESSION_CONF.items():
         if k == "spark.sql.execution.arrow.pyspark.enabled":
             continue
-        if spark.conf.get(k, None) != v:
+        # only runtime settings; static ones apply when we build the session
+        if spark.conf.get(k, None) != v and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     checkpoint_dir(spark)
     ship_package(spark)

@@ -162,3 +162,12 @@ def test_null_user_counts(spark):
     got = by_id(f, "user_total_events", "is_new_user", "ip_event_count", "ip_unique_users")
     assert got["a"] == (None, 0, 2, 1)
     assert got["b"] == (1, 1, 2, 1)
+
+
+def test_prepare_skips_static_settings(spark, monkeypatch):
+    """Queries get the caller's session; static settings must not be touched."""
+    from auditlake import session as S
+    monkeypatch.setitem(S.SESSION_CONF, "spark.python.sql.dataFrameDebugging.enabled", "true")
+    monkeypatch.setitem(S.SESSION_CONF, "spark.sql.session.timeZone", "UTC")
+    S.prepare(spark)          # must not raise CANNOT_MODIFY_STATIC_CONFIG
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
