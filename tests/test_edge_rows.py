@@ -171,3 +171,16 @@ def test_prepare_skips_static_settings(spark, monkeypatch):
     monkeypatch.setitem(S.SESSION_CONF, "spark.sql.session.timeZone", "UTC")
     S.prepare(spark)          # must not raise CANNOT_MODIFY_STATIC_CONFIG
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_exfiltration_flags_planted_burst(spark):
+    from auditlake.operators import threats as TH
+    rows = []
+    for h in range(30):                       # one GetObject per hour for 30 hours
+        rows.append({"event_id": f"n{h}", "user_name": "u", "event_name": "GetObject",
+                     "event_time": f"2026-01-0{1 + h // 24} {h % 24:02d}:10:00"})
+    for i in range(30):                       # then 30 in one hour
+        rows.append({"event_id": f"b{i}", "user_name": "u", "event_name": "GetObject",
+                     "event_time": f"2026-01-03 05:{i:02d}:00"})
+    got = TH.exfiltration(flat_rows(spark, rows)).collect()
+    assert [(str(r["hour_start"]), r["action_count"]) for r in got] == [("2026-01-03 05:00:00", 30)]

@@ -120,3 +120,20 @@ def test_exact_quantile_by_selection_matches_numpy(spark, monkeypatch):
     for q in (0.1, 0.5, 0.9):
         got = O.exact_quantile(df, "x", q, len(vals))
         assert abs(got - float(np.percentile(vals, q * 100))) < 1e-12, q
+
+
+def test_ordered_operators_gather_only_range_summaries(spark):
+    from auditlake.ml import evaluate as EV
+    rows = _skewed_rows(600)
+    df = flat_rows(spark, rows)
+    scored = df.select((F.length("event_id") % 2).alias("y"),
+                       F.unix_micros("event_time").cast("double").alias("s"))
+    for plan_df in (EV.roc_auc(scored, "y", "s"), TH.user_events_last_hour(df),
+                    FT.time_since_previous(df)):
+        lines = _plan(plan_df).splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                below = lines[i + 1]
+                # a per-range summary, or the partial rows of a global aggregate (one per task)
+                assert ("HashAggregate(keys=[_bkt" in below
+                        or ("HashAggregate(keys=[]" in below and "partial_" in below)), below
