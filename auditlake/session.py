@@ -61,7 +61,10 @@ _SHIPPED: set = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable by Python workers (like `--py-files`):
-    zip it once per SparkContext and add it with `addPyFile`."""
+    zip it once per SparkContext and add it with `addPyFile`. The zip is read
+    only by the driver; Spark's file server ships it to every executor, so no
+    executor reads a driver-local path. Deployments that already ship the
+    package (e.g. with `--py-files`) simply get a second copy."""
     sc = spark.sparkContext
     key = (id(sc), sc.applicationId)
     if key in _SHIPPED:
