@@ -103,7 +103,7 @@ def _grow(X: np.ndarray, rng: np.random.Generator, max_depth: int, tree_id: int)
 
 
 def train(sample: DataFrame, seed: int = L.FOREST_SEED, psi: int | None = None,
-          features: str = "features") -> DataFrame:
+          features: str = "features", trees: int = L.FOREST_TREES) -> DataFrame:
     """One tree per tree_id group -> node table (NODE_SCHEMA)."""
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -116,8 +116,12 @@ def train(sample: DataFrame, seed: int = L.FOREST_SEED, psi: int | None = None,
         rows = _grow(X, rng, max_depth, tree_id)
         return pd.DataFrame(rows, columns=[f.name for f in NODE_SCHEMA.fields])
 
-    return sample.select("tree_id", "event_id", features).groupBy("tree_id").applyInPandas(
-        grow, NODE_SCHEMA)
+    # one task per tree up to the cluster's parallelism: an explicit count keeps
+    # AQE from coalescing the (small) sample into a few sequential tasks, and the
+    # hash partitioning on tree_id already satisfies the grouping
+    spread = max(1, min(sample.sparkSession.sparkContext.defaultParallelism, trees))
+    return (sample.select("tree_id", "event_id", features).repartition(spread, "tree_id")
+            .groupBy("tree_id").applyInPandas(grow, NODE_SCHEMA))
 
 
 class Forest:

@@ -74,7 +74,7 @@ def detect(features: DataFrame, trees: int = L.FOREST_TREES, psi: int = L.FOREST
 
     # 2) sample and grow the trees (bounded groups), collect the bounded node table
     Xs = table.select("event_id", scaled_vector(names, scaler))
-    nodes = train(sample_trees(Xs, n, trees, psi, seed), seed, psi_eff).toPandas()
+    nodes = train(sample_trees(Xs, n, trees, psi, seed), seed, psi_eff, trees=trees).toPandas()
     forest = Forest(nodes, psi_eff)
 
     # 3) score every row once, written; min and max observed in the same job
