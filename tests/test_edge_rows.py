@@ -184,3 +184,12 @@ def test_exfiltration_flags_planted_burst(spark):
                      "event_time": f"2026-01-03 05:{i:02d}:00"})
     got = TH.exfiltration(flat_rows(spark, rows)).collect()
     assert [(str(r["hour_start"]), r["action_count"]) for r in got] == [("2026-01-03 05:00:00", 30)]
+
+
+def test_duplicate_copies_get_one_gap(spark):
+    rows = [{"event_id": "p", "event_time": "2026-01-05 10:00:00", "user_name": "u"}] + \
+           [{"event_id": "dup", "event_time": "2026-01-05 10:00:05", "user_name": "u"}] * 3
+    f = build_features(flat_rows(spark, rows))
+    gaps = sorted(r["time_since_prev_event"] for r in f.where(F.col("event_id") == "dup").collect())
+    assert gaps == [0.0, 0.0, 5.0]
+    assert f.where(F.col("event_id") == "dup").select("user_events_this_hour").distinct().collect()[0][0] == 4

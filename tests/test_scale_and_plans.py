@@ -91,18 +91,21 @@ def test_rolling_hour_matches_brute_force(spark):
 
 def test_lookup_falls_back_to_shuffle_join_when_too_big(spark):
     fl = trail(spark, SF001)
+    want = sorted(tuple(r) for r in build_features(fl).drop("event_time").collect())
     old = spark.conf.get("auditlake.broadcast.maxBytes", None)
     try:
         spark.conf.set("auditlake.broadcast.maxBytes", "0")
         f = build_features(fl)
         plan = _plan(f)
         n = f.count()
+        got = sorted(tuple(r) for r in f.drop("event_time").collect())
     finally:
         if old is None:
             spark.conf.unset("auditlake.broadcast.maxBytes")
         else:
             spark.conf.set("auditlake.broadcast.maxBytes", old)
     assert n == fl.count()
+    assert got == want                       # same 59 columns either way
     assert plan.count("ShuffledHashJoin") >= 6
     for line in plan.splitlines():
         if "BroadcastHashJoin" in line:      # only the per-range summary (bounded rows)
