@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from auditlake.functions import columns as C
 from auditlake.functions import lists as L
 from auditlake.operators.event_stats import EventStats, hour_key, minute_key
-from auditlake.operators.lookup import attach, broadcast_or_shuffle
+from auditlake.operators.lookup import attach
 from auditlake.operators.ordered import lag_over_unique, range_cuts
 
 ROW_ID = "_rid"
@@ -113,20 +113,16 @@ def add_network_features(df: DataFrame, stats: EventStats) -> DataFrame:
 
 
 # ----------------------------------------------------------------- temporal
-def time_since_previous(df: DataFrame, time_col: str = "event_time",
-                        tiebreak: list[str] | None = None,
-                        out: str = "time_since_prev_event",
-                        rows_bound: int | None = None) -> DataFrame:
-    """Seconds since the previous event of the whole table, in order
-    (time ASC, tiebreak ASC); first row and rows without a time get 0.
+def gap_lookup(df: DataFrame, time_col: str = "event_time", tiebreak: list[str] | None = None,
+               rows_bound: int | None = None) -> tuple[DataFrame, int, list[str]]:
+    """The per-time gap table of `time_since_previous`, keyed like the events:
+    (time_col, *tiebreak) -> `_gap`; only the first row of each time matches.
 
     Within a group of equal times only the first row can have a non-zero gap,
     so the ordered work runs on distinct times only: a partial aggregate keeps
-    one row per time (with the first tie-break), a range-bucketed lag runs over
-    those unique times, and the per-time answer is joined back on the
-    (time, tie-break) key, which is unique per event, so the join is even.
-    `rows_bound` (rows with a time, known exactly from the stats job when
-    given) bounds the per-time table for the broadcast decision.
+    one row per time (with the first tie-break), and a range-bucketed lag runs
+    over those unique times. `rows_bound` (rows with a time; exact when it
+    comes from the stats job) bounds the table for the broadcast decision.
     """
     tiebreak = tiebreak or ["event_id"]
     timed = df.where(F.col(time_col).isNotNull())
@@ -138,15 +134,24 @@ def time_since_previous(df: DataFrame, time_col: str = "event_time",
     firsts = keyed.groupBy("_t").agg(F.min("_tb").alias("_first"))
     chained = lag_over_unique(firsts, "_t", out="_tprev", cuts=cuts)
     gaps = chained.select(
-        "_t", *[F.col(f"_first.{c}").alias(f"_f_{c}") for c in tiebreak],
+        F.col("_t").alias(time_col), *[F.col(f"_first.{c}").alias(c) for c in tiebreak],
         F.coalesce(C.seconds_between("_t", "_tprev"), F.lit(0.0)).alias("_gap"))
-    right = broadcast_or_shuffle(gaps, rows_bound)
-    cond = F.col(time_col) == F.col("_t")
-    for c in tiebreak:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_f_{c}"))
-    joined = df.join(right, cond, "left")
-    return (joined.withColumn(out, F.coalesce(F.col("_gap"), F.lit(0.0)))
-                  .drop("_t", "_gap", *[f"_f_{c}" for c in tiebreak]))
+    return gaps, rows_bound, [time_col, *tiebreak]
+
+
+def time_since_previous(df: DataFrame, time_col: str = "event_time",
+                        tiebreak: list[str] | None = None,
+                        out: str = "time_since_prev_event",
+                        rows_bound: int | None = None) -> DataFrame:
+    """Seconds since the previous event of the whole table, in order
+    (time ASC, tiebreak ASC); first row and rows without a time get 0.
+
+    The per-time answer (`gap_lookup`) joins back on the (time, tie-break) key,
+    which is unique per event, so the join is even however hot a time is.
+    """
+    gaps, bound, keys = gap_lookup(df, time_col, tiebreak, rows_bound)
+    joined = attach(df, gaps, bound, keys, null_safe=tuple(keys[1:]))
+    return joined.withColumn(out, F.coalesce(F.col("_gap"), F.lit(0.0))).drop("_gap")
 
 
 def add_temporal_features(df: DataFrame, stats: EventStats, time_col: str = "event_time",
@@ -165,6 +170,25 @@ def add_temporal_features(df: DataFrame, stats: EventStats, time_col: str = "eve
     }).drop("_minute", "_hour")
 
 
+def add_lookup_rules(df: DataFrame) -> DataFrame:
+    """Rules over the looked-up counts (after `attach_many` in the full plan)."""
+    total = F.col("user_total_events")
+    gap = F.coalesce(F.col("_gap"), F.lit(0.0))
+    return df.withColumns({
+        "user_error_rate": F.col("user_error_count") / total,
+        "is_new_user": C.flag(total < L.NEW_USER_BELOW),
+        "user_activity_diversity": F.col("user_unique_event_types") / total,
+        "is_rare_event": C.flag(F.col("event_type_frequency") < L.RARE_EVENT_BELOW),
+        "is_shared_ip": C.flag(F.col("ip_unique_users") > 1),
+        "is_suspicious_user_agent": C.flag(C.is_suspicious_user_agent("user_agent")),
+        "is_console_access": C.flag(C.is_console_access("user_agent")),
+        "time_since_prev_event": gap,
+        "is_rapid_event": C.flag((gap > 0) & (gap < 1)),
+        "is_burst_activity": C.flag(F.col("events_this_minute") > L.BURST_ABOVE),
+        "is_unusual_user_activity": C.flag(F.col("user_events_this_hour") > L.UNUSUAL_USER_HOUR_ABOVE),
+    }).drop("_gap", "_minute", "_hour")
+
+
 # --------------------------------------------------------------------- risk
 def risk_score_expr():
     total = None

@@ -99,3 +99,29 @@ def materialize(df: DataFrame, name: str = "tbl", **metrics: Column) -> tuple[Da
     src.write.mode("error").parquet(path)
     values = dict(obs.get) if obs else {}
     return spark.read.parquet(path), values
+
+
+def attach_many(df: DataFrame, specs: list, row_id: str) -> DataFrame:
+    """Left-join several lookups onto `df`.
+
+    `specs` holds (lookup, rows_bound, keys, null_safe) tuples. Lookups within
+    the broadcast budget are broadcast onto the rows directly. The others are
+    joined (shuffled hash joins) onto a narrow projection of `row_id` and
+    their keys, and that narrow result comes back in one join on the unique
+    `row_id`: the wide rows are shuffled once however many lookups are large.
+    """
+    spark = df.sparkSession
+    small = [s for s in specs if fits_broadcast(spark, s[0].schema, s[1])]
+    big = [s for s in specs if not fits_broadcast(spark, s[0].schema, s[1])]
+    for lk, bound, keys, null_safe in small:
+        df = attach(df, lk, bound, keys, tuple(null_safe))
+    if big:
+        key_cols = sorted({k for _, _, keys, _ in big for k in keys} - {row_id})
+        narrow = df.select(row_id, *key_cols)
+        for lk, bound, keys, null_safe in big:
+            narrow = attach(narrow, lk, bound, keys, tuple(null_safe))
+        extras = narrow.drop(*key_cols).withColumnRenamed(row_id, "__row")
+        # two large sides on a unique key: sort-merge (spills) rather than a hash build
+        df = df.join(extras.hint("merge"), F.col(row_id) == F.col("__row"), "left").drop("__row")
+    return df
+

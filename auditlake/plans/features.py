@@ -7,20 +7,38 @@ from pyspark.sql import DataFrame
 
 from auditlake.functions import columns as C
 from auditlake.operators import features as FT
-from auditlake.operators.event_stats import EventStats, event_stats
+from auditlake.operators.event_stats import EventStats, event_stats, hour_key, minute_key
+from auditlake.operators.lookup import attach_many
 from auditlake.schema import FEATURE_COLUMNS
 
 
 def build_features(flat: DataFrame, semantics: str = C.ERROR_PRESENT,
                    stats: EventStats | None = None) -> DataFrame:
-    """Flat 15-column events -> 59 feature columns in the reference order."""
+    """Flat 15-column events -> 59 feature columns in the reference order.
+
+    Row-local rules first; then every whole-table lookup in one step
+    (`attach_many`: broadcast where the exact bound allows, the rest through a
+    narrow projection and a single join back on the row id); then the rules
+    that read the looked-up counts.
+    """
     df = FT.spread_narrow_input(FT.with_row_id(flat))
     stats = stats or event_stats(df)
     df = FT.add_time_features(df)
-    df = FT.add_user_features(df, stats, semantics)
-    df = FT.add_event_features(df, stats, semantics)
-    df = FT.add_network_features(df, stats)
-    df = FT.add_temporal_features(df, stats, tiebreak=["event_id", FT.ROW_ID])
+    df = FT.add_event_flags(df, semantics)
+    df = FT.add_network_flags(df)
+    df = df.withColumns({"_minute": minute_key(), "_hour": hour_key()})
+    gaps, gap_bound, gap_keys = FT.gap_lookup(df, tiebreak=["event_id", FT.ROW_ID],
+                                              rows_bound=stats.timed_rows)
+    specs = [
+        (*stats.users(semantics), ["user_name"], ()),
+        (*stats.event_names(), ["event_name"], ()),
+        (*stats.ips(), ["source_ip"], ()),
+        (*stats.minutes(), ["_minute"], ()),
+        (*stats.user_hours(), ["_hour", "user_name"], ("_hour",)),
+        (gaps, gap_bound, gap_keys, tuple(gap_keys[1:])),
+    ]
+    df = attach_many(df, specs, FT.ROW_ID)
+    df = FT.add_lookup_rules(df)
     df = FT.add_risk(df)
     return df.select(*FEATURE_COLUMNS)
 
