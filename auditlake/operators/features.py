@@ -3,7 +3,10 @@
 Each stage is a `DataFrame -> DataFrame` transform adding the reference's
 columns. Row-local rules are native expressions; whole-table counts come from
 one shared `EventStats` (see event_stats.py) joined back with size-checked
-lookups; the global gap uses `time_since_previous` below.
+lookups; the global gap uses `gap_lookup` / `time_since_previous` below. The
+single-stage functions serve per-feature queries; the full plan
+(plans/features.py) attaches all lookups at once and then applies
+`add_lookup_rules`.
 """
 
 from __future__ import annotations
