@@ -74,3 +74,15 @@ def test_one_class_svm_consensus_and_holdout(spark):
     assert h["n_train"] + h["n_test"] == f.count()
     assert h["true_positives"] + h["true_negatives"] + h["false_positives"] + h["false_negatives"] == h["n_test"]
     assert 0.0 <= h["roc_auc"] <= 1.0
+
+
+def test_model_roundtrip_scores_identically(spark):
+    from auditlake.session import scratch_path
+    from auditlake.sources import sinks as K
+    f = build_features(trail(spark, SF001))
+    d = DET.detect(f, trees=20)
+    path = K.save_model(spark, d.nodes, d.scaler, d.params, scratch_path(spark, "model-test"))
+    forest, scaler, names, params = K.load_model(spark, path)
+    assert names == d.names and params["n_estimators"] == 20
+    M = np.stack(d.matrix().orderBy("event_id").toPandas()["features"].to_numpy())
+    assert np.allclose(forest.score_samples(M), d.forest.score_samples(M), rtol=0, atol=0)

@@ -140,3 +140,18 @@ def test_ordered_operators_gather_only_range_summaries(spark):
                 # a per-range summary, or the partial rows of a global aggregate (one per task)
                 assert ("HashAggregate(keys=[_bkt" in below
                         or ("HashAggregate(keys=[]" in below and "partial_" in below)), below
+
+
+def test_skewed_features_same_on_both_join_paths(spark):
+    df = flat_rows(spark, _skewed_rows(1500))
+    want = sorted(tuple(r) for r in build_features(df).drop("event_time").collect())
+    old = spark.conf.get("auditlake.broadcast.maxBytes", None)
+    try:
+        spark.conf.set("auditlake.broadcast.maxBytes", "0")
+        got = sorted(tuple(r) for r in build_features(df).drop("event_time").collect())
+    finally:
+        if old is None:
+            spark.conf.unset("auditlake.broadcast.maxBytes")
+        else:
+            spark.conf.set("auditlake.broadcast.maxBytes", old)
+    assert got == want
