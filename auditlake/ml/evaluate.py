@@ -15,7 +15,7 @@ from auditlake.functions import columns as C
 from auditlake.functions import lists as L
 from auditlake.operators.ordered import exact_quantile, prefix_sums_over_unique
 
-EXACT_PERCENTILE_MAX_ROWS = 5_000_000
+EXACT_PERCENTILE_MAX_ROWS = 1_000_000   # one task holds a value->count map this large
 
 
 def decision_stats(df: DataFrame, decision: str, contamination: float = L.CONTAMINATION,
