@@ -19,16 +19,17 @@ EXACT_PERCENTILE_MAX_ROWS = 1_000_000   # one task holds a value->count map this
 
 
 def decision_stats(df: DataFrame, decision: str, contamination: float = L.CONTAMINATION,
-                   n_rows: int | None = None, exact: bool | None = None) -> dict:
+                   n_rows: int | None = None) -> dict:
     """Offset (the contamination quantile, linear interpolation), min and max.
 
-    Spark's exact `percentile` keeps every value in one aggregation buffer, so
-    it is used only when the row count is known to be small; above that the
-    same exact value comes from distributed selection (`exact_quantile`).
+    Both paths are exact. Spark's `percentile` keeps every value in one
+    aggregation buffer, so it is used only when the row count is known to be
+    small; above that the same value comes from distributed selection
+    (`exact_quantile`).
     """
-    small = n_rows is not None and n_rows <= EXACT_PERCENTILE_MAX_ROWS
-    if exact is False or not small and n_rows is not None:
-        # large: exact selection by histogram rounds, no single-buffer percentile
+    if n_rows is None:
+        n_rows = df.count()
+    if n_rows > EXACT_PERCENTILE_MAX_ROWS:
         row = df.agg(F.min(decision).alias("dmin"), F.max(decision).alias("dmax"),
                      F.count(decision).alias("n")).first()
         offset = exact_quantile(df, decision, contamination, int(row["n"] or 0))

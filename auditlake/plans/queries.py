@@ -77,8 +77,9 @@ def rule_scored(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
     """Features with a deterministic decision column (-risk_score_normalized,
     higher = more normal) for exact checks of the detector's operators."""
     f, m = materialize(features(spark, sf).withColumn("_decision", -F.col("risk_score_normalized")),
-                       "rule-scored", dmin=F.min("_decision"), dmax=F.max("_decision"))
-    st = EV.decision_stats(f.select("_decision"), "_decision", L.CONTAMINATION, exact=True)
+                       "rule-scored", dmin=F.min("_decision"), dmax=F.max("_decision"),
+                       n=F.count(F.lit(1)))
+    st = EV.decision_stats(f.select("_decision"), "_decision", L.CONTAMINATION, n_rows=int(m["n"] or 0))
     return f, {**st, "dmin": m["dmin"], "dmax": m["dmax"]}
 
 

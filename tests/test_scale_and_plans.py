@@ -155,3 +155,18 @@ def test_skewed_features_same_on_both_join_paths(spark):
         else:
             spark.conf.set("auditlake.broadcast.maxBytes", old)
     assert got == want
+
+
+def test_threshold_paths_agree(spark, monkeypatch):
+    import numpy as np
+    from auditlake.ml import evaluate as EV
+    from auditlake.operators import ordered as O
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(float(v),) for v in rng.normal(size=3000).round(2)], "d double")
+    small = EV.decision_stats(df, "d", 0.1, n_rows=3000)
+    monkeypatch.setattr(EV, "EXACT_PERCENTILE_MAX_ROWS", 100)     # force the selection path
+    monkeypatch.setattr(O, "SELECT_FINAL_ROWS", 200)
+    monkeypatch.setattr(O, "SELECT_BUCKETS", 16)
+    large = EV.decision_stats(df, "d", 0.1, n_rows=3000)
+    assert abs(small["offset"] - large["offset"]) < 1e-12
+    assert (small["dmin"], small["dmax"]) == (large["dmin"], large["dmax"])
