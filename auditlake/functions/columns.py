@@ -18,7 +18,10 @@ ERROR_PRESENT = "present"      # error iff error_code is non-null and non-empty
 ERROR_REFERENCE = "reference"  # error iff error_code IS DISTINCT FROM '' (null counts)
 ERROR_SEMANTICS = (ERROR_PRESENT, ERROR_REFERENCE)
 
+# FIXED VALUES — audit-log time text. Written zero-padded; parsed like
+# `%Y-%m-%dT%H:%M:%SZ`, which also accepts one-digit month, day and time fields.
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+ISO_SECONDS_PARSE = "yyyy-M-d'T'H:m:s'Z'"
 
 
 def flag(cond: Column) -> Column:
@@ -32,8 +35,9 @@ def col_or(c) -> Column:
 
 # --------------------------------------------------------------------- time
 def parse_event_time(text) -> Column:
-    """Strict `yyyy-MM-ddTHH:mm:ssZ` text to TIMESTAMP; anything else null."""
-    return F.try_to_timestamp(col_or(text), F.lit(ISO_SECONDS))
+    """`yyyy-MM-ddTHH:mm:ssZ` text (fields may be unpadded) to TIMESTAMP;
+    anything else (other layouts, fractions, impossible dates) null."""
+    return F.try_to_timestamp(col_or(text), F.lit(ISO_SECONDS_PARSE))
 
 
 def time_period(hour) -> Column:

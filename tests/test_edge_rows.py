@@ -193,3 +193,13 @@ def test_duplicate_copies_get_one_gap(spark):
     gaps = sorted(r["time_since_prev_event"] for r in f.where(F.col("event_id") == "dup").collect())
     assert gaps == [0.0, 0.0, 5.0]
     assert f.where(F.col("event_id") == "dup").select("user_events_this_hour").distinct().collect()[0][0] == 4
+
+
+def test_time_text_parsing_rules(spark):
+    vals = {"ok": "2026-01-05T14:30:00Z", "unpadded": "2026-1-5T1:2:3Z", "no_z": "2026-01-05T14:30:00",
+            "space": "2026-01-05 14:30:00Z", "h24": "2026-01-05T24:00:00Z", "feb30": "2026-02-30T10:00:00Z",
+            "frac": "2026-01-05T14:30:00.5Z", "short_year": "26-01-05T14:30:00Z"}
+    df = spark.createDataFrame(list(vals.items()), "k string, s string")
+    got = {r["k"]: r["t"] for r in df.select("k", C.parse_event_time("s").alias("t")).collect()}
+    assert str(got["ok"]) == "2026-01-05 14:30:00" and str(got["unpadded"]) == "2026-01-05 01:02:03"
+    assert all(got[k] is None for k in ["no_z", "space", "h24", "feb30", "frac", "short_year"])
