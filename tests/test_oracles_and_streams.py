@@ -106,3 +106,26 @@ def test_late_rows_are_dropped_and_reported(spark):
     assert dropped == 1
     assert ("2026-01-05 10:00:00", 2) in got and ("2026-01-05 11:00:00", 1) in got
     assert not any(k.startswith("2026-01-05 09:00") for k, _ in got)
+
+
+def test_zone_layout(spark):
+    from auditlake.operators import summaries as SM
+    from auditlake.plans.features import build_features
+    from auditlake.session import local_path, scratch_path
+    from auditlake.sources import sinks as K
+    from auditlake.sources.fixture import trail
+    from auditlake.sources.raw import flat_to_raw, read_raw_records
+    fl = trail(spark, SF001)
+    f = build_features(fl)
+    summary = K.feature_summary_document(SM.feature_summary(f))
+    base = scratch_path(spark, "zones-test")
+    paths = K.write_zones(base, raw=flat_to_raw(fl), features=f, feature_summary=summary,
+                          predictions=f.withColumn("ml_anomaly_prediction", F.lit(0)),
+                          detection_summary=spark.createDataFrame([("Isolation Forest",)], "model string"))
+    for zone in ("raw", "processed", "results"):
+        assert os.path.isdir(os.path.join(local_path(base), zone))
+    n = fl.count()
+    assert read_raw_records(spark, paths["raw"]).count() == n
+    assert K.read_features(spark, paths["features"]).count() == n
+    assert spark.read.json(paths["feature_summary"]).first()["total_events"] == n
+    assert spark.read.parquet(paths["predictions"]).count() == n
