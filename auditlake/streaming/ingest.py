@@ -90,12 +90,14 @@ def run_to_parquet(df: DataFrame, name: str, mode: str = "append") -> str:
     return out
 
 
-def run_foreach_batch(df: DataFrame, name: str, key: str = "event_id") -> str:
+def run_foreach_batch(df: DataFrame, name: str, key: str = "event_id",
+                      out: str | None = None, ckpt: str | None = None) -> str:
     """Write each micro-batch as its own partition of a parquet table. A batch
     replayed after a failure overwrites its own partition (dynamic partition
     overwrite keyed by the batch id), so the output is exactly-once."""
     spark = df.sparkSession
-    out, ckpt = scratch_path(spark, name), scratch_path(spark, f"{name}-ckpt")
+    out = out or scratch_path(spark, name)
+    ckpt = ckpt or scratch_path(spark, f"{name}-ckpt")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (batch.withColumn("_batch_id", F.lit(batch_id))
