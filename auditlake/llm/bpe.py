@@ -26,12 +26,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import ID, TEXT, arrow_map, read, texts_of
+from auditlake.llm.common import ID, TEXT, Memo, arrow_map, read, texts_of
 from auditlake.session import prepare
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CACHE_PIECES = 1 << 18
-CACHE_BYTES = 64
 NEVER = 1 << 60
 
 
@@ -101,26 +100,6 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-class Memo:
-    """A mapping of bounded size: what was not used for a generation goes."""
-
-    def __init__(self, make, most: int = CACHE_PIECES):
-        self.make, self.most = make, most
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def add(self, key: str) -> bytes:
-        """Value of a key that is not among the young ones."""
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) <= CACHE_BYTES:
-            if len(self.young) >= self.most:
-                self.old, self.young = self.young, {}
-            self.young[key] = value
-        return value
-
-
 class Codec:
     """Encodes texts to little-endian unsigned 32-bit ids and back.
 
@@ -133,7 +112,7 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.odd_space = re.compile(r"\A\s|\s\s|\s\Z").search
         self.cut = re.compile(r"(?<=\S)(?= \S)").split
-        self.words, self.pieces = Memo(self.word), Memo(self.piece)
+        self.words, self.pieces = Memo(self.word, CACHE_PIECES), Memo(self.piece, CACHE_PIECES)
         order = sorted(ranks, key=ranks.get)
         most = max(ranks.values(), default=-1) + 1
         self.sizes, self.places = np.zeros(most, np.int64), np.zeros(most, np.int64)

@@ -89,3 +89,52 @@ def pieces(batch: pa.RecordBatch, max_rows: int = 512) -> Iterator[pa.RecordBatc
     """Bounded slices of a batch, so that per-batch arrays stay small."""
     for at in range(0, batch.num_rows, max_rows):
         yield batch.slice(at, max_rows)
+
+
+def id_remainder(id_col: str, parts: int):
+    """crc32 of the id's decimal text, modulo `parts` (null id: null)."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts))
+
+
+def sample_texts(rows: DataFrame, label: DataFrame, per_class: int, least: int, most: int,
+                 id_col: str = "doc_id", text_col: str = "text") -> list[tuple[object, str]]:
+    """A bounded training sample: of each label value the `per_class` rows with
+    `least` to `most` characters whose texts hash lowest, as (label, text) sorted
+    by label and hash. `label` has (label_id, label). The ranking reads narrow rows
+    and keeps `per_class` of a label per task (a window group limit) before it
+    shuffles them; only the sample's texts come to the driver."""
+    from pyspark.sql import Window
+    size, key = F.length(text_col), F.xxhash64(text_col)
+    narrow = rows.where(size.between(least, most)).select(F.col(id_col).alias("label_id"), key.alias("key"))
+    order = Window.partitionBy("label").orderBy("key", "label_id")
+    picked = (narrow.join(label, "label_id").withColumn("place", F.row_number().over(order))
+              .where(F.col("place") <= per_class).select("label_id", "label", "key"))
+    chosen = picked.collect()       # at most per_class rows of each label
+    if not chosen:
+        return []
+    spark = rows.sparkSession
+    ids = spark.createDataFrame([(r["label_id"],) for r in chosen], "label_id long").distinct()
+    texts = {(r["i"], r["key"]): r["t"] for r in rows.join(F.broadcast(ids), F.col(id_col) == F.col("label_id"))
+             .select(F.col(id_col).alias("i"), key.alias("key"), F.col(text_col).alias("t")).collect()}
+    return [(r["label"], texts[r["label_id"], r["key"]])
+            for r in sorted(chosen, key=lambda r: (str(r["label"]), r["key"], r["label_id"]))]
+
+
+class Memo:
+    """A function's values by key, of bounded size: what was not used for a
+    generation goes. `young.get(key)` is the quick look-up; `add` does the rest."""
+
+    def __init__(self, make: Callable, most: int, longest: int = 64):
+        self.make, self.most, self.longest = make, most, longest
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def add(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self.young) >= self.most:
+                self.old, self.young = self.young, {}
+            self.young[key] = value
+        return value
