@@ -1,14 +1,17 @@
 """Toxicity scores from subword embeddings.
 
 A word is the bag of its hashed character n-grams (and itself); its vector is
-their mean, a text's vector is the mean of its words', and a linear softmax reads
-the text's vector. Embeddings and softmax are trained jointly in numpy (Adam,
-full batches) on a bounded sample of labelled rows. An unseen misspelling shares
+their mean, a passage's vector is the mean of its words', and a linear softmax reads
+the passage's vector. A text is cut into passages of `passage` words, and its score
+is that of its most toxic passage: one slur in a long text is not averaged away.
+Embeddings and softmax are trained jointly in numpy (Adam, full batches) on a
+bounded sample of labelled rows; the first third of the steps reads the mean of
+a text's passages, the rest its strongest one. An unseen misspelling shares
 n-grams, and so most of its vector, with words that were seen.
 
 The trained model is linear in the embeddings, so scoring needs one number
-per n-gram bucket (a broadcast of fixed size): the score is the softmax of a
-mean over the words of the whole text, with words' values kept in a bounded memo.
+per n-gram bucket (a broadcast of fixed size) and a mean over each passage of
+the whole text, with words' values kept in a bounded memo.
 
 Defined cases: null or wordless texts get the score of the bias alone; labels
 other than 0 and 1, and rows without an id, teach nothing; a document labelled
@@ -40,15 +43,18 @@ LETTERS = re.compile(r"[^\W_]+")
 class Settings:
     """Parameters of the model; the sample holds `per_class` rows of each label,
     of at most `longest` characters."""
-    per_class: int = 1500
-    longest: int = 4000
+    per_class: int = 1000
+    longest: int = 3000
     buckets: int = 1 << 17
-    size: int = 8
+    size: int = 4
     least_gram: int = 3
-    most_gram: int = 5
-    scale: float = 40.0          # of the mean vector: a few words in a hundred decide
-    steps: int = 60
+    most_gram: int = 4
+    passage: int = 2
+    least_texts: int = 5         # of the sample hold an n-gram that is trained
+    scale: float = 20.0          # of the mean vector: one word of a passage decides
+    steps: int = 120
     rate: float = 0.05
+    decay: float = 0.01          # of the embeddings, per step
     seed: int = 7
 
 
@@ -87,21 +93,29 @@ class Bags:
 
 
 def train(sample: list[tuple[int, str]], s: Settings) -> tuple[np.ndarray, float]:
-    """(value of each bucket, bias): the log odds of label 1 are the bias plus the
-    mean over words of the mean value of their buckets."""
+    """(value of each bucket, bias): a passage's log odds of label 1 are the bias
+    plus the mean over its words of the mean value of their buckets."""
     labels = np.array([label for label, _ in sample], float)
     if len(set(labels)) < 2:
         return np.zeros(s.buckets), -math.inf
     vocabulary: dict[str, int] = {}
     texts = []
-    for _, text in sample:
-        found = Counter(vocabulary.setdefault(w, len(vocabulary)) for w in words_of(text))
-        total = sum(found.values())
-        texts.append([(w, n / total) for w, n in found.items()])
-    word_rows = []
-    for word in vocabulary:
-        g = grams(word, s)
-        word_rows.append([(i, 1 / len(g)) for i in g])
+    owner = []
+    for k, (_, text) in enumerate(sample):
+        words = words_of(text)
+        for at in range(0, max(1, len(words)), s.passage):
+            found = Counter(vocabulary.setdefault(w, len(vocabulary)) for w in words[at:at + s.passage])
+            total = sum(found.values())
+            texts.append([(w, n / total) for w, n in found.items()])
+            owner.append(k)
+    owner = np.array(owner)
+    begin = np.flatnonzero(np.diff(owner, prepend=-1))
+    share = 1 / np.bincount(owner)[owner]
+    of_word = [grams(word, s) for word in vocabulary]
+    held = [{b for w in {w for t in text for w, _ in t} for b in of_word[w]}
+            for text in (texts[a:b] for a, b in zip(begin, [*begin[1:], len(texts)]))]
+    frequent = np.bincount([b for h in held for b in h], minlength=s.buckets) >= s.least_texts
+    word_rows = [[(b, 1 / len(g)) for b in g if frequent[b]] for g in of_word]
     docs, parts = Bags(texts), Bags(word_rows)
     used, local = np.unique(parts.index, return_inverse=True)
     parts.index = local
@@ -113,14 +127,22 @@ def train(sample: list[tuple[int, str]], s: Settings) -> tuple[np.ndarray, float
     for step in range(1, s.steps + 1):
         vectors = docs.times(parts.times(weights["e"])) * s.scale
         logits = vectors @ weights["w"] + weights["b"]
-        odds = np.exp(logits - logits.max(1, keepdims=True))
-        error = (odds / odds.sum(1, keepdims=True) - truth) / len(labels)
+        if step * 3 <= s.steps:
+            part = share
+        else:
+            strength = logits[:, 1] - logits[:, 0]
+            part = (strength == np.maximum.reduceat(strength, begin)[owner]).astype(float)
+            part /= np.add.reduceat(part, begin)[owner]
+        read = np.add.reduceat(logits * part[:, None], begin)
+        odds = np.exp(read - read.max(1, keepdims=True))
+        error = ((odds / odds.sum(1, keepdims=True) - truth) / len(labels))[owner] * part[:, None]
         to_words = docs.back(error @ weights["w"].T * s.scale, len(vocabulary))
         grad = {"w": vectors.T @ error, "b": error.sum(0), "e": parts.back(to_words, len(used))}
         for k, g in grad.items():
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
             weights[k] -= s.rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
+        weights["e"] *= 1 - s.decay
     values = np.zeros(s.buckets)
     values[used] = weights["e"] @ (weights["w"][:, 1] - weights["w"][:, 0]) * s.scale
     return values, float(weights["b"][1] - weights["b"][0])
@@ -155,13 +177,15 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Setti
         scores = []
         for text in texts_of(batch):
             words = words_of(text.decode("utf-8", "replace"))
-            total = 0.0
-            for at in range(0, len(words), 4096):
+            best = None
+            for at in range(0, len(words), s.passage):
                 known = memo.young.get
-                for w in words[at:at + 4096]:
-                    v = known(w)
-                    total += memo.add(w) if v is None else v
-            scores.append(sigmoid(bias + total / max(1, len(words))))
+                found = [known(w) for w in words[at:at + s.passage]]
+                if None in found:
+                    found = [memo.add(w) if v is None else v for w, v in zip(words[at:at + s.passage], found)]
+                mean = sum(found) / len(found)
+                best = mean if best is None or mean > best else best
+            scores.append(sigmoid(bias + (best or 0.0)))
         yield {ID: batch.column(ID), "score": scores}
 
     rows_in = docs.select(F.col(id_col).cast("long").alias(ID), F.col(text_col).alias(TEXT))
