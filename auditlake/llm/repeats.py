@@ -33,6 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -204,7 +205,7 @@ def repeated_spans(docs: DataFrame, kind: str, width: int, gram: int, kernel: Ca
     want = (placed(firsts.select("h", "n", "at").join(shared, "h").select("h", "n", "at", (F.col("m") > hot).alias("hot")))
             .groupBy(ID).agg(F.collect_list(F.struct("h", "s", "n", "hot")).alias("want")))
     strings, _ = materialize(
-        arrow_map(docs.join(want, ID), string_rows(kind, width), f"hot boolean, h long, w long, {ID} long, s int, string binary"), "strings")
+        arrow_map(packed(docs).join(want, ID), string_rows(kind, width), f"hot boolean, h long, w long, {ID} long, s int, string binary"), "strings")
     buckets = max(1, math.ceil(seen["total"] / BUCKET_SEGMENTS))
 
     def bucket(table: pa.Table) -> pa.Table:
@@ -241,7 +242,7 @@ def string_rows(kind: str, width: int) -> Callable[[pa.RecordBatch], Iterator[di
             for k, v in zip(names, values):
                 out[k].append(v)
 
-        for rid, text, want in zip(batch.column(ID).to_pylist(), texts_of(batch), batch.column("want").to_pylist()):
+        for rid, text, want in zip(batch.column(ID).to_pylist(), unpacked(batch), batch.column("want").to_pylist()):
             if kind == "words":
                 lo, hi = word_bounds(text)
             for x in want:
@@ -277,7 +278,20 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(rid, packed): the texts as zstd frames, a third of their size in a shuffle."""
+    def rows(batch: pa.RecordBatch) -> Iterator[dict]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        yield {ID: batch.column(ID), "packed": [squeeze(t) for t in texts_of(batch)]}
+    return arrow_map(docs, rows, f"{ID} long, packed binary")
+
+
+def unpacked(batch: pa.RecordBatch) -> list[bytes]:
+    expand = zstandard.ZstdDecompressor().decompress
+    return [expand(t) for t in batch.column("packed").to_pylist()]
+
+
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(rid, body, spans): every document with its spans, null without any."""
+    """(rid, packed, spans): every document with its spans, null without any."""
     per_doc = spans.groupBy(ID).agg(F.collect_set(F.struct("s", "e")).alias("spans"))
-    return docs.join(per_doc, ID, "left")
+    return packed(docs).join(per_doc, ID, "left")

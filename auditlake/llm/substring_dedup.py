@@ -23,8 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from auditlake.llm.common import ID, arrow_map, read, run_keyed, texts_of
-from auditlake.llm.repeats import BASES, Hashes, merged, mix, repeated_spans, with_spans
+from auditlake.llm.common import ID, arrow_map, read, run_keyed
+from auditlake.llm.repeats import BASES, Hashes, merged, mix, repeated_spans, unpacked, with_spans
 from auditlake.llm.suffix_dedup import window_ranges
 
 WIDTH = 35
@@ -98,7 +98,7 @@ def extend(hashes: Hashes, prefixes: np.ndarray, p: np.ndarray, q: np.ndarray, r
 def dedup_rows(batch: pa.RecordBatch) -> Iterator[dict]:
     names = ("n_words", "n_removed", "kept")
     out: dict = {k: [] for k in names}
-    for text, spans in zip(texts_of(batch), batch.column("spans").to_pylist()):
+    for text, spans in zip(unpacked(batch), batch.column("spans").to_pylist()):
         words = text.split()
         kept, at, removed = [], 0, 0
         for s, e in merged(spans):

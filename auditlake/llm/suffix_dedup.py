@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import ID, TEXT, arrow_map, read, run_keyed, texts_of
-from auditlake.llm.repeats import BASES, Hashes, merged, mix, repeated_spans, with_spans
+from auditlake.llm.common import ID, TEXT, arrow_map, read, run_keyed
+from auditlake.llm.repeats import BASES, Hashes, merged, mix, repeated_spans, unpacked, with_spans
 
 WIDTH = 100
 GRAM = 24
@@ -153,7 +153,7 @@ def window_ranges(owner: np.ndarray, offset: np.ndarray, again: np.ndarray):
 def dedup_rows(batch: pa.RecordBatch) -> Iterator[dict]:
     names = ("n_bytes", "n_removed", "n_spans", "kept")
     out: dict = {k: [] for k in names}
-    for text, spans in zip(texts_of(batch), batch.column("spans").to_pylist()):
+    for text, spans in zip(unpacked(batch), batch.column("spans").to_pylist()):
         runs = merged(spans)
         kept, at = [], 0
         for s, e in runs:
