@@ -29,6 +29,7 @@ from auditlake.llm.repeats import BASES, Hashes, merged, mix, repeated_spans, un
 
 WIDTH = 100
 GRAM = 24
+HOT = 4096
 U64 = np.uint64
 
 
@@ -170,7 +171,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, n_bytes, n_removed, n_spans, kept binary, kept_sha256) per document.
     `kept` is the remaining bytes; a cut may fall inside a UTF-8 character."""
     def work(rows: DataFrame) -> DataFrame:
-        spans = repeated_spans(rows, "bytes", width, gram, kernel(width), keep_first=True)
+        spans = repeated_spans(rows, "bytes", width, gram, kernel(width), keep_first=True, hot=HOT)
         return arrow_map(with_spans(rows, spans), dedup_rows,
                          f"{ID} long, n_bytes long, n_removed long, n_spans long, kept binary, sha string"
                          ).withColumnRenamed("sha", "kept_sha256")
