@@ -30,8 +30,14 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias(ID), F.col(text_col).alias(TEXT))
 
 
+def odd_ids(docs: DataFrame, id_col: str) -> bool:
+    """Whether some id is null or repeated (one aggregate over the id column)."""
+    counts = docs.groupBy(F.col(id_col).alias(ID)).agg(F.count(F.lit(1)).alias("n"))
+    return bool(counts.where((F.col("n") > 1) | F.col(ID).isNull()).limit(1).count())
+
+
 def run_keyed(docs: DataFrame, work: Callable[[DataFrame], DataFrame], id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
+              text_col: str = "text", digest: str | None = None) -> DataFrame:
     """Apply `work`, which needs one row per non-null id, to (rid, body) rows and
     return its columns with `id_col` in place of `rid`, one row per input row.
 
@@ -40,12 +46,15 @@ def run_keyed(docs: DataFrame, work: Callable[[DataFrame], DataFrame], id_col: s
     are one document, rows that share only the id are separate ones, ordered by
     id (null first), then text; such documents get order-preserving new ids in
     a written table, and every input row takes the result of its document.
+
+    With `digest`, a column of that name tells such rows of one id apart: the
+    SHA-256 of the text (null where ids are unique), see `of_row`.
     """
     prepare(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    odd = rows.groupBy(ID).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col(ID).isNull())
-    if not odd.limit(1).count():
-        return work(rows).withColumnRenamed(ID, id_col)
+    if not odd_ids(docs, id_col):
+        made = work(rows).withColumnRenamed(ID, id_col)
+        return made.withColumn(digest, F.lit(None).cast("string")) if digest else made
     ordered = (rows.dropDuplicates([ID, TEXT]).repartitionByRange(F.col(ID).asc_nulls_first(), F.col(TEXT).asc_nulls_first())
                .sortWithinPartitions(F.col(ID).asc_nulls_first(), F.col(TEXT).asc_nulls_first())
                .withColumn("new_id", F.monotonically_increasing_id()))
@@ -60,9 +69,17 @@ def run_keyed(docs: DataFrame, work: Callable[[DataFrame], DataFrame], id_col: s
     made = made.withColumnRenamed(ID, "new_id").join(names, "new_id").drop("new_id")
     rows = rows.select(F.col(ID).alias("row_id"), digest.alias("row_sha"))
     out = rows.join(made, F.col("row_id").eqNullSafe(F.col("old_id")) & F.col("row_sha").eqNullSafe(F.col("old_sha")))
+    if digest:
+        out = out.withColumn(digest, F.coalesce("row_sha", F.lit("null")))
     return out.drop("old_id", "old_sha", "row_sha").withColumnRenamed("row_id", id_col)
 
 
+def of_row(docs: DataFrame, made: DataFrame, id_col: str, made_id: str, digest: str, text_col: str = "text"):
+    """Join condition between rows and results of `run_keyed(..., digest=)`."""
+    own = F.coalesce(F.sha2(docs[text_col], 256), F.lit("null"))
+    return docs[id_col].eqNullSafe(made[made_id]) & (made[digest].isNull() | (made[digest] == own))
+
+
 def texts_of(batch: pa.RecordBatch, column: str = TEXT) -> list[bytes]:
     """UTF-8 bytes of a string column of an Arrow batch (null: empty)."""
     return [b"" if v is None else v for v in batch.column(column).cast(pa.binary()).to_pylist()]

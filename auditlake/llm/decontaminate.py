@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import ID, TEXT, read, run_keyed
+from auditlake.llm.common import ID, TEXT, of_row, read, run_keyed
 from auditlake.operators.lookup import fits_broadcast, materialize
 
 SHINGLE = 5
@@ -140,17 +140,18 @@ def fingerprinted(df: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius: int = RADIUS,
-                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                  id_col: str = "doc_id", text_col: str = "text", digest: str | None = None) -> DataFrame:
     """(id, item_id, similarity, start): the items that a document holds, with the
     best similarity and the first word of the first such window."""
     named = items.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    return run_keyed(docs, lambda rows: matches(rows, named, percent, radius), id_col, text_col)
+    return run_keyed(docs, lambda rows: matches(rows, named, percent, radius), id_col, text_col, digest)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """`docs` without the documents that hold an item."""
-    bad, _ = materialize(decontaminate(docs, items).select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    found = decontaminate(docs, items, digest="text_of")
+    bad, _ = materialize(found.select(F.col("doc_id").alias("bad_id"), "text_of").distinct(), "contaminated")
+    return docs.join(bad, of_row(docs, bad, "doc_id", "bad_id", "text_of"), "left_anti")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from auditlake.llm.bpe import op5_bpe
+from auditlake.llm.chat_format import OP8_SQL, op8_chat_format
 from auditlake.llm.decontaminate import op10_decontaminate
 from auditlake.llm.jaccard_join import op6_jaccard_join
 from auditlake.llm.language import op7_language_id
@@ -19,9 +20,9 @@ from auditlake.llm.url_filter import op3_url_filter
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_suffix_dedup, op2_substring_dedup, op3_url_filter, op4_quality_rules, op5_bpe,
-             op6_jaccard_join, op7_language_id, op9_toxicity, op10_decontaminate]
+             op6_jaccard_join, op7_language_id, op8_chat_format, op9_toxicity, op10_decontaminate]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_chat_format": OP8_SQL}

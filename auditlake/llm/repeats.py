@@ -36,6 +36,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlake.llm.common import ID, TEXT, arrow_map, texts_of
 from auditlake.operators.lookup import materialize
@@ -45,6 +46,7 @@ SPAN = 1 << 19          # windows of a document handled at once
 SHIFT = U64(21)         # bits for a place in an array of at most 2 * SPAN + width symbols
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 BUCKET_SEGMENTS = 20_000
+KERNEL_SEGMENTS = 2_000
 
 
 class Hashes:
@@ -189,7 +191,7 @@ def repeated_spans(docs: DataFrame, kind: str, width: int, gram: int, kernel: Ca
     anywhere. Spans may overlap and repeat. `kernel(rid, s, strings, keep_first)`
     gets the rows of a bucket and yields (row, from window, to window) of repeated windows."""
     spark = docs.sparkSession
-    occ = arrow_map(docs.where(F.length(TEXT) > 0), anchor_rows(kind, width, gram), f"h long, u long, {ID} long, s int, n int")
+    occ = arrow_map(docs.select(ID, TEXT).where(F.length(TEXT) > 0), anchor_rows(kind, width, gram), f"h long, u long, {ID} long, s int, n int")
     live, _ = materialize(occ.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "anchors")
     found, _ = materialize(occ.join(live, "h", "left_semi").withColumn("at", position()).select("h", "u", "n", "at"), "segments")
     firsts, _ = materialize(found.groupBy("h", "u", "n").agg(F.min("at").alias("at"), F.count(F.lit(1)).alias("c")), "distinct")
@@ -205,15 +207,23 @@ def repeated_spans(docs: DataFrame, kind: str, width: int, gram: int, kernel: Ca
     want = (placed(firsts.select("h", "n", "at").join(shared, "h").select("h", "n", "at", (F.col("m") > hot).alias("hot")))
             .groupBy(ID).agg(F.collect_list(F.struct("h", "s", "n", "hot")).alias("want")))
     strings, _ = materialize(
-        arrow_map(packed(docs).join(want, ID), string_rows(kind, width), f"hot boolean, h long, w long, {ID} long, s int, string binary"), "strings")
+        arrow_map(packed(docs.select(ID, TEXT)).join(want, ID), string_rows(kind, width), f"hot boolean, h long, w long, {ID} long, s int, string binary"), "strings")
     buckets = max(1, math.ceil(seen["total"] / BUCKET_SEGMENTS))
 
     def bucket(table: pa.Table) -> pa.Table:
-        rid, s = (np.asarray(table.column(c)) for c in (ID, "s"))
-        row, lo, hi = kernel(rid, s, table.column("string").to_pylist(), keep_first)
-        return pa.table({ID: rid[row], "s": (s[row] + lo).astype(np.int32), "e": (s[row] + hi + width - 1).astype(np.int32)})
-
-    part = (strings.where("not hot").select(F.pmod(F.col("h"), F.lit(buckets)).alias("bucket"), ID, "s", "string")
+        table = table.sort_by("h")
+        h, rids, places = (np.asarray(table.column(c)) for c in ("h", ID, "s"))
+        edges = np.append(np.flatnonzero(h[1:] != h[:-1]) + 1, len(h))
+        out, at = [], 0
+        while at < len(h):       # whole anchors, KERNEL_SEGMENTS or the next anchor's end at a time
+            to = int(edges[np.searchsorted(edges, min(at + KERNEL_SEGMENTS, len(h)), "left")])
+            rid, s = rids[at:to], places[at:to]
+            row, lo, hi = kernel(rid, s, table.column("string").slice(at, to - at).to_pylist(), keep_first)
+            out.append(pa.table({ID: rid[row], "s": (s[row] + lo).astype(np.int32), "e": (s[row] + hi + width - 1).astype(np.int32)}))
+            at = to
+        return pa.concat_tables(out)
+
+    part = (strings.where("not hot").select(F.pmod(F.col("h"), F.lit(buckets)).alias("bucket"), "h", ID, "s", "string")
             .groupBy("bucket").applyInArrow(bucket, f"{ID} long, s int, e int"))
     spans = spans.union(part)
     if seen["most"] > hot:
@@ -279,11 +289,15 @@ def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """(rid, packed): the texts as zstd frames, a third of their size in a shuffle."""
+    """(rid, packed) and any further columns of `docs`: the texts as zstd frames, a
+    third of their size in a shuffle."""
+    rest = [f for f in docs.schema.fields if f.name not in (ID, TEXT)]
+
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
-        yield {ID: batch.column(ID), "packed": [squeeze(t) for t in texts_of(batch)]}
-    return arrow_map(docs, rows, f"{ID} long, packed binary")
+        yield {ID: batch.column(ID), "packed": [squeeze(t) for t in texts_of(batch)],
+               **{f.name: batch.column(f.name) for f in rest}}
+    return arrow_map(docs, rows, T.StructType([T.StructField(ID, T.LongType()), T.StructField("packed", T.BinaryType()), *rest]))
 
 
 def unpacked(batch: pa.RecordBatch) -> list[bytes]:
@@ -292,6 +306,6 @@ def unpacked(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """(rid, packed, spans): every document with its spans, null without any."""
+    """(rid, packed, spans, further columns): every document with its spans, null without any."""
     per_doc = spans.groupBy(ID).agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     return packed(docs).join(per_doc, ID, "left")

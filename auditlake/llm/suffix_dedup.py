@@ -20,12 +20,15 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from auditlake.llm.common import ID, TEXT, arrow_map, read, run_keyed
+from auditlake.llm.common import ID, TEXT, arrow_map, odd_ids, of_row, read, run_keyed
 from auditlake.llm.repeats import BASES, Hashes, merged, mix, repeated_spans, unpacked, with_spans
+from auditlake.session import prepare
 
 WIDTH = 100
 GRAM = 24
@@ -163,38 +166,50 @@ def dedup_rows(batch: pa.RecordBatch) -> Iterator[dict]:
         kept.append(text[at:])
         for k, v in zip(names, (len(text), sum(e - s for s, e in runs), len(runs), b"".join(kept))):
             out[k].append(v)
-    yield {ID: batch.column(ID), **out, "sha": [hashlib.sha256(x).hexdigest() for x in out["kept"]]}
+    further = {c: batch.column(c) for c in batch.schema.names if c not in (ID, "packed", "spans")}
+    yield {ID: batch.column(ID), **out, "sha": [hashlib.sha256(x).hexdigest() for x in out["kept"]], **further}
+
+
+def deduplicated(rows: DataFrame, width: int, gram: int) -> DataFrame:
+    """Results of (rid, body) rows with unique ids; further columns come along."""
+    def kernel(rid, s, strings, keep_first):
+        return repeated_windows(rid, s, strings, keep_first, width)
+
+    spans = repeated_spans(rows, "bytes", width, gram, kernel, keep_first=True, hot=HOT)
+    schema = T._parse_datatype_string(f"{ID} long, n_bytes long, n_removed long, n_spans long, kept binary, sha string")
+    further = [f for f in rows.schema.fields if f.name not in (ID, TEXT)]
+    return arrow_map(with_spans(rows, spans), dedup_rows, T.StructType([*schema.fields, *further])).withColumnRenamed("sha", "kept_sha256")
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                  gram: int = GRAM) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept binary, kept_sha256) per document.
     `kept` is the remaining bytes; a cut may fall inside a UTF-8 character."""
-    def work(rows: DataFrame) -> DataFrame:
-        spans = repeated_spans(rows, "bytes", width, gram, kernel(width), keep_first=True, hot=HOT)
-        return arrow_map(with_spans(rows, spans), dedup_rows,
-                         f"{ID} long, n_bytes long, n_removed long, n_spans long, kept binary, sha string"
-                         ).withColumnRenamed("sha", "kept_sha256")
-    return run_keyed(docs, work, id_col, text_col)
-
-
-def kernel(width: int):
-    return lambda rid, s, strings, keep_first: repeated_windows(rid, s, strings, keep_first, width)
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`docs` with the repeated bytes taken out of the text (whole characters:
-    UTF-8 fragments left by a cut go as well); a null text stays null."""
-    made = suffix_dedup(docs, id_col, text_col).select(F.col(id_col).alias("kept_of"), "kept", "n_removed")
-    text = F.when(F.col("n_removed") > 0, whole_characters("kept")).otherwise(F.col(text_col))
-    joined = docs.join(made, docs[id_col] == made["kept_of"], "left")
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    return run_keyed(docs, lambda rows: deduplicated(rows, width, gram), id_col, text_col)
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
+                   gram: int = GRAM) -> DataFrame:
+    """`docs` with the repeated bytes taken out of the texts (UTF-8 fragments that a
+    cut leaves go as well); a null text stays null. The other columns travel with
+    the text as one struct, so names can't clash and nothing is joined back."""
+    prepare(docs.sparkSession)
+    text = F.when(F.col("n_removed") > 0, whole_characters("kept")).otherwise(F.col("kept").cast("string"))
+    if odd_ids(docs, id_col):
+        made = run_keyed(docs, lambda rows: deduplicated(rows, width, gram), id_col, text_col, "kept_of")
+        made = made.select(F.col(id_col).alias("kept_id"), "kept_of", text.alias("kept_text")).distinct()
+        joined = docs.join(made, of_row(docs, made, id_col, "kept_id", "kept_of", text_col), "left")
+        return joined.select(*[F.when(docs[c].isNotNull(), made["kept_text"]).alias(c) if c == text_col else docs[c] for c in docs.columns])
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("no text"))
+    made = deduplicated(docs.select(F.col(id_col).cast("long").alias(ID), F.col(text_col).alias(TEXT), rest.alias("rest")), width, gram)
+    return made.select(*[F.when(~F.col("rest")["no text"], text).alias(c) if c == text_col else F.col("rest")[c].alias(c)
+                         for c in docs.columns])
 
 
 def whole_characters(column: str):
     """Text of a binary column without broken UTF-8 sequences."""
     @F.pandas_udf("string")
-    def decode(values):
+    def decode(values: pd.Series) -> pd.Series:
         return values.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
     return decode(F.col(column))
 

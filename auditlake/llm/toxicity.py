@@ -25,15 +25,14 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import ID, TEXT, Memo, arrow_map, id_remainder, read, sample_texts, texts_of
+from auditlake.llm.common import Memo, id_remainder, read, sample_texts
 from auditlake.session import prepare
 
 LETTERS = re.compile(r"[^\W_]+")
@@ -159,47 +158,49 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
     return train(sample_texts(docs, known, s.per_class, 1, s.longest, id_col, text_col), s)
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), id_col: str = "doc_id",
-           text_col: str = "text", least: float = 0.7) -> DataFrame:
-    """(id, held_out, score, predicted) of every row."""
-    spark = prepare(docs.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+def score_of(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), text_col: str = "text") -> Column:
+    """Score of each row's text."""
+    shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
     held: list[Memo] = []
 
-    def rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
         values, bias = shared.value
         if not held:
             def value(word: str) -> float:
                 g = grams(word, s)
                 return float(values[g].sum()) / len(g)
             held.append(Memo(value, 1 << 18))
-        memo = held[0]
-        scores = []
-        for text in texts_of(batch):
-            words = words_of(text.decode("utf-8", "replace"))
-            best = None
-            for at in range(0, len(words), s.passage):
-                known = memo.young.get
-                found = [known(w) for w in words[at:at + s.passage]]
-                if None in found:
-                    found = [memo.add(w) if v is None else v for w, v in zip(words[at:at + s.passage], found)]
-                mean = sum(found) / len(found)
-                best = mean if best is None or mean > best else best
-            scores.append(sigmoid(bias + (best or 0.0)))
-        yield {ID: batch.column(ID), "score": scores}
-
-    rows_in = docs.select(F.col(id_col).cast("long").alias(ID), F.col(text_col).alias(TEXT))
-    out = arrow_map(rows_in, rows, f"{ID} long, score double").withColumnRenamed(ID, id_col)
+        return pd.Series([sigmoid(bias + strongest(words_of(t or ""), held[0], s.passage)) for t in texts])
+
+    return score(F.col(text_col))
+
+
+def strongest(words: list[str], memo: Memo, passage: int) -> float:
+    """The largest mean of a passage's words."""
+    best = None
+    for at in range(0, len(words), passage):
+        part = words[at:at + passage]
+        known = memo.young.get
+        found = [known(w) for w in part]
+        if None in found:
+            found = [memo.add(w) if v is None else v for w, v in zip(part, found)]
+        mean = sum(found) / len(found)
+        best = mean if best is None or mean > best else best
+    return best or 0.0
+
+
+def scored(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), id_col: str = "doc_id",
+           text_col: str = "text", least: float = 0.7) -> DataFrame:
+    """(id, held_out, score, predicted) of every row."""
+    out = docs.select(F.col(id_col), score_of(docs, model, s, text_col).alias("score"))
     return out.select(id_col, F.coalesce(id_remainder(id_col, 3) == 1, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= least).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), least: float = 0.7) -> DataFrame:
-    """`docs` without the rows whose text scores `least` or more. The score is
-    joined by text hash and id, so repeated ids keep their own verdicts."""
-    judged = scored(docs.select("doc_id", "text"), fit(docs, labels, s), s, least=least)
-    bad = judged.where("predicted = 1").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """`docs` without the rows whose text scores `least` or more."""
+    return docs.where(score_of(docs, fit(docs, labels, s), s) < least)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
