@@ -64,10 +64,10 @@ def run_keyed(docs: DataFrame, work: Callable[[DataFrame], DataFrame], id_col: s
         back = named.select(F.col("new_id").alias("component_id"), F.col(ID).alias("old_component"))
         made = made.join(back, "component_id", "left").drop("component_id").withColumnRenamed(
             "old_component", "component_id")
-    digest = F.sha2(F.col(TEXT), 256)
-    names = named.select(F.col("new_id").alias("new_id"), F.col(ID).alias("old_id"), digest.alias("old_sha"))
+    sha = F.sha2(F.col(TEXT), 256)
+    names = named.select(F.col("new_id").alias("new_id"), F.col(ID).alias("old_id"), sha.alias("old_sha"))
     made = made.withColumnRenamed(ID, "new_id").join(names, "new_id").drop("new_id")
-    rows = rows.select(F.col(ID).alias("row_id"), digest.alias("row_sha"))
+    rows = rows.select(F.col(ID).alias("row_id"), sha.alias("row_sha"))
     out = rows.join(made, F.col("row_id").eqNullSafe(F.col("old_id")) & F.col("row_sha").eqNullSafe(F.col("old_sha")))
     if digest:
         out = out.withColumn(digest, F.coalesce("row_sha", F.lit("null")))
@@ -123,9 +123,11 @@ def sample_texts(rows: DataFrame, label: DataFrame, per_class: int, least: int,
     from pyspark.sql import Window
     size, key = F.length(text_col), F.xxhash64(text_col)
     narrow = rows.where(size.between(least, most)).select(F.col(id_col).alias("label_id"), key.alias("key"))
-    order = Window.partitionBy("label").orderBy("key", "label_id")
-    picked = (narrow.join(label, "label_id").withColumn("place", F.row_number().over(order))
-              .where(F.col("place") <= per_class).select("label_id", "label", "key"))
+    picked = narrow.join(label, "label_id")
+    for groups in (["label", F.pmod(F.col("key"), F.lit(64))], ["label"]):   # so the last task reads 64 * per_class rows at most
+        order = Window.partitionBy(*groups).orderBy("key", "label_id")
+        picked = picked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class)
+    picked = picked.select("label_id", "label", "key")
     chosen = picked.collect()       # at most per_class rows of each label
     if not chosen:
         return []

@@ -60,12 +60,13 @@ def shingle_texts(array: Column, size: Column) -> Column:
 
 def simhash(hashes: Column) -> Column:
     """64-bit fingerprint: bit b is set when most shingles' hashes set it."""
-    def votes(b: int) -> Column:
-        return F.aggregate(hashes, F.lit(0), lambda acc, h: acc + (F.shiftrightunsigned(h, b).bitwiseAND(F.lit(1)) * 2 - 1).cast("int"))
-    out = F.lit(0).cast("long")
-    for b in range(BITS):
-        out = out.bitwiseOR(F.when(votes(b) > 0, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
-    return out
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def votes(b: Column) -> Column:
+        return F.aggregate(hashes, none, lambda acc, h: acc + F.call_function("shiftrightunsigned", h, b).bitwiseAND(one) * 2 - 1)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(BITS - 1)), none, lambda out, b: out.bitwiseOR(
+        F.when(votes(b) > 0, F.call_function("shiftleft", one, b)).otherwise(none)))
 
 
 def blocks(fingerprint: str, radius: int) -> Column:
