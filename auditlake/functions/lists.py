@@ -130,4 +130,5 @@ PRIVILEGE_ESCALATION_ACTIONS = [
     "CreateUser", "CreateAccessKey", "AttachUserPolicy", "PutUserPolicy",
     "AddUserToGroup", "CreateRole",
 ]
+ATTACH_POLICY = r"^Attach\w*Policy$"        # of users, groups and roles
 LOG_TAMPERING_ACTIONS = ["StopLogging", "DeleteTrail", "UpdateTrail"]

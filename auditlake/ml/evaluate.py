@@ -15,28 +15,13 @@ from auditlake.functions import columns as C
 from auditlake.functions import lists as L
 from auditlake.operators.ordered import exact_quantile, prefix_sums_over_unique
 
-EXACT_PERCENTILE_MAX_ROWS = 1_000_000   # one task holds a value->count map this large
 
-
-def decision_stats(df: DataFrame, decision: str, contamination: float = L.CONTAMINATION,
-                   n_rows: int | None = None) -> dict:
-    """Offset (the contamination quantile, linear interpolation), min and max.
-
-    Both paths are exact. Spark's `percentile` keeps every value in one
-    aggregation buffer, so it is used only when the row count is known to be
-    small; above that the same value comes from distributed selection
-    (`exact_quantile`).
-    """
-    if n_rows is None:
-        n_rows = df.count()
-    if n_rows > EXACT_PERCENTILE_MAX_ROWS:
-        row = df.agg(F.min(decision).alias("dmin"), F.max(decision).alias("dmax"),
-                     F.count(decision).alias("n")).first()
-        offset = exact_quantile(df, decision, contamination, int(row["n"] or 0))
-        return {"offset": offset, "dmin": row["dmin"], "dmax": row["dmax"], "n": row["n"]}
-    row = df.agg(F.percentile(decision, contamination).alias("offset"), F.min(decision).alias("dmin"),
-                 F.max(decision).alias("dmax"), F.count(F.lit(1)).alias("n")).first()
-    return {k: row[k] for k in ("offset", "dmin", "dmax", "n")}
+def decision_stats(df: DataFrame, decision: str, contamination: float = L.CONTAMINATION) -> dict:
+    """Offset (the contamination quantile, linear interpolation), min, max and rows. The
+    quantile comes from distributed selection (`exact_quantile`) at every table size."""
+    row = df.agg(F.min(decision).alias("dmin"), F.max(decision).alias("dmax"), F.count(decision).alias("n")).first()
+    offset = exact_quantile(df, decision, contamination) if row["n"] else None
+    return {"offset": offset, "dmin": row["dmin"], "dmax": row["dmax"], "n": row["n"]}
 
 
 def flag(decision: str, offset: float) -> Column:
@@ -91,8 +76,9 @@ def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
                  .groupBy(F.col(score).alias("_s"))
                  .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")))
     cum = prefix_sums_over_unique(per_score, "_s", ["neg"], inclusive=False)
+    pos = F.col("pos").cast("double")      # products of counts exceed a long
     area = cum.agg(
-        F.sum(F.col("pos") * F.col("cum_neg") + F.lit(0.5) * F.col("pos") * F.col("neg")).alias("_u"),
+        F.sum(pos * F.col("cum_neg") + F.lit(0.5) * pos * F.col("neg")).alias("_u"),
         F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     auc = F.when((F.col("_p") > 0) & (F.col("_n") > 0),
                  F.col("_u") / (F.col("_p").cast("double") * F.col("_n"))).otherwise(F.lit(0.0))

@@ -58,16 +58,18 @@ def _unit_hash(*cols) -> Column:
 def sample_trees(X: DataFrame, n_rows: int, trees: int = L.FOREST_TREES,
                  psi: int = L.FOREST_SAMPLE, seed: int = L.FOREST_SEED,
                  oversample: float = 3.0, key: str = "event_id") -> DataFrame:
-    """Rows (tree_id, <X columns>) with min(psi, n_rows) rows per tree."""
+    """Rows (tree_id, <X columns>) with min(psi, n_rows) rows per tree. The draw hashes
+    the whole row, so null or repeated ids are drawn like any other."""
     psi_eff = max(1, min(psi, n_rows))
     r = min(1.0, oversample * psi_eff / max(1, n_rows))      # per-tree draw rate
     p_any = min(1.0, trees * r)                              # chance a row is used at all
     cond_rate = r / p_any
-    pre = X.where(_unit_hash(F.col(key), F.lit(seed)) < F.lit(p_any)) if p_any < 1.0 else X
+    row = F.xxhash64(*X.columns)
+    pre = X.where(_unit_hash(row, F.lit(seed)) < F.lit(p_any)) if p_any < 1.0 else X
     # kept rows x trees is at most ~3 psi trees^2 rows whatever the table size;
     # explode + filter stay inside whole-stage codegen
     exploded = (pre.select(F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree_id"), *X.columns)
-                .withColumn("_h", _unit_hash(F.col(key), F.col("tree_id"), F.lit(seed))))
+                .withColumn("_h", _unit_hash(row, F.col("tree_id"), F.lit(seed))))
     if cond_rate < 1.0:
         exploded = exploded.where(F.col("_h") < F.lit(cond_rate))
     rank = F.row_number().over(Window.partitionBy("tree_id").orderBy("_h", key))

@@ -1,17 +1,15 @@
 """Permutation importance of the forest inputs (M10), in one pass.
 
-Rows are spread over partitions by a hash of the event id, so each partition
-is a random sample; inside every Arrow batch each feature column is permuted
-in turn (seeded per batch) and the mean absolute change of the decision is
-accumulated. A final group-by over the per-batch partial sums (34 rows per
-batch) gives the importance. One scan and one small shuffle instead of one
-full re-scoring per feature.
+Rows are dealt to blocks of about BLOCK_ROWS by a seeded hash of their content, so a
+block is a random sample whatever the partitioning or the Arrow batch size. In a
+block, ordered by that hash, each feature column is permuted in turn (seeded by the
+block) and the absolute change of the decision is summed, in whole billionths. A final
+group-by over 34 partial rows per block gives the importance.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
@@ -20,32 +18,32 @@ from pyspark.sql import functions as F
 
 from auditlake.ml.forest import Forest
 
-PARTIAL_SCHEMA = "feature string, abs_sum double, n long"
+PARTIAL_SCHEMA = "feature string, change long, n long"
+BLOCK_ROWS = 4096
+BILLION = 1_000_000_000
 
 
 def permutation_importance(X: DataFrame, names: list[str], forest: Forest, seed: int = 42,
-                           features: str = "features", partitions: int | None = None) -> DataFrame:
-    spark = X.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    spread = X.select("event_id", features).repartition(
-        parts, F.xxhash64("event_id", F.lit(seed))).sortWithinPartitions("event_id")
-
-    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            M = np.stack(pdf[features].to_numpy()).astype(float)
-            first = str(pdf["event_id"].iloc[0])
-            rng = np.random.default_rng([seed, zlib.crc32(first.encode()), len(pdf)])
-            base = forest.score_samples(M)
-            rows = []
-            for j, name in enumerate(names):
-                P = M.copy()
-                P[:, j] = rng.permutation(P[:, j])
-                rows.append((name, float(np.abs(base - forest.score_samples(P)).sum()), len(pdf)))
-            yield pd.DataFrame(rows, columns=["feature", "abs_sum", "n"])
-
-    partial = spread.mapInPandas(per_batch, PARTIAL_SCHEMA)
+                           features: str = "features", n_rows: int | None = None) -> DataFrame:
+    rows = X.count() if n_rows is None else n_rows
+    blocks = max(1, math.ceil(rows / BLOCK_ROWS))
+    order = F.xxhash64("event_id", features, F.lit(seed))
+    dealt = X.select("event_id", features, order.alias("_order")).withColumn("_block", F.pmod("_order", F.lit(blocks)))
+
+    def per_block(pdf: pd.DataFrame) -> pd.DataFrame:
+        M = np.stack(pdf[features].to_numpy()).astype(float)
+        M = M[np.lexsort((*M.T, pdf["_order"].to_numpy()))]     # rows of one hash: by content
+        rng = np.random.default_rng([seed, int(pdf["_block"].iloc[0])])
+        base = forest.score_samples(M)
+        found = []
+        for j, name in enumerate(names):
+            P = M.copy()
+            P[:, j] = rng.permutation(P[:, j])
+            change = np.round(np.abs(base - forest.score_samples(P)) * BILLION).astype(np.int64)
+            found.append((name, int(change.sum()), len(pdf)))
+        return pd.DataFrame(found, columns=["feature", "change", "n"])
+
+    partial = dealt.groupBy("_block").applyInPandas(per_block, PARTIAL_SCHEMA)
     return (partial.groupBy("feature")
-            .agg((F.sum("abs_sum") / F.sum("n")).alias("importance"))
+            .agg((F.sum("change") / F.sum("n") / F.lit(float(BILLION))).alias("importance"))
             .orderBy(F.desc("importance"), F.asc("feature")))

@@ -6,11 +6,12 @@ objective of Schoelkopf et al. (2001) in that feature space,
 
     min_{w, rho}  1/2 |w|^2 + 1/(nu n) sum_i max(0, rho - w.z_i) - rho,
 
-is solved by iterative parameter mixing: every epoch each Arrow batch runs
-local SGD from the current (w, rho) and returns its parameters and row count
-(D + 2 numbers), Spark sums them, and the driver keeps the row-weighted mean.
-The offset is finally set to the nu-quantile of w.z over the training rows, so
-the share of flagged training rows equals nu, like the forest's contamination.
+is solved by full-batch subgradient steps from the mean of z (the solution where every
+row violates): each epoch is one pass that sums z over the violating rows. The sums are
+of whole 2^-30 units, so they don't depend on partitions, batches or their order;
+only D + 1 numbers per partition reach the shuffle. The offset is finally set to the
+nu-quantile of w.z over the training rows, so the share of flagged training rows
+equals nu, like the forest's contamination.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from auditlake.operators.ordered import exact_quantile
+
 
 @dataclass
 class OneClassModel:
@@ -56,53 +59,50 @@ class OneClassModel:
         return score
 
 
+UNIT = float(1 << 30)
+
+
 def fit(X: DataFrame, n_features: int, n_rows: int, nu: float = 0.1, components: int = 128,
-        gamma: float | None = None, epochs: int = 6, lr: float = 0.05, seed: int = 42,
+        gamma: float | None = None, epochs: int = 6, seed: int = 42,
         features: str = "features") -> OneClassModel:
     rng = np.random.default_rng([seed, 7])
     gamma = gamma or 1.0 / max(1, n_features)
     W = rng.normal(0.0, np.sqrt(2.0 * gamma), size=(n_features, components))
     b = rng.uniform(0.0, 2.0 * np.pi, size=components)
-    base = OneClassModel(W, b, np.zeros(components), 0.0)
-    w, rho = np.full(components, 1.0 / np.sqrt(components)), 0.0
-    inv = 1.0 / (nu * max(1, n_rows))
-    schema = "w array<double>, rho double, n long"
-
-    for epoch in range(epochs):
-        w0, rho0, step = w.copy(), rho, lr / np.sqrt(epoch + 1)
-
-        def local_sgd(batches: Iterator[pd.DataFrame], w0=w0, rho0=rho0, step=step,
-                      epoch=epoch) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                Z = base.embed(np.stack(pdf[features].to_numpy()).astype(float))
-                m = len(Z)
-                lw, lr_ = w0.copy(), rho0
-                order = np.random.default_rng([seed, epoch, m]).permutation(m)
-                # scale the per-row step so one local pass matches one full-data pass
-                for chunk in np.array_split(order, max(1, m // 256)):
-                    zc = Z[chunk]
-                    viol = zc @ lw < lr_
-                    gw = lw * (len(chunk) / n_rows) - inv * zc[viol].sum(axis=0)
-                    gr = inv * viol.sum() - len(chunk) / n_rows
-                    lw -= step * gw * (n_rows / m)
-                    lr_ -= step * gr * (n_rows / m)
-                yield pd.DataFrame({"w": [lw.tolist()], "rho": [float(lr_)], "n": [m]})
-
-        parts = X.select(features).mapInPandas(local_sgd, schema)
-        agg = parts.select(F.posexplode("w").alias("i", "wi"), "rho", "n").groupBy("i").agg(
-            F.sum(F.col("wi") * F.col("n")).alias("sw"), F.sum(F.col("rho") * F.col("n")).alias("sr"),
-            F.sum("n").alias("sn")).orderBy("i").collect()
-        if not agg:
-            break
-        total = float(agg[0]["sn"])
-        w = np.array([r["sw"] for r in agg]) / total
-        rho = float(agg[0]["sr"]) / total
-
-    model = OneClassModel(W, b, w, rho)
-    from auditlake.operators.ordered import exact_quantile
+    model = OneClassModel(W, b, np.zeros(components), 0.0)
+    n = max(1, n_rows)
+    for epoch in range(epochs + 1):
+        # no row reaches an infinite rho: the first pass sums all rows
+        total, violating = violation_sums(X, OneClassModel(W, b, model.w, model.rho if epoch else np.inf), features)
+        if not epoch:
+            model.w = total / n
+            model.rho = float(model.w @ model.w)
+            continue
+        step = 1.0 / (epoch + 1)
+        model.w = model.w - step * (model.w - total / (nu * n))
+        model.rho -= step * (violating / (nu * n) - 1.0) * abs(model.rho)
     scores = X.select(model.raw_udf()(F.col(features)).alias("s"))
-    q = exact_quantile(scores, "s", nu, n_rows)
-    model.rho = float(q) if q is not None else rho
+    q = exact_quantile(scores, "s", nu)
+    model.rho = float(q) if q is not None else model.rho
     return model
+
+
+def violation_sums(X: DataFrame, model: OneClassModel, features: str) -> tuple[np.ndarray, int]:
+    """Sum of z over the rows below rho, and their number."""
+    size = model.W.shape[1]
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, count = np.zeros(size, np.int64), 0
+        for pdf in batches:
+            if len(pdf):
+                Z = model.embed(np.stack(pdf[features].to_numpy()).astype(float))
+                below = np.round(Z @ model.w * UNIT) < model.rho * UNIT
+                total += np.round(Z[below] * UNIT).astype(np.int64).sum(axis=0)
+                count += int(below.sum())
+        yield pd.DataFrame({"i": np.arange(size + 1), "v": [*total.tolist(), count]})
+
+    rows = (X.select(features).mapInPandas(sums, "i long, v long").groupBy("i")
+            .agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v")).orderBy("i").collect())
+    if not rows:
+        return np.zeros(size), 0
+    return np.array([float(r["v"]) for r in rows[:size]]) / UNIT, int(rows[size]["v"])

@@ -17,13 +17,13 @@ each lookup derived from it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from auditlake.functions import columns as C
-from auditlake.operators.lookup import materialize
+from auditlake.operators.lookup import fits_broadcast, materialize
 
 KEYS = ["user_name", "source_ip", "event_name", "_minute", "_hour"]
 SETS = {
@@ -56,6 +56,18 @@ class EventStats:
     rows: dict                # set name -> exact row count
     total_rows: int = 0       # rows of the input
     timed_rows: int = 0       # rows of the input with a time
+    exact: dict = field(default_factory=dict)   # key -> distinct keys, where counted
+
+    def key_count(self, key: str, pairs: str, lookup: DataFrame) -> int:
+        """Rows of a single-key lookup. The number of pairs it is made from is a bound;
+        where that is too loose for a broadcast, its own rows are counted (a small
+        aggregate of the written table)."""
+        loose = self.rows[pairs]
+        if fits_broadcast(self.table.sparkSession, lookup.schema, loose):
+            return loose
+        if key not in self.exact:
+            self.exact[key] = self._set(pairs).select(key).distinct().count()
+        return self.exact[key]
 
     # ---------------------------------------------------------- lookups
     def _set(self, name: str) -> DataFrame:
@@ -72,19 +84,19 @@ class EventStats:
                    F.count(F.when(ui, F.col("source_ip"))).alias("user_unique_ips"),
                    F.count(F.when(ue, F.col("event_name"))).alias("user_unique_event_types"),
                    F.sum(F.when(ui, F.col(err))).alias("user_error_count")))
-        return lk, self.rows["user_ip"]
+        return lk, self.key_count("user_name", "user_ip", lk)
 
     def ips(self) -> tuple[DataFrame, int]:
         lk = (self._set("user_ip").where(F.col("source_ip").isNotNull())
               .groupBy("source_ip")
               .agg(F.sum("n").alias("ip_event_count"),
                    F.count("user_name").alias("ip_unique_users")))
-        return lk, self.rows["user_ip"]
+        return lk, self.key_count("source_ip", "user_ip", lk)
 
     def event_names(self) -> tuple[DataFrame, int]:
         lk = (self._set("user_event").where(F.col("event_name").isNotNull())
               .groupBy("event_name").agg(F.sum("n").alias("event_type_frequency")))
-        return lk, self.rows["user_event"]
+        return lk, self.key_count("event_name", "user_event", lk)
 
     def minutes(self) -> tuple[DataFrame, int]:
         lk = (self._set("minute").where(F.col("_minute").isNotNull())
@@ -117,5 +129,7 @@ def event_stats(df: DataFrame, time_col: str = "event_time") -> EventStats:
     table, counts = materialize(grouped, "event_stats", **{
         name: F.count_if(F.col("_gid") == g) for name, g in GID.items()})
     rows = {name: int(counts.get(name) or 0) for name in GID}
+    if not any(rows.values()):     # an empty input is planned without the observation
+        return EventStats(table, rows)
     seen = obs.get
     return EventStats(table, rows, int(seen["rows"] or 0), int(seen["timed"] or 0))

@@ -17,17 +17,34 @@ from pyspark.sql import functions as F
 from auditlake.functions import columns as C
 from auditlake.functions import lists as L
 from auditlake.operators.event_stats import EventStats, hour_key, minute_key
-from auditlake.operators.lookup import attach
+from auditlake.operators.lookup import attach, materialize
 from auditlake.operators.ordered import lag_over_unique, range_cuts
 
 ROW_ID = "_rid"
 
 
+# plan nodes under which every branch that reads the rows again sees them in the same places
+SCAN_NODES = {"Project", "Filter", "LogicalRelation", "Relation", "DataSourceV2ScanRelation", "LocalRelation",
+              "SubqueryAlias", "View"}
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether `df` is a deterministic projection or filter of stored rows."""
+    def plain(node) -> bool:
+        children = node.children()
+        # a file relation's name carries its format
+        return node.nodeName().split(" ")[0] in SCAN_NODES and all(plain(children.apply(i)) for i in range(children.size()))
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return bool(plan.deterministic()) and plain(plan)
+
+
 def with_row_id(df: DataFrame) -> DataFrame:
-    """Stable per-row id, taken right after the scan (before any shuffle), so
-    every branch that re-reads the same files sees the same ids. It only breaks
-    exact ties of (event_time, event_id) in the global gap."""
-    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    """Stable per-row id. Rows straight from a scan get it in the scan, which every
+    branch repeats alike. Rows that come out of a shuffle (de-duplicated logs,
+    joins) may be dealt differently each time they are computed, so they are
+    written once with their id; the branches read that table."""
+    numbered = df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    return numbered if is_scan(df) else materialize(numbered, "rows")[0]
 
 
 def spread_narrow_input(df: DataFrame, min_share: float = 0.5) -> DataFrame:
@@ -104,15 +121,23 @@ def add_network_flags(df: DataFrame) -> DataFrame:
     })
 
 
+def add_agent_flags(df: DataFrame) -> DataFrame:
+    return df.withColumns({
+        "is_suspicious_user_agent": C.flag(C.is_suspicious_user_agent("user_agent")),
+        "is_console_access": C.flag(C.is_console_access("user_agent")),
+    })
+
+
+def row_features(df: DataFrame, semantics: str = C.ERROR_PRESENT) -> DataFrame:
+    """Every feature that needs only its own row."""
+    return add_agent_flags(add_network_flags(add_event_flags(add_time_features(df), semantics)))
+
+
 def add_network_features(df: DataFrame, stats: EventStats) -> DataFrame:
     out = add_network_flags(df)
     lk, bound = stats.ips()
     out = attach(out, lk, bound, ["source_ip"])
-    return out.withColumns({
-        "is_shared_ip": C.flag(F.col("ip_unique_users") > 1),
-        "is_suspicious_user_agent": C.flag(C.is_suspicious_user_agent("user_agent")),
-        "is_console_access": C.flag(C.is_console_access("user_agent")),
-    })
+    return add_agent_flags(out.withColumn("is_shared_ip", C.flag(F.col("ip_unique_users") > 1)))
 
 
 # ----------------------------------------------------------------- temporal

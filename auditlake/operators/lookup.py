@@ -57,12 +57,12 @@ def fits_broadcast(spark: SparkSession, schema: T.StructType, rows_bound: int) -
 
 
 def broadcast_or_shuffle(lookup: DataFrame, rows_bound: int) -> DataFrame:
-    """Broadcast hint under the proven bound; otherwise an explicit shuffled
-    hash join hint, so the planner does not broadcast on its own (possibly
+    """Broadcast hint under the proven bound; otherwise a sort-merge join hint: it
+    spills, and the planner does not broadcast on its own (possibly
     compressed-size) estimate. AQE still splits skewed partitions."""
     if fits_broadcast(lookup.sparkSession, lookup.schema, rows_bound):
         return F.broadcast(lookup)
-    return lookup.hint("shuffle_hash")
+    return lookup.hint("merge")
 
 
 def attach(df: DataFrame, lookup: DataFrame, rows_bound: int, keys: list[str],
@@ -97,8 +97,13 @@ def materialize(df: DataFrame, name: str = "tbl", **metrics: Column) -> tuple[Da
     obs = Observation(f"{name}_metrics") if metrics else None
     src = df.observe(obs, *[c.alias(k) for k, c in metrics.items()]) if obs else df
     src.write.mode("error").parquet(path)
-    values = dict(obs.get) if obs else {}
-    return spark.read.parquet(path), values
+    back = spark.read.schema(df.schema).parquet(path)
+    if not obs:
+        return back, {}
+    try:
+        return back, dict(obs.get)
+    except Exception:  # noqa: BLE001  an input known to be empty is planned without the observation
+        return back, back.agg(*[c.alias(k) for k, c in metrics.items()]).first().asDict()
 
 
 def attach_many(df: DataFrame, specs: list, row_id: str) -> DataFrame:

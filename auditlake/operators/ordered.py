@@ -124,58 +124,58 @@ SELECT_FINAL_ROWS = 50_000
 SELECT_BUCKETS = 1000
 
 
-def kth_smallest(df: DataFrame, col: str, ks: list[int], rows: int | None = None) -> dict[int, float]:
-    """Exact order statistics (0-based ranks `ks`) of a numeric column.
+def kth_smallest(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
+    """Exact order statistics (0-based ranks `ks`) of a numeric column; nulls and
+    NaN are not ranked, infinities are. A rank beyond the rows is an error.
 
-    Each round cuts the current value range into about SELECT_BUCKETS ranges
+    Each round cuts the current closed value range into about SELECT_BUCKETS ranges
     from a hash sample, counts rows per range in one aggregate (count, min,
     max per range: a table of at most SELECT_BUCKETS rows) and keeps the range
     holding the wanted rank; once the range holds at most SELECT_FINAL_ROWS
     rows the answer comes from a bounded top-k. Every round is one scan of one
     column; nothing unbounded meets in one task or on the driver.
     """
-    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    out = {}
+    vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    rows = vals.count()
+    out: dict[int, float] = {}
     for k in ks:
-        lo, hi, below = -math.inf, math.inf, 0
-        n_in = rows if rows is not None else vals.count()
+        if not 0 <= k < rows:
+            raise ValueError(f"rank {k} of {rows} rows")
+        rng, below, n_in = vals, 0, rows
         while k not in out:
-            rng = vals.where((F.col("_v") >= F.lit(lo)) & (F.col("_v") < F.lit(hi)))
             if n_in <= SELECT_FINAL_ROWS:
-                got = rng.orderBy("_v").offset(k - below).limit(1).collect()
-                out[k] = float(got[0]["_v"])
+                out[k] = float(rng.orderBy("_v").offset(k - below).limit(1).collect()[0]["_v"])
                 break
             cuts = range_cuts(rng, "_v", n_buckets=SELECT_BUCKETS, rows=n_in, per_row=True)
             hist = (with_range_bucket(rng, "_v", cuts=cuts).groupBy("_bkt")
                     .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
                     .orderBy("_bkt").collect())
-            seen = below
             for h in hist:
-                if seen + h["n"] > k:
-                    if h["mn"] == h["mx"]:           # one value fills the range
-                        out[k] = float(h["mn"])
-                    elif h["n"] >= n_in:             # no progress: peel off the smallest value
-                        n_eq = rng.where(F.col("_v") == F.lit(h["mn"])).count()
-                        if seen + n_eq > k:
-                            out[k] = float(h["mn"])
-                        else:
-                            lo, hi, below, n_in = (math.nextafter(h["mn"], math.inf),
-                                                   math.nextafter(h["mx"], math.inf),
-                                                   seen + n_eq, h["n"] - n_eq)
-                    else:
-                        lo, hi, below, n_in = h["mn"], math.nextafter(h["mx"], math.inf), seen, h["n"]
+                if below + h["n"] > k:
                     break
-                seen += h["n"]
+                below += h["n"]
+            if h["mn"] == h["mx"]:               # one value fills the range
+                out[k] = float(h["mn"])
+                break
+            lo, hi, n = h["mn"], h["mx"], h["n"]
+            if n == n_in:                        # no progress: peel off the smallest value
+                n_eq = rng.where(F.col("_v") == F.lit(lo)).count()
+                if below + n_eq > k:
+                    out[k] = float(lo)
+                    break
+                lo, below, n = math.nextafter(lo, math.inf), below + n_eq, n - n_eq
+            rng, n_in = vals.where((F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi))), n
     return out
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, rows: int) -> float | None:
+def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
     """Quantile with linear interpolation between order statistics (numpy's
-    default), exact at any table size (see `kth_smallest`)."""
-    if rows <= 0:
+    default), exact at any table size (see `kth_smallest`); null without rows."""
+    rows = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).count()
+    if not rows:
         return None
     pos = q * (rows - 1)
     lo = int(math.floor(pos))
     hi = min(lo + 1, rows - 1)
-    got = kth_smallest(df, col, sorted({lo, hi}), rows=rows)
-    return got[lo] + (pos - lo) * (got[hi] - got[lo])
+    got = kth_smallest(df, col, sorted({lo, hi}))
+    return got[lo] if got[lo] == got[hi] else got[lo] + (pos - lo) * (got[hi] - got[lo])

@@ -26,7 +26,8 @@ def _event_rows(df: DataFrame, cond) -> DataFrame:
 
 def privilege_escalation(df: DataFrame) -> DataFrame:
     """Identity changes that grant or create access."""
-    return _event_rows(df, C.in_list("event_name", L.PRIVILEGE_ESCALATION_ACTIONS))
+    grants = C.in_list("event_name", L.PRIVILEGE_ESCALATION_ACTIONS) | F.col("event_name").rlike(L.ATTACH_POLICY)
+    return _event_rows(df, grants)
 
 
 def log_tampering(df: DataFrame) -> DataFrame:

@@ -336,6 +336,7 @@ SELECT 'raw' AS zone, COUNT(*) AS rows FROM trail UNION ALL SELECT 'processed' A
     o["event_has_error_ref"] = feature_cols("has_error", semantics="reference")
     o["risk_score_ref"] = feature_cols("risk_score", semantics="reference")
     o["features_full"] = with_features("SELECT * FROM feat")
+    o["features_after_dedup"] = o["features_full"]
     o["features_full_ref"] = with_features("SELECT * FROM feat", "reference")
     o["join_threat_feed"] = feature_cols("is_suspicious_ip")
     # ---- summaries
@@ -368,6 +369,7 @@ ORDER BY event_count DESC, user_name ASC LIMIT 5"""
     o["feat_statistics"] = with_features(stat_rows)
     # ---- named SQL
     o.update(_sql_catalog())
+    o["stored_top_users"] = o["sql_top_users"]
     # ---- detector operators on the rule decision
     sel = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in _ML34)
     o["ml_select_features"] = with_features(f"SELECT event_id, {sel} FROM feat")
@@ -409,7 +411,8 @@ ORDER BY ml_anomaly_score DESC NULLS LAST, event_id ASC LIMIT 5""")
     # ---- threats
     o["threat_privilege_escalation"] = f"""WITH trail AS ({TRAIL})
 SELECT event_id, event_time, user_name, event_name, source_ip FROM trail
-WHERE event_name IN ('CreateUser','CreateAccessKey','AttachUserPolicy','PutUserPolicy','AddUserToGroup','CreateRole')"""
+WHERE event_name IN ('CreateUser','CreateAccessKey','AttachUserPolicy','PutUserPolicy','AddUserToGroup','CreateRole')
+   OR regexp_full_match(event_name, 'Attach[A-Za-z0-9_]*Policy')"""
     o["threat_log_tampering"] = f"""WITH trail AS ({TRAIL})
 SELECT event_id, event_time, user_name, event_name, source_ip FROM trail
 WHERE event_name IN ('StopLogging','DeleteTrail','UpdateTrail')"""

@@ -40,15 +40,15 @@ class Detection:
 
     def evaluation(self) -> DataFrame:
         y = PR.ground_truth(self.scored)
-        if y is None:
+        if y is None:                  # without labels there is nothing to evaluate
             return self.scored.sparkSession.createDataFrame([], "accuracy double")
-        lab = self.predictions.select(
-            y.alias("y") if "is_anomaly_original" in self.predictions.columns else F.lit(0).alias("y"),
-            "ml_anomaly_prediction")
+        lab = self.predictions.select(y.alias("y"), "ml_anomaly_prediction")
         return EV.metrics_from_confusion(EV.confusion(lab, "y", "ml_anomaly_prediction"))
 
     def roc_auc(self) -> DataFrame:
         y = PR.ground_truth(self.scored)
+        if y is None:
+            return self.scored.sparkSession.createDataFrame([], "roc_auc double")
         df = self.predictions.select(y.alias("y"), F.col("_score_raw"))
         return EV.roc_auc(df, "y", "_score_raw")
 
@@ -82,7 +82,7 @@ def detect(features: DataFrame, trees: int = L.FOREST_TREES, psi: int = L.FOREST
     scored, m = materialize(with_score, "scored",
                             smin=F.min("_score_samples"), smax=F.max("_score_samples"))
     # 4) the contamination quantile of the written scores (one column)
-    st = EV.decision_stats(scored.select("_score_samples"), "_score_samples", contamination, n_rows=n)
+    st = EV.decision_stats(scored.select("_score_samples"), "_score_samples", contamination)
     offset = float(st["offset"]) if st["offset"] is not None else 0.0
     dmin = None if m.get("smin") is None else float(m["smin"]) - offset
     dmax = None if m.get("smax") is None else float(m["smax"]) - offset
@@ -103,7 +103,7 @@ def prediction_table(d: Detection) -> DataFrame:
 
 
 def importance(d: Detection, seed: int = L.FOREST_SEED) -> DataFrame:
-    return permutation_importance(d.matrix(), d.names, d.forest, seed)
+    return permutation_importance(d.matrix(), d.names, d.forest, seed, n_rows=d.n_rows)
 
 
 def summary_frame(spark: SparkSession, d: Detection, top: int = 10) -> DataFrame:
@@ -112,7 +112,8 @@ def summary_frame(spark: SparkSession, d: Detection, top: int = 10) -> DataFrame
     auc = d.roc_auc().first()
     imp = importance(d).limit(top).collect()
     m = ev.asDict() if ev else {}
-    m["roc_auc"] = float(auc["roc_auc"]) if auc else 0.0
+    if auc:
+        m["roc_auc"] = float(auc["roc_auc"])
     row = {
         "model": "Isolation Forest",
         "parameters": {k: float(v) if isinstance(v, float) else int(v) for k, v in d.params.items()},
@@ -151,7 +152,10 @@ def consensus(d: Detection, nu: float = L.CONTAMINATION, seed: int = L.FOREST_SE
 
 def holdout_metrics(features: DataFrame, test_share: float = 0.2, seed: int = L.FOREST_SEED,
                     trees: int = L.FOREST_TREES) -> DataFrame:
-    """Fit on a hash split of the events, evaluate on the held-out rest."""
+    """Fit on a hash split of the events, evaluate on the held-out rest. The
+    feature table is written once and read by both; its whole-table counts
+    (per user, event, address) cover both parts, as in the in-sample run."""
+    features, _ = materialize(features, "holdout-features")
     is_test = F.pmod(F.xxhash64("event_id", F.lit(seed)), F.lit(1000)) < F.lit(int(test_share * 1000))
     d = detect(features.where(~is_test), trees=trees, seed=seed)
     test = features.where(is_test)

@@ -77,9 +77,8 @@ def rule_scored(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
     """Features with a deterministic decision column (-risk_score_normalized,
     higher = more normal) for exact checks of the detector's operators."""
     f, m = materialize(features(spark, sf).withColumn("_decision", -F.col("risk_score_normalized")),
-                       "rule-scored", dmin=F.min("_decision"), dmax=F.max("_decision"),
-                       n=F.count(F.lit(1)))
-    st = EV.decision_stats(f.select("_decision"), "_decision", L.CONTAMINATION, n_rows=int(m["n"] or 0))
+                       "rule-scored", dmin=F.min("_decision"), dmax=F.max("_decision"))
+    st = EV.decision_stats(f.select("_decision"), "_decision", L.CONTAMINATION)
     return f, {**st, "dmin": m["dmin"], "dmax": m["dmax"]}
 
 
@@ -102,11 +101,21 @@ def _user(col, sem=C.ERROR_PRESENT):
     return lambda s, sf: _pick(with_user_features(flat(s, sf), sem), col)
 
 
+# flags that need nothing but their own row: no statistics job
+ROW_EVENT = {"is_sensitive_action", "is_recon_action", "is_data_access", "has_error", "is_access_denied",
+             "service_category", "service_category_encoded"}
+ROW_NETWORK = {"is_suspicious_ip", "is_internal_ip", "is_aws_internal", "is_suspicious_user_agent", "is_console_access"}
+
+
 def _event(col, sem=C.ERROR_PRESENT):
+    if col in ROW_EVENT:
+        return lambda s, sf: _pick(FT.add_event_flags(flat(s, sf), sem), col)
     return lambda s, sf: _pick(with_event_features(flat(s, sf), sem), col)
 
 
 def _net(col):
+    if col in ROW_NETWORK:
+        return lambda s, sf: _pick(FT.add_agent_flags(FT.add_network_flags(flat(s, sf))), col)
     return lambda s, sf: _pick(with_network_features(flat(s, sf)), col)
 
 
@@ -119,6 +128,8 @@ def _feat(col, sem=C.ERROR_PRESENT):
 
 
 def _sql(name):
+    if name in CAT.ROW_LOCAL:
+        return lambda s, sf: out(CAT.run_query(s, name, FT.row_features(flat(s, sf))))
     return lambda s, sf: out(CAT.run_query(s, name, features(s, sf)))
 
 
@@ -289,6 +300,12 @@ def q_ml_holdout_metrics(s, sf):
     return DET.holdout_metrics(features(s, sf))
 
 
+def q_stored_top_users(s, sf):
+    """S3: the features written once as a date-partitioned table; a report's text runs on it."""
+    name = CAT.store_events(features(s, sf), scratch_path(s, "security-events"))
+    return s.sql(CAT.get_query("top_users", name))
+
+
 # --------------------------------------------------------------- threats
 def q_join_threat_feed(s, sf):
     fl = flat(s, sf)
@@ -302,30 +319,32 @@ def q_join_threat_feed(s, sf):
 # ------------------------------------------------------------- streaming
 def q_stream_flatten(s, sf):
     src = raw_dir(s, sf)
-    path = ST.run_to_parquet(ST.row_local_stream(ST.read_raw_stream(s, src)), "stream-flat")
-    return out(s.read.parquet(path).select("event_id", "event_time", "hour", "is_sensitive_action",
+    rows = ST.row_local_stream(ST.read_raw_stream(s, src))
+    path = ST.run_to_parquet(rows, "stream-flat")
+    return out(s.read.schema(rows.schema).parquet(path).select("event_id", "event_time", "hour", "is_sensitive_action",
                                            "is_suspicious_ip", "parser_risk_level"))
 
 
 def q_stream_minute_counts(s, sf):
     src = raw_dir(s, sf)
     events = ST.read_raw_stream(s, src).select(*ST.flat_columns())
-    path = ST.run_to_parquet(ST.minute_counts(events), "stream-minutes")
-    return s.read.parquet(path)
+    counts = ST.minute_counts(events)
+    return s.read.schema(counts.schema).parquet(ST.run_to_parquet(counts, "stream-minutes"))
 
 
 def q_stream_user_hour_counts(s, sf):
     src = raw_dir(s, sf)
     events = ST.read_raw_stream(s, src).select(*ST.flat_columns())
-    path = ST.run_to_parquet(ST.user_hour_counts(events), "stream-user-hours")
-    return s.read.parquet(path)
+    counts = ST.user_hour_counts(events)
+    return s.read.schema(counts.schema).parquet(ST.run_to_parquet(counts, "stream-user-hours"))
 
 
 def q_alerts_high_severity(s, sf):
     src = raw_dir(s, sf)
     stream = ST.row_local_stream(ST.read_raw_stream(s, src))
-    path = ST.run_foreach_batch(ST.alerts(stream), "alerts")
-    return out(s.read.parquet(path).select("event_id", "parser_risk_level"))
+    found = ST.alerts(stream)
+    path = ST.run_foreach_batch(found, "alerts")
+    return out(ST.read_batches(s, path, found).select("event_id", "parser_risk_level"))
 
 
 def q_baseline_tables(s, sf):
@@ -334,9 +353,8 @@ def q_baseline_tables(s, sf):
     src = raw_dir(s, sf)
     stream = ST.read_raw_stream(s, src).select(*ST.flat_columns())
     enriched = ST.enrich_with_baselines(stream, stats)
-    path = ST.run_to_parquet(enriched.select("event_id", "user_total_events", "event_type_frequency",
-                                             "ip_event_count"), "stream-enriched")
-    return s.read.parquet(path)
+    rows = enriched.select("event_id", "user_total_events", "event_type_frequency", "ip_event_count")
+    return s.read.schema(rows.schema).parquet(ST.run_to_parquet(rows, "stream-enriched"))
 
 
 # ------------------------------------------------------------- registry
@@ -403,6 +421,7 @@ def registry() -> dict[str, Query]:
     q["risk_level"] = _feat("risk_level")
     q["risk_level_encoded"] = _feat("risk_level_encoded")
     q["features_full"] = lambda s, sf: out(features(s, sf))
+    q["features_after_dedup"] = lambda s, sf: out(build_features(flat(s, sf).dropDuplicates(["event_id"])))
     q["features_full_ref"] = lambda s, sf: out(features(s, sf, C.ERROR_REFERENCE))
     q["join_threat_feed"] = q_join_threat_feed
     # summaries
@@ -420,6 +439,7 @@ def registry() -> dict[str, Query]:
     # named SQL
     for name in CAT.list_queries():
         q[f"sql_{name}"] = _sql(name)
+    q["stored_top_users"] = q_stored_top_users
     # detector operators over a rule decision (exact oracles)
     q["ml_select_features"] = q_ml_select_features
     q["ml_ground_truth"] = q_ml_ground_truth

@@ -100,6 +100,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if conf_dir:
+        if not sc.master.startswith("local") and conf_dir.split(":")[0] in ("file", conf_dir):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder, not a path of one machine")
         sc.setCheckpointDir(conf_dir)
     elif sc.master.startswith("local"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="auditlake-ckpt-"))

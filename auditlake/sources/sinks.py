@@ -36,17 +36,26 @@ def features_schema() -> T.StructType:
     return T.StructType(fields)
 
 
+# CSV that keeps line ends, quotes, outer spaces, and null apart from the empty text
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+       "ignoreTrailingWhiteSpace": False, "nullValue": ""}
+CSV_WRITE, CSV_READ = {**CSV, "emptyValue": '""'}, {**CSV, "emptyValue": "", "multiLine": True}
+
+
 # ------------------------------------------------------------------ parsed
 def write_parsed_csv(parsed: DataFrame, path: str) -> str | None:
     """K1: header + rows; nothing is written for an empty input."""
     if parsed.isEmpty():
         return None
-    parsed.write.mode("error").option("header", True).csv(path)
+    parsed.write.mode("error").options(**CSV_WRITE).csv(path)
     return path
 
 
-def read_parsed_csv(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return spark.read.schema(like.schema).option("header", True).csv(path)
+def read_parsed_csv(spark: SparkSession, path: str | None, like: DataFrame) -> DataFrame:
+    """The rows again, in the schema of `like`; no path (empty input): no rows."""
+    if path is None:
+        return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).options(**CSV_READ).csv(path)
 
 
 def write_parsed_json(parsed: DataFrame, path: str) -> str | None:
@@ -63,7 +72,7 @@ def write_features(features: DataFrame, path: str, fmt: str = "parquet") -> str:
     time-bounded reports). CSV keeps the flat reference layout."""
     if fmt == "csv":
         (features.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-         .write.mode("error").option("header", True).option("timestampNTZFormat", NTZ_FORMAT).csv(path))
+         .write.mode("error").options(**CSV_WRITE).option("timestampNTZFormat", NTZ_FORMAT).csv(path))
         return path
     (features.withColumn("event_date", F.to_date("event_time"))
      .write.mode("error").partitionBy("event_date").parquet(path))
@@ -76,7 +85,7 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
         schema = features_schema()
         fields = [T.StructField(f.name, T.TimestampNTZType() if f.name == "event_time" else f.dataType)
                   for f in schema.fields]
-        df = (spark.read.schema(T.StructType(fields)).option("header", True)
+        df = (spark.read.schema(T.StructType(fields)).options(**CSV_READ)
               .option("timestampNTZFormat", NTZ_FORMAT).csv(path))
         return df.withColumn("event_time", F.col("event_time").cast("timestamp"))
     return spark.read.parquet(path).select(*FEATURE_COLUMNS)

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlake.functions import columns as C
 from auditlake.operators import features as FT
@@ -65,10 +66,12 @@ def user_hour_counts(events: DataFrame, watermark: str = WATERMARK) -> DataFrame
 
 
 def alerts(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """High and critical parser-level events, one row per event id."""
+    """High and critical parser-level events, one row per event id; events without
+    an id count as the same only if they agree in every column."""
+    key = F.coalesce(F.col("event_id"), F.sha2(F.to_json(F.struct(*events.columns)), 256))
     return (events.where(F.col("parser_risk_level").isin("high", "critical"))
-            .withWatermark("event_time", watermark)
-            .dropDuplicatesWithinWatermark(["event_id"]))
+            .withColumn("_alert", key).withWatermark("event_time", watermark)
+            .dropDuplicatesWithinWatermark(["_alert"]).drop("_alert"))
 
 
 def enrich_with_baselines(stream: DataFrame, stats: EventStats) -> DataFrame:
@@ -108,3 +111,10 @@ def run_foreach_batch(df: DataFrame, name: str, key: str = "event_id",
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return out
+
+
+def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The rows that `run_foreach_batch` wrote (none, if no batch had any)."""
+    schema = T.StructType([*like.schema.fields, T.StructField("_batch_id", T.IntegerType())])
+    spark.createDataFrame([], schema).write.mode("append").partitionBy("_batch_id").parquet(path)
+    return spark.read.schema(schema).parquet(path)
