@@ -189,7 +189,9 @@ def repeated_spans(docs: DataFrame, kind: str, width: int, gram: int, kernel: Ca
     """(rid, s, e): spans of symbols of (rid, body) rows covered by windows of
     `width` symbols that also start elsewhere: earlier, if `keep_first`, else
     anywhere. Spans may overlap and repeat. `kernel(rid, s, strings, keep_first)`
-    gets the rows of a bucket and yields (row, from window, to window) of repeated windows."""
+    gets rows of whole anchors of a bucket, KERNEL_SEGMENTS or up to `hot` more at a time (its
+    memory is bounded by that, not by the bucket), and yields (row, from window, to window)
+    of repeated windows."""
     spark = docs.sparkSession
     occ = arrow_map(docs.select(ID, TEXT).where(F.length(TEXT) > 0), anchor_rows(kind, width, gram), f"h long, u long, {ID} long, s int, n int")
     live, _ = materialize(occ.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "anchors")
