@@ -38,8 +38,10 @@ def features_schema() -> T.StructType:
 
 # CSV that keeps line ends, quotes, outer spaces, and null apart from the empty text
 CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
-       "ignoreTrailingWhiteSpace": False, "nullValue": ""}
-CSV_WRITE, CSV_READ = {**CSV, "emptyValue": '""'}, {**CSV, "emptyValue": "", "multiLine": True}
+       "ignoreTrailingWhiteSpace": False}
+CSV_WRITE = {**CSV, "nullValue": "", "emptyValue": '""'}
+# a bare empty field takes the null mark when read, a quoted one stays the empty text
+CSV_READ = {**CSV, "nullValue": "\0", "emptyValue": "", "multiLine": True}
 
 
 # ------------------------------------------------------------------ parsed
@@ -88,7 +90,8 @@ def read_features(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
         df = (spark.read.schema(T.StructType(fields)).options(**CSV_READ)
               .option("timestampNTZFormat", NTZ_FORMAT).csv(path))
         return df.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    return spark.read.parquet(path).select(*FEATURE_COLUMNS)
+    schema = T.StructType([*features_schema().fields, T.StructField("event_date", T.DateType())])
+    return spark.read.schema(schema).parquet(path).select(*FEATURE_COLUMNS)
 
 
 def feature_summary_document(summary_row: DataFrame) -> DataFrame:

@@ -106,7 +106,7 @@ def test_lookup_falls_back_to_shuffle_join_when_too_big(spark):
             spark.conf.set("auditlake.broadcast.maxBytes", old)
     assert n == fl.count()
     assert got == want                       # same 59 columns either way
-    assert plan.count("ShuffledHashJoin") >= 6
+    assert plan.count("SortMergeJoin") >= 6 and "ShuffledHashJoin" not in plan
     for line in plan.splitlines():
         if "BroadcastHashJoin" in line:      # only the per-range summary (bounded rows)
             assert "[_bkt" in line, line
@@ -121,7 +121,7 @@ def test_exact_quantile_by_selection_matches_numpy(spark, monkeypatch):
     monkeypatch.setattr(O, "SELECT_FINAL_ROWS", 300)                        # force several rounds
     monkeypatch.setattr(O, "SELECT_BUCKETS", 8)
     for q in (0.1, 0.5, 0.9):
-        got = O.exact_quantile(df, "x", q, len(vals))
+        got = O.exact_quantile(df, "x", q)
         assert abs(got - float(np.percentile(vals, q * 100))) < 1e-12, q
 
 
@@ -157,16 +157,81 @@ def test_skewed_features_same_on_both_join_paths(spark):
     assert got == want
 
 
-def test_threshold_paths_agree(spark, monkeypatch):
+def test_threshold_is_one_path_at_all_sizes(spark, monkeypatch):
     import numpy as np
     from auditlake.ml import evaluate as EV
     from auditlake.operators import ordered as O
     rng = np.random.default_rng(9)
-    df = spark.createDataFrame([(float(v),) for v in rng.normal(size=3000).round(2)], "d double")
-    small = EV.decision_stats(df, "d", 0.1, n_rows=3000)
-    monkeypatch.setattr(EV, "EXACT_PERCENTILE_MAX_ROWS", 100)     # force the selection path
-    monkeypatch.setattr(O, "SELECT_FINAL_ROWS", 200)
+    vals = rng.normal(size=3000).round(2)
+    df = spark.createDataFrame([(float(v),) for v in vals], "d double")
+    small = EV.decision_stats(df, "d", 0.1)
+    assert abs(small["offset"] - float(np.percentile(vals, 10))) < 1e-12
+    monkeypatch.setattr(O, "SELECT_FINAL_ROWS", 200)              # more rounds, same answer
     monkeypatch.setattr(O, "SELECT_BUCKETS", 16)
-    large = EV.decision_stats(df, "d", 0.1, n_rows=3000)
-    assert abs(small["offset"] - large["offset"]) < 1e-12
-    assert (small["dmin"], small["dmax"]) == (large["dmin"], large["dmax"])
+    assert EV.decision_stats(df, "d", 0.1) == small
+
+
+def test_quantile_with_infinities_nan_and_nulls(spark, monkeypatch):
+    import pytest
+    from auditlake.operators import ordered as O
+    monkeypatch.setattr(O, "SELECT_FINAL_ROWS", 100)
+    monkeypatch.setattr(O, "SELECT_BUCKETS", 6)
+    inf = float("inf")
+    ranked = [float(v) for v in range(300)] + [inf] * 200 + [-inf] * 5
+    df = spark.createDataFrame([(v,) for v in [*ranked, float("nan"), None, None]], "x double")
+    ordered = sorted(ranked)
+    ks = [0, 5, 304, 504]
+    assert O.kth_smallest(df, "x", ks) == {k: ordered[k] for k in ks}
+    assert O.exact_quantile(df, "x", 0.9) == inf
+    assert O.exact_quantile(df, "x", 0.25) == ordered[126]
+    assert O.exact_quantile(df.where("x IS NULL"), "x", 0.5) is None
+    with pytest.raises(ValueError):
+        O.kth_smallest(df, "x", [505])
+
+
+def test_same_features_when_the_input_comes_out_of_a_shuffle(spark):
+    from tests.conftest import SF001
+    from auditlake.sources.fixture import trail
+    events = trail(spark, SF001)
+    assert FT.is_scan(events)
+    want = sorted(map(str, build_features(events).collect()))
+    other = spark.createDataFrame([(k,) for k in range(3)], "k long")
+    shuffled = {
+        "dedup": events.dropDuplicates(["event_id"]),
+        "repartition": events.repartition(7, "source_ip"),
+        "join": events.join(other, F.pmod(F.xxhash64("event_id"), F.lit(3)) == F.col("k")).drop("k"),
+    }
+    conf = {"auditlake.broadcast.maxBytes": "0", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    for name, df in shuffled.items():
+        assert not FT.is_scan(df)
+        assert sorted(map(str, build_features(df).collect())) == want, name
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        assert sorted(map(str, build_features(shuffled["dedup"]).collect())) == want
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_event_name_lookup_is_broadcast_by_its_own_rows(spark):
+    """Many (user, event) pairs, few event names."""
+    from auditlake.operators.event_stats import event_stats
+    rows = [{"event_id": str(i), "event_time": f"2025-01-01 00:{i % 60:02d}:00", "user_name": f"u{i % 97}",
+             "event_name": f"e{i % 5}", "source_ip": f"10.0.0.{i % 90}"} for i in range(900)]
+    stats = event_stats(flat_rows(spark, rows))
+    spark.conf.set("auditlake.broadcast.maxBytes", "2000")
+    try:
+        lookup, bound = stats.event_names()
+        assert stats.rows["user_event"] > 400 and bound == 5
+        assert stats.users()[1] == 97 and stats.ips()[1] == 90
+    finally:
+        spark.conf.unset("auditlake.broadcast.maxBytes")
+
+
+def test_row_local_keys_run_no_statistics(spark):
+    from auditlake.plans import queries as Q
+    from tests.conftest import SF001
+    for key in ("event_is_sensitive", "net_is_console", "sql_total_events", "sql_suspicious_ips"):
+        plan = _plan(Q.registry()[key](spark, SF001))
+        assert "event_stats" not in plan and plan.count("Scan parquet") == 1, key
