@@ -49,7 +49,3 @@ def scale(X: DataFrame, names: list[str], stats: dict[str, tuple[float, float]])
         cols.append(((F.col(c) - F.lit(mean)) / F.lit(std) if std > 0 else F.lit(0.0)).alias(c))
     others = [c for c in X.columns if c not in names]
     return X.select(*others, *cols)
-
-
-def as_vector(names: list[str], out: str = "features") -> Column:
-    return F.array(*[F.col(c) for c in names]).alias(out)

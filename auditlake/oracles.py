@@ -370,6 +370,8 @@ ORDER BY event_count DESC, user_name ASC LIMIT 5"""
     # ---- named SQL
     o.update(_sql_catalog())
     o["stored_top_users"] = o["sql_top_users"]
+    o["sink_parsed_csv_all"] = o["sink_parsed_json_all"] = o["flatten_parsed"]
+    o["sink_features_all"] = o["src_features_all"] = o["features_full"]
     # ---- detector operators on the rule decision
     sel = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in _ML34)
     o["ml_select_features"] = with_features(f"SELECT event_id, {sel} FROM feat")

@@ -153,7 +153,32 @@ def q_sink_parsed_csv(s, sf):
 def q_sink_parsed_json(s, sf):
     p = parsed(s, sf)
     path = K.write_parsed_json(p, scratch_path(s, "parsed-json"))
-    return s.read.schema(p.schema).json(path).select("event_id", "event_time", "risk_level", "has_error")
+    back = s.read.schema(p.schema).json(path) if path else p
+    return back.select("event_id", "event_time", "risk_level", "has_error")
+
+
+def q_sink_parsed_csv_all(s, sf):
+    """K1: every column of the parsed rows, through CSV."""
+    p = parsed(s, sf)
+    return K.read_parsed_csv(s, K.write_parsed_csv(p, scratch_path(s, "parsed-csv")), p).select(*PARSED_COLUMNS)
+
+
+def q_sink_parsed_json_all(s, sf):
+    """K2: every column of the parsed rows, through JSON lines."""
+    p = parsed(s, sf)
+    path = K.write_parsed_json(p, scratch_path(s, "parsed-json"))
+    return (s.read.schema(p.schema).json(path) if path else p).select(*PARSED_COLUMNS)
+
+
+def q_sink_features_all(s, sf):
+    """K3: all 59 columns of the feature table, through date-partitioned Parquet."""
+    return out(K.read_features(s, K.write_features(features(s, sf), scratch_path(s, "features"))))
+
+
+def q_src_features_all(s, sf):
+    """All 59 columns of the feature source, read from CSV."""
+    path = K.write_features(features(s, sf), scratch_path(s, "features-csv"), fmt="csv")
+    return out(K.read_features(s, path, fmt="csv"))
 
 
 def q_sink_features(s, sf):
@@ -367,6 +392,10 @@ def registry() -> dict[str, Query]:
     q["sink_parsed_json"] = q_sink_parsed_json
     q["sink_features"] = q_sink_features
     q["sink_zones"] = q_sink_zones
+    q["sink_parsed_csv_all"] = q_sink_parsed_csv_all
+    q["sink_parsed_json_all"] = q_sink_parsed_json_all
+    q["sink_features_all"] = q_sink_features_all
+    q["src_features_all"] = q_src_features_all
     q["feature_summary"] = q_feature_summary
     q["sink_feature_summary"] = q_sink_feature_summary
     # parser

@@ -94,7 +94,3 @@ RISK_COLUMNS = [
 # Feature table (59 columns, in order).
 FEATURE_COLUMNS = (FLAT_COLUMNS + TIME_COLUMNS + USER_COLUMNS + EVENT_COLUMNS
                    + NETWORK_COLUMNS + TEMPORAL_COLUMNS + RISK_COLUMNS)
-
-PREDICTION_COLUMNS = FEATURE_COLUMNS + [
-    "ml_anomaly_prediction", "ml_anomaly_score", "ml_severity",
-]

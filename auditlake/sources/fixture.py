@@ -73,9 +73,3 @@ def trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat 15-column event table built from `<sf_dir>/events.parquet`."""
     prepare(spark)
     return spark.sql(FIXTURE_SQL, events=table(spark, sf_dir, "events"))
-
-
-def trail_from(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """Same mapping over any DataFrame with the `events` columns."""
-    prepare(spark)
-    return spark.sql(FIXTURE_SQL, events=events)

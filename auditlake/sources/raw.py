@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auditlake.functions import columns as C
-from auditlake.schema import FLAT, RAW_EVENT, RAW_FILE
+from auditlake.schema import RAW_EVENT, RAW_FILE
 
 EVENTS_PER_FILE = 5000
 
@@ -24,10 +24,6 @@ def read_raw_records(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.inline("Records"))
 
 
-def empty_raw(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RAW_EVENT)
-
-
 def flat_to_raw(flat: DataFrame) -> DataFrame:
     """Flat events -> raw event structs (time text cut to whole seconds)."""
     return flat.select(
@@ -94,7 +90,3 @@ def flat_columns() -> list:
 def flatten_events(raw: DataFrame) -> DataFrame:
     """Raw events -> the 15-column flat table of the feature path."""
     return raw.select(*flat_columns())
-
-
-def empty_flat(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], FLAT)
