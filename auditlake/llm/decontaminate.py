@@ -1,25 +1,27 @@
 """Benchmark decontamination: documents that hold a near copy of a benchmark item.
 
-A document is matched with an item of n words when one of its windows of n words has a
-weighted five-word-shingle similarity (multiset Jaccard, weights are
-multiplicities) of at least `percent` hundredths with it. DataFrame functions only:
+A document is matched with an item of n words when one of its windows of n words (the
+whole document, if it has fewer) has a weighted five-word-shingle similarity (multiset
+Jaccard, weights are multiplicities) of at least `percent` hundredths with it. DataFrame
+functions only:
 
-1. Document shingles meet item shingles in an equi-join. A pair of m shingles each
-   reaches similarity t only with c >= 2tm / (1 + t) shared shingles, so a
+1. Document shingles meet item shingles in an equi-join. An item of m and a window of w
+   shingles reach similarity t only with c >= t(m + w) / (1 + t) shared shingles, so a
    document needs that many places that hold a shingle of the item, and a window
-   that reaches t starts at most m - c places before one of them. Windows
+   that reaches t starts at most w - c places before one of them. Windows
    that hold fewer such places are left out; none that could match is.
-2. The remaining item-sized windows and all items get 64-bit SimHash fingerprints.
-3. Multi-index Hamming search among items of the window's size: `radius` + 1
+2. The remaining windows and all items get 64-bit SimHash fingerprints.
+3. Multi-index Hamming search among items of the size that the window was cut for: `radius` + 1
    blocks, so fingerprints within `radius` agree in at least one block; an equi-join on
    (size, block number, block) finds them all, the distance is then checked.
    Similarity 0.8 means a cosine of 8/9 and a distance of 9.7 +- 2.9 bits: the
-   default radius of 22 is over four standard deviations above that.
+   default radius of 22 is over four standard deviations above that (over three, at
+   12 +- 3.1 bits, for a document with four of an item's five shingles).
 4. Candidates are verified by the exact similarity of their shingle texts.
 
 Words are runs without ASCII white space, lower-cased. Items with fewer than five words
 are one shingle of all their words. Defined cases: null or empty items and
-texts match nothing, nor do documents shorter than the item; items that repeat an id
+texts match nothing, nor do documents without a shingle of the item's size; items that repeat an id
 count under it together (best similarity); null item ids are left out; an empty
 benchmark or table gives no rows. Repeated or null document ids as in
 `common.run_keyed`.
@@ -89,24 +91,27 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius: i
     worded = items.where(F.col("item_id").isNotNull()).select("item_id", words("text").alias("w")).where(F.col("w").isNotNull())
     sized = (worded.distinct().withColumn("n", F.size("w")).withColumn("k", F.least(F.col("n"), F.lit(SHINGLE)))
              .withColumn("item", F.monotonically_increasing_id()).withColumn("m", F.col("n") - F.col("k") + 1))
-    # c * (100 + percent) >= 2 * percent * m
-    sized = sized.withColumn("need", F.ceil(2 * percent * F.col("m") / F.lit(100 + percent) - F.lit(1e-9)).cast("int"))
     bench, seen = materialize(sized, "benchmark", rows=F.count(F.lit(1)), sizes=F.collect_set("k"), shingles=F.sum("m"))
     if not seen["rows"]:
         return docs.select(ID, F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("start")).limit(0)
-    texts = docs.select(ID, words(TEXT).alias("w"))
+    texts = docs.select(ID, words(TEXT).alias("w")).withColumn("long", F.size("w"))
     hits = None
     for k in sorted(seen["sizes"]):
         keys = placed_shingles(bench.where(F.col("k") == k), ["item"], k).select("item", "h").distinct()
         if fits_broadcast(docs.sparkSession, keys.schema, seen["shingles"]):
             keys = F.broadcast(keys)
-        found = placed_shingles(texts, [ID], k).join(keys, "h").select(ID, "item", "pos")
+        found = placed_shingles(texts, [ID, "long"], k).join(keys, "h").select(ID, "long", "item", "pos")
         hits = found if hits is None else hits.union(found)
-    facts = bench.select("item", "n", "m", "need")
-    per_pair = hits.groupBy(ID, "item").agg(F.sort_array(F.collect_list("pos")).alias("places")).join(facts, "item")
+    facts = bench.select("item", "n", F.col("m").alias("item_m"), "k")
+    per_pair = hits.groupBy(ID, "item").agg(F.sort_array(F.collect_list("pos")).alias("places"), F.max("long").alias("long")).join(facts, "item")
+    # a window has n words and m shingles; a shorter document is its own window
+    per_pair = per_pair.withColumn("m", F.least("n", "long") - F.col("k") + 1)
+    # c * (100 + percent) >= percent * (item_m + m)
+    per_pair = per_pair.withColumn("need", F.ceil(percent * (F.col("item_m") + F.col("m")) / F.lit(100 + percent) - F.lit(1e-9)).cast("int"))
     enough = per_pair.where(F.size("places") >= F.col("need"))
-    starts = enough.select(ID, "item", "n", "m", "need", "places", F.explode(F.array_distinct(F.flatten(F.transform(
-        "places", lambda p: F.sequence(p - F.col("m") + F.col("need"), p))))).alias("s")).where("s >= 0")
+    starts = enough.select(ID, "item", "n", "m", "need", "places", "long", F.explode(F.array_distinct(F.flatten(F.transform(
+        "places", lambda p: F.sequence(p - F.col("m") + F.col("need"), p))))).alias("s"))
+    starts = starts.where((F.col("s") >= 0) & (F.col("s") + F.least("n", "long") <= F.col("long")))
     inside = F.size(F.filter("places", lambda p: (p >= F.col("s")) & (p < F.col("s") + F.col("m"))))
     windows = starts.where(inside >= F.col("need")).select(ID, "n", "m", "s").distinct()
     wanted, many = materialize(windows.groupBy(ID).agg(F.collect_list(F.struct("n", "m", "s")).alias("wanted")), "windows", rows=F.count(F.lit(1)))
@@ -114,7 +119,7 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius: i
         return docs.select(ID, F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("start")).limit(0)
     held = texts.join(wanted, ID).select(ID, "w", F.explode("wanted").alias("x"))
     held = held.select(ID, F.col("x.n").alias("n"), F.col("x.m").alias("m"), F.col("x.s").alias("s"),
-                       F.slice("w", F.col("x.s") + 1, F.col("x.n")).alias("w")).where(F.size("w") == F.col("n"))
+                       F.slice("w", F.col("x.s") + 1, F.col("x.n")).alias("w"))
     held = fingerprinted(held)
     window, _ = materialize(held, "fingerprints")
     near = window.withColumn("b", F.explode(blocks("fp", radius))).select(ID, "s", "n", "fp", "b")
@@ -123,18 +128,19 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius: i
     close = near.join(index, ["n", "b"]).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
     pairs = close.select(ID, "s", "n", "item").distinct()
     both = (pairs.join(window.select(ID, "s", "n", "w", "m"), [ID, "s", "n"])
-            .join(listed.select("item", "item_id", F.col("w").alias("item_w")), "item"))
+            .join(listed.select("item", "item_id", F.col("m").alias("item_m"), F.col("w").alias("item_w")), "item"))
     size = F.least(F.col("n"), F.lit(SHINGLE))
     both = both.withColumns({"a": shingle_texts(F.col("w"), size), "b": shingle_texts(F.col("item_w"), size)})
     both = both.withColumn("c", shared(F.col("a"), F.col("b")))
-    good = both.where(F.col("c") * (100 + percent) >= 2 * percent * F.col("m"))
-    best = F.max(F.struct((F.col("c") / (2 * F.col("m") - F.col("c"))).alias("similarity"), (-F.col("s")).alias("back")))
+    total = F.col("item_m") + F.col("m")
+    good = both.where(F.col("c") * (100 + percent) >= percent * total)
+    best = F.max(F.struct((F.col("c") / (total - F.col("c"))).alias("similarity"), (-F.col("s")).alias("back")))
     return good.groupBy(ID, "item_id").agg(best.alias("best")).select(
         ID, "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start"))
 
 
 def fingerprinted(df: DataFrame) -> DataFrame:
-    """`df` with `fp`, the fingerprint of the shingles of its words `w` (n of them)."""
+    """`df` with `fp`, the fingerprint of the m shingles of its words `w` (for an item of n words)."""
     df = df.withColumn("k", F.least(F.col("n"), F.lit(SHINGLE)))
     hashes = F.transform(F.sequence(F.lit(1), F.col("m")), lambda i: F.xxhash64(F.slice("w", i, F.col("k"))))
     return df.withColumn("hs", hashes).withColumn("fp", simhash(F.col("hs"))).drop("hs", "k")

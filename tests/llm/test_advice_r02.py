@@ -1,5 +1,8 @@
 """Cases of the second review."""
 
+from collections import Counter
+
+from auditlake.llm.decontaminate import decontaminate
 from auditlake.llm.jaccard_join import keep_first
 from tests.llm.conftest import frame, passage
 
@@ -12,3 +15,32 @@ def test_one_of_identical_rows_is_left(spark):
     left = keep_first(frame(spark, rows)).collect()
     assert sorted(((r.doc_id, r.text) for r in left), key=str) == sorted(
         [(1, a), (None, b), (7, c), (None, None), (None, None), (9, " ")], key=str)
+
+
+def similar(text, item, percent=80):
+    """{start: similarity} of the best first window of the item's words, or of a shorter text as a whole."""
+    w, v = text.lower().split(), item.lower().split()
+    k, n = min(5, len(v)), min(len(v), len(w))
+    want = Counter(tuple(v[a:a + k]) for a in range(len(v) - k + 1))
+    best = (0, 0)
+    for s in range(len(w) - n + 1):
+        have = Counter(tuple(w[a:a + k]) for a in range(s, s + n - k + 1))
+        common, total = sum((have & want).values()), sum(have.values()) + sum(want.values())
+        if common and common * (100 + percent) >= percent * total and common / (total - common) > best[0]:
+            best = (common / (total - common), s)
+    return best if best[0] else None
+
+
+def test_documents_shorter_than_the_item(spark):
+    """Items less words at an end, in the middle or both, down to too few; longer documents as before."""
+    rows, items = [], []
+    for k, n in enumerate([5, 6, 9, 10, 13, 14, 24, 39, 60]):
+        words = passage(700 + k, n).split()
+        items.append((k, " ".join(words)))
+        cuts = [words[:-1], words[1:], words[1:-1], words[:-2], words[:n * 3 // 4], words[:n // 2] + words[n // 2 + 1:], words[:4],
+                [*words[:-2], "changed"], words, ["before", *words[:-1]]]
+        rows += [(100 * k + j, " ".join(cut), "en") for j, cut in enumerate(cuts)]
+    want = {(d, i): found for d, t, _ in rows for i, item in items if (found := similar(t, item))}
+    assert sum(len(t.split()) < len(items[i][1].split()) for d, t, _ in rows for i in [d // 100] if (d, i) in want) > 15
+    got = decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start) for r in got} == want
