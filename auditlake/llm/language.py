@@ -5,8 +5,9 @@ of its labelled texts. A text is parsed greedily into the longest phrases that
 occur in the sample; the language that needs the fewest phrases per character
 wins: its text is the cheapest code book (cross-parsing entropy).
 
-The automaton is unrolled to a table (state, letter) -> next state and phrases
-ended, with the restart at the root folded in, so a step is one look-up. Texts
+The automaton's transitions lie in one hashed row, at the place of their state plus
+the letter, so a step is a look-up and its memory follows the sample, not the number of
+letters; a letter that a state lacks ends the phrase and restarts at the root. Texts
 are walked in blocks of `block` letters, thousands side by side in numpy; phrases
 end at block ends, for every language alike, so long texts cost no more per letter.
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,19 @@ class Settings:
     block: int = 1024
 
 
+class Table(NamedTuple):
+    """The step of state s with letter c is `step[place[s] + c]` where s owns that place;
+    else the open phrase ends and `root[c]` starts the next."""
+    root: np.ndarray
+    place: np.ndarray
+    owner: np.ndarray
+    step: np.ndarray
+
+    def after(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        at = self.place.take(state) + code
+        return np.where(self.owner.take(at) == state, self.step.take(at), self.root.take(code) + (state > 0))
+
+
 class Automaton:
     """Suffix automaton of a sequence of letter codes."""
 
@@ -80,26 +95,32 @@ class Automaton:
         self.link.append(link)
         return len(self.size) - 1
 
-    def table(self, letters: int) -> np.ndarray:
-        """[state, code]: 4 * next state + phrases ended. Code 0 pads: it ends an open phrase."""
-        root = np.full(letters, 1, np.int64)      # a letter the root lacks is a phrase by itself
+    def table(self, letters: int) -> Table:
+        """Steps as 4 * next state + phrases ended. Code 0 pads: it ends an open phrase."""
+        root = np.full(letters, 1, np.int32)      # a letter the root lacks is a phrase by itself
+        root[0] = 0
         for c, to in self.step[0].items():
             root[c] = 4 * to
-        out = np.empty((len(self.step), letters), np.int64)
-        for s, step in enumerate(self.step):
-            out[s] = root + (1 if s else 0)       # the open phrase ends, the letter starts the next
-            for c, to in step.items():
-                out[s, c] = 4 * to
-            out[s, 0] = 1 if s else 0
-        return out.astype(np.int32).ravel()
+        size = 1 << (8 * sum(map(len, self.step))).bit_length()
+        place = np.zeros(len(self.step), np.int32)
+        owner, step = np.full(size + letters, -1, np.int32), np.zeros(size + letters, np.int32)
+        taken = bytearray(size + letters)
+        for s in sorted(range(1, len(self.step)), key=lambda s: -len(self.step[s])):
+            at = s * 2654435761 % size
+            while any(taken[at + c] for c in self.step[s]):
+                at = (at + 1) % size
+            place[s] = at
+            for c, to in self.step[s].items():
+                taken[at + c], owner[at + c], step[at + c] = 1, s, 4 * to
+        return Table(root, place, owner, step)
 
 
 def letter_codes(texts: list[str]) -> np.ndarray:
     """Code of every code point: 1 between words, 2 for a letter of no text, then
-    the letters of `texts`, lower-cased. Codes are bytes; 0 is left for padding."""
-    points = np.arange(0x110000)
-    found = sorted({c for t in texts for c in t.lower() if c.isalpha()})[:250]
-    table = np.ones(len(points), np.uint8)
+    all letters of `texts`, lower-cased. Codes are as many bytes wide as their number
+    needs; 0 is left for padding."""
+    found = sorted({c for t in texts for c in t.lower() if c.isalpha()})
+    table = np.ones(0x110000, np.min_scalar_type(len(found) + 2))
     table[[p for p in range(0x110000) if chr(p).isalpha()]] = 2
     for k, c in enumerate(found):
         table[ord(c)] = k + 3
@@ -118,7 +139,7 @@ def coded(text: str, codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn(sample: list[tuple[str, str]], s: Settings = Settings()) -> tuple[np.ndarray, int, dict[str, np.ndarray]]:
+def learn(sample: list[tuple[str, str]], s: Settings = Settings()) -> tuple[np.ndarray, int, dict[str, Table]]:
     """(letter codes, number of codes, automaton table of each language)."""
     codes = letter_codes([t for _, t in sample])
     letters = int(codes.max(initial=2)) + 1
@@ -136,14 +157,14 @@ def learn(sample: list[tuple[str, str]], s: Settings = Settings()) -> tuple[np.n
     return codes, letters, tables
 
 
-def phrases(texts: list[np.ndarray], letters: int, tables: dict[str, np.ndarray], block: int) -> np.ndarray:
+def phrases(texts: list[np.ndarray], letters: int, tables: dict[str, Table], block: int) -> np.ndarray:
     """[language, text] numbers of phrases."""
     counts = [-(-len(t) // block) for t in texts]
     owner = np.repeat(np.arange(len(texts)), counts)
     sizes = np.concatenate([np.minimum(block, len(t) - np.arange(0, len(t), block)) for t in texts]) if sum(counts) else np.zeros(0, int)
     order = np.argsort(-sizes, kind="stable")             # longest first: a step walks a shrinking front
     width = int(sizes.max(initial=0))
-    grid = np.zeros((len(order), width + 1), np.uint8)
+    grid = np.zeros((len(order), width + 1), np.min_scalar_type(letters - 1))
     flat = [t[at:at + block] for t in texts for at in range(0, len(t), block)]
     for row, k in enumerate(order):
         grid[row, :len(flat[k])] = flat[k]
@@ -154,7 +175,7 @@ def phrases(texts: list[np.ndarray], letters: int, tables: dict[str, np.ndarray]
         state, total = np.zeros(len(order), np.int32), np.zeros(len(order), np.int32)
         for k in range(width + 1):
             n = live[k]
-            found = table.take(state[:n] * np.int32(letters) + grid[k, :n])
+            found = table.after(state[:n], grid[k, :n])
             total[:n] += found & 3
             state[:n] = found >> 2
         np.add.at(out[at], owner[order], total)

@@ -1,7 +1,9 @@
 """Cases of the second review."""
 
+import random
 from collections import Counter
 
+from auditlake.llm import language
 from auditlake.llm.decontaminate import decontaminate
 from auditlake.llm.jaccard_join import keep_first
 from tests.llm.conftest import frame, passage
@@ -44,3 +46,21 @@ def test_documents_shorter_than_the_item(spark):
     assert sum(len(t.split()) < len(items[i][1].split()) for d, t, _ in rows for i in [d // 100] if (d, i) in want) > 15
     got = decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id): (r.similarity, r.start) for r in got} == want
+
+
+def test_languages_of_many_letters():
+    """Three scripts of over 250 letters each; the two that sort last were one symbol."""
+    r = random.Random(5)
+
+    def words(first, n):
+        pool = ["".join(chr(first + r.randrange(400)) for _ in range(r.randint(1, 3))) for _ in range(500)]
+        return lambda: " ".join(r.choice(pool) for _ in range(n))
+
+    make = {"ml": words(0x3400, 300), "yy": words(0x4E00, 300), "zz": words(0xAC00, 300)}
+    sample = [(lang, make[lang]()) for lang in make for _ in range(20)]
+    model = language.learn(sample)
+    letters = {c for _, t in sample for c in t if c.isalpha()}
+    assert len(letters) > 3 * 250
+    assert len({int(model[0][ord(c)]) for c in letters} - {0, 1, 2}) == len(letters)
+    texts = [make[lang]() for lang in make for _ in range(5)]
+    assert language.judge(texts, model, 1024)[0] == [lang for lang in make for _ in range(5)]
