@@ -115,15 +115,16 @@ def id_remainder(id_col: str, parts: int):
 
 def sample_texts(rows: DataFrame, label: DataFrame, per_class: int, least: int, most: int,
                  id_col: str = "doc_id", text_col: str = "text") -> list[tuple[object, str]]:
-    """A bounded training sample: of each label value the `per_class` rows with
-    `least` to `most` characters whose texts hash lowest, as (label, text) sorted
-    by label and hash. `label` has (label_id, label). The ranking reads narrow rows
+    """A bounded training sample: of each label value the `per_class` distinct texts of
+    `least` to `most` characters that hash lowest, as (label, text) sorted
+    by label and hash. `label` has (label_id, label). Copies of a text are one narrow
+    row, summed up per task before a shuffle; the ranking reads these rows
     and keeps `per_class` of a label per task (a window group limit) before it
     shuffles them; only the sample's texts come to the driver."""
     from pyspark.sql import Window
     size, key = F.length(text_col), F.xxhash64(text_col)
     narrow = rows.where(size.between(least, most)).select(F.col(id_col).alias("label_id"), key.alias("key"))
-    picked = narrow.join(label, "label_id")
+    picked = narrow.join(label, "label_id").groupBy("label", "key").agg(F.min("label_id").alias("label_id"))
     for groups in (["label", F.pmod(F.col("key"), F.lit(64))], ["label"]):   # so the last task reads 64 * per_class rows at most
         order = Window.partitionBy(*groups).orderBy("key", "label_id")
         picked = picked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class)

@@ -175,8 +175,9 @@ def quality(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col
     known = (labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("label_id"))
              .agg(F.min(label_col).alias("label")))
     taught = stats.where("not base_failed").join(known, F.col(id_col) == F.col("label_id"))
-    picked = (stats.where("not base_failed").select(F.xxhash64(*COUNTS).alias("key"), id_col, *COUNTS)
-              .orderBy("key", id_col).limit(s.sample).collect())
+    # ranked by id and counts, so equal counts are not neighbours; rows that agree in both count once
+    picked = (stats.where("not base_failed").select(id_col, *COUNTS).distinct().withColumn("key", F.xxhash64(id_col, *COUNTS))
+              .orderBy("key", id_col, *COUNTS).limit(s.sample).collect())
     table = {c: np.array([r[c] for r in picked]) for c in COUNTS}
     forest = grow_forest(features(table), s)
     cut = threshold(scored(taught, forest).select("score", "label"), s)

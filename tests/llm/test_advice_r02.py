@@ -3,7 +3,8 @@
 import random
 from collections import Counter
 
-from auditlake.llm import language
+from auditlake.llm import language, quality
+from auditlake.llm.common import sample_texts
 from auditlake.llm.decontaminate import decontaminate
 from auditlake.llm.jaccard_join import keep_first
 from tests.llm.conftest import frame, passage
@@ -64,3 +65,26 @@ def test_languages_of_many_letters():
     assert len({int(model[0][ord(c)]) for c in letters} - {0, 1, 2}) == len(letters)
     texts = [make[lang]() for lang in make for _ in range(5)]
     assert language.judge(texts, model, 1024)[0] == [lang for lang in make for _ in range(5)]
+
+
+def test_copies_do_not_fill_a_sample(spark):
+    """The text that hashes lowest has many copies, with other ids, the same id or none."""
+    rows = [(i, passage(800 + i, 30), "en") for i in range(12)]
+    df = frame(spark, rows)
+    first = min(df.selectExpr("xxhash64(text)", "text").collect())[1]
+    df = frame(spark, rows + [(100 + k, first, "en") for k in range(30)] + [(0, first, "en"), (None, first, "en")] * 5)
+    label = spark.createDataFrame([(i, "en") for i in [*range(12), *range(100, 130)]], "label_id long, label string")
+    got = [t for _, t in sample_texts(df, label, 8, 1, 4000)]
+    assert len(got) == len(set(got)) == 8 and first in got
+
+
+def test_equal_rows_do_not_fill_the_forest(spark, monkeypatch):
+    """Of 60 rows 40 have the counts that hash lowest."""
+    texts = [passage(830 + i, 60 + i) for i in range(20)]
+    found = [(spark.range(1).selectExpr("xxhash64(%s)" % ", ".join(f"{x}L" for x in quality.counts(t.encode()))).first()[0], t) for t in texts]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(100 + i, min(found)[1], "en") for i in range(20)] + [(None, min(found)[1], "en")] * 20
+    seen = []
+    monkeypatch.setattr(quality, "grow_forest", lambda table, s, grow=quality.grow_forest: seen.append(table) or grow(table, s))
+    labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
+    quality.quality(frame(spark, rows), labels, quality.Settings(sample=20)).count()
+    assert len({tuple(row) for row in seen[0]}) > 5
