@@ -113,31 +113,33 @@ def id_remainder(id_col: str, parts: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts))
 
 
-def sample_texts(rows: DataFrame, label: DataFrame, per_class: int, least: int, most: int,
+def sample_texts(rows: DataFrame, label: DataFrame, per_class: int, least: int, most: int, cut: int,
                  id_col: str = "doc_id", text_col: str = "text") -> list[tuple[object, str]]:
-    """A bounded training sample: of each label value the `per_class` distinct texts of
-    `least` to `most` characters that hash lowest, as (label, text) sorted
-    by label and hash. `label` has (label_id, label). Copies of a text are one narrow
+    """A bounded training sample: of each label value the `per_class` distinct texts that
+    hash lowest, those of `least` to `most` characters first; other texts with a letter
+    fill what is left, with their first `cut` characters. As (label, text), sorted by
+    label, wanted length and hash. `label` has (label_id, label). Copies of a text are one narrow
     row, summed up per task before a shuffle; the ranking reads these rows
     and keeps `per_class` of a label per task (a window group limit) before it
     shuffles them; only the sample's texts come to the driver."""
     from pyspark.sql import Window
     size, key = F.length(text_col), F.xxhash64(text_col)
-    narrow = rows.where(size.between(least, most)).select(F.col(id_col).alias("label_id"), key.alias("key"))
-    picked = narrow.join(label, "label_id").groupBy("label", "key").agg(F.min("label_id").alias("label_id"))
+    near = size.between(least, most)
+    narrow = rows.where(near | F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("label_id"), key.alias("key"), (~near).alias("far"))
+    picked = narrow.join(label, "label_id").groupBy("label", "key").agg(F.min("label_id").alias("label_id"), F.min("far").alias("far"))
     for groups in (["label", F.pmod(F.col("key"), F.lit(64))], ["label"]):   # so the last task reads 64 * per_class rows at most
-        order = Window.partitionBy(*groups).orderBy("key", "label_id")
+        order = Window.partitionBy(*groups).orderBy("far", "key", "label_id")
         picked = picked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_class)
-    picked = picked.select("label_id", "label", "key")
+    picked = picked.select("label_id", "label", "key", "far")
     chosen = picked.collect()       # at most per_class rows of each label
     if not chosen:
         return []
     spark = rows.sparkSession
     ids = spark.createDataFrame([(r["label_id"],) for r in chosen], "label_id long").distinct()
     texts = {(r["i"], r["key"]): r["t"] for r in rows.join(F.broadcast(ids), F.col(id_col) == F.col("label_id"))
-             .select(F.col(id_col).alias("i"), key.alias("key"), F.col(text_col).alias("t")).collect()}
+             .select(F.col(id_col).alias("i"), key.alias("key"), F.when(near, F.col(text_col)).otherwise(F.substring(text_col, 1, cut)).alias("t")).collect()}
     return [(r["label"], texts[r["label_id"], r["key"]])
-            for r in sorted(chosen, key=lambda r: (str(r["label"]), r["key"], r["label_id"]))]
+            for r in sorted(chosen, key=lambda r: (str(r["label"]), r["far"], r["key"], r["label_id"]))]
 
 
 class Memo:

@@ -37,8 +37,8 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class Settings:
-    """The sample holds, of each language, `rows` texts of `shortest` to `longest`
-    characters, of which whole texts up to `letters` letters in all are learned
+    """The sample holds, of each language, `rows` texts, those of `shortest` to `longest`
+    characters first (of a longer text the first `longest` characters), of which whole texts up to `letters` letters in all are learned
     (fewer if more than `languages` languages share the space)."""
     rows: int = 64
     shortest: int = 100
@@ -204,7 +204,7 @@ def judge(texts: list[str], model: tuple, block: int) -> tuple[list[str], list[f
 def fit(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple:
     label = (docs.where(F.col(lang_col).isNotNull() & (id_remainder(id_col, 5) != 0))
              .groupBy(F.col(id_col).alias("label_id")).agg(F.min(lang_col).alias("label")))
-    return learn(sample_texts(docs, label, s.rows, s.shortest, s.longest, id_col, text_col), s)
+    return learn(sample_texts(docs, label, s.rows, s.shortest, s.longest, s.longest, id_col, text_col), s)
 
 
 def identified(docs: DataFrame, model: tuple, s: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

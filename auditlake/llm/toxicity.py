@@ -41,9 +41,11 @@ LETTERS = re.compile(r"[^\W_]+")
 @dataclass(frozen=True)
 class Settings:
     """Parameters of the model; the sample holds `per_class` rows of each label,
-    of at most `longest` characters."""
+    those of at most `longest` characters first; of a longer text the passages of its first
+    `cut` characters are learned."""
     per_class: int = 1000
     longest: int = 3000
+    cut: int = 6000
     buckets: int = 1 << 17
     size: int = 4
     least_gram: int = 3
@@ -155,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
         text_col: str = "text", label_col: str = "toxic") -> tuple[np.ndarray, float]:
     known = (labels.where(F.col(label_col).isin(0, 1) & (id_remainder(id_col, 3) != 1))
              .groupBy(F.col(id_col).alias("label_id")).agg(F.max(label_col).alias("label")))
-    return train(sample_texts(docs, known, s.per_class, 1, s.longest, id_col, text_col), s)
+    return train(sample_texts(docs, known, s.per_class, 1, s.longest, s.cut, id_col, text_col), s)
 
 
 def score_of(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), text_col: str = "text") -> Column:

@@ -74,7 +74,7 @@ def test_copies_do_not_fill_a_sample(spark):
     first = min(df.selectExpr("xxhash64(text)", "text").collect())[1]
     df = frame(spark, rows + [(100 + k, first, "en") for k in range(30)] + [(0, first, "en"), (None, first, "en")] * 5)
     label = spark.createDataFrame([(i, "en") for i in [*range(12), *range(100, 130)]], "label_id long, label string")
-    got = [t for _, t in sample_texts(df, label, 8, 1, 4000)]
+    got = [t for _, t in sample_texts(df, label, 8, 1, 4000, 4000)]
     assert len(got) == len(set(got)) == 8 and first in got
 
 
@@ -88,3 +88,14 @@ def test_equal_rows_do_not_fill_the_forest(spark, monkeypatch):
     labels = spark.createDataFrame([(0, 1)], "doc_id long, quality int")
     quality.quality(frame(spark, rows), labels, quality.Settings(sample=20)).count()
     assert len({tuple(row) for row in seen[0]}) > 5
+
+
+def test_labels_without_a_text_of_the_wanted_length(spark):
+    """All texts of `aa` are short, all of `bb` long; `cc` takes its wanted ones first."""
+    rows = [(i, passage(860 + i, 3), "aa") for i in range(5)] + [(10 + i, passage(870 + i, 900), "bb") for i in range(5)]
+    rows += [(20 + i, passage(880 + i, 40 if i % 2 else 3), "cc") for i in range(8)] + [(30, " ", "aa"), (31, "", "aa"), (32, None, "aa")]
+    label = spark.createDataFrame([(i, lang) for i, _, lang in rows], "label_id long, label string")
+    got = sample_texts(frame(spark, rows), label, 5, 100, 4000, 500)
+    assert Counter(lang for lang, _ in got) == {"aa": 5, "bb": 5, "cc": 5}
+    assert {len(t) for lang, t in got if lang == "bb"} == {500}
+    assert [len(t) >= 100 for lang, t in got if lang == "cc"] == [True] * 4 + [False]
