@@ -24,13 +24,15 @@ def small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of (a, b) edges; the component is its least
     node. Each round joins every edge with its end's least neighbour (large star,
-    then small star) and writes the edges, until they point at their component's
+    then small star) and writes the edges (the given ones too), until they point at their component's
     least node and no longer change. Only sums of an edge hash reach the driver."""
     def written(df: DataFrame) -> tuple[DataFrame, tuple]:
         out, seen = materialize(df, "edges", n=F.count(F.lit(1)), h=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
         return out, (seen["n"], seen["h"])
 
-    now, sign = written(small_star(edges.where("a != b").select("a", "b")))
+    # a round reads its edges several times: what makes them runs once, for this table
+    edges, _ = materialize(edges.where("a != b").select("a", "b"), "edges-in")
+    now, sign = written(small_star(edges))
     before = None
     while sign != before and sign[0]:
         before = sign
