@@ -7,7 +7,8 @@ and each merge makes three point updates (the merged pair, its right part, its
 left neighbour), each logarithmic in the piece. Pieces without white space
 runs are short, but a piece may be as long as its text, which stays n log n.
 
-Ids of short pieces are kept in caches of bounded size per task.
+Ids of short pieces are kept in caches of bounded size per Python worker, which serve all
+its tasks.
 
 Defined cases: a null text is empty and has no tokens; special tokens are
 ordinary text; bytes that aren't UTF-8 are read as U+FFFD.
@@ -18,7 +19,7 @@ from __future__ import annotations
 import base64
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -151,18 +152,27 @@ class Codec:
         return self.blob[np.repeat(shift, sizes) + np.arange(sizes.sum())].tobytes()
 
 
+_CODECS: dict[str, Codec] = {}
+
+
+def worker_codec(name: str, load: Callable[[], tuple]) -> Codec:
+    """The codec of this Python worker, with the memos of the tasks before; one vocabulary is held at a time."""
+    if name not in _CODECS:
+        _CODECS.clear()
+        _CODECS[name] = Codec(*load())
+    return _CODECS[name]
+
+
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
     """(id, ids binary, n_tokens, decoded binary): ids little-endian unsigned 32-bit,
     decoded from them again. One row per input row, whatever its id. The ranks
     (a fixed file below 1 MB) go to the executors once, as a broadcast."""
     spark = prepare(docs.sparkSession)
     shared = spark.sparkContext.broadcast((load_ranks(path=ranks_path), load_pattern()))
-    held: list[Codec] = []
+    name = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}" if ranks_path else VOCABULARY
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
-        if not held:
-            held.append(Codec(*shared.value))
-        codec = held[0]
+        codec = worker_codec(name, lambda: shared.value)
         ids = [codec.encode(t.decode("utf-8", "replace")) for t in texts_of(batch)]
         yield {ID: batch.column(ID), "ids": ids, "n_tokens": [len(x) // 4 for x in ids],
                "decoded": [codec.decode(x) for x in ids]}
