@@ -2,7 +2,7 @@
 
 A word is the bag of its hashed character n-grams (and itself); its vector is
 their mean, a passage's vector is the mean of its words', and a linear softmax reads
-the passage's vector. A text is cut into passages of `passage` words, and its score
+the passage's vector. A text's passages are all runs of `passage` words, and its score
 is that of its most toxic passage: one slur in a long text is not averaged away.
 Embeddings and softmax are trained jointly in numpy (Adam, full batches) on a
 bounded sample of labelled rows; the first third of the steps reads the mean of
@@ -24,7 +24,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -71,74 +70,95 @@ def grams(word: str, s: Settings) -> list[int]:
 
 
 class Bags:
-    """Rows of weighted indices (CSR), multiplied with a matrix and back."""
+    """Rows of indices, each row the mean of its vectors (CSR arrays), multiplied with a matrix and back."""
 
-    def __init__(self, rows: list[list[tuple[int, float]]]):
-        sizes = [len(r) for r in rows]
-        self.owner = np.repeat(np.arange(len(rows)), sizes)
-        self.index = np.array([i for r in rows for i, _ in r], np.int64)
-        self.weight = np.array([w for r in rows for _, w in r])[:, None]
-        self.rows = len(rows)
+    def __init__(self, index: np.ndarray, owner: np.ndarray, weight: np.ndarray, rows: int):
+        self.index, self.owner, self.weight, self.rows = index, owner, weight, rows
 
     def times(self, matrix: np.ndarray) -> np.ndarray:
         out = np.empty((self.rows, matrix.shape[1]))
         for k in range(matrix.shape[1]):
-            out[:, k] = np.bincount(self.owner, self.weight[:, 0] * matrix[self.index, k], self.rows)
+            out[:, k] = np.bincount(self.owner, self.weight * matrix[self.index, k], self.rows)
         return out
 
     def back(self, grad: np.ndarray, rows: int) -> np.ndarray:
         out = np.empty((rows, grad.shape[1]))
         for k in range(grad.shape[1]):
-            out[:, k] = np.bincount(self.index, self.weight[:, 0] * grad[self.owner, k], rows)
+            out[:, k] = np.bincount(self.index, self.weight * grad[self.owner, k], rows)
         return out
 
 
+def passages(sample: list[tuple[int, str]], s: Settings) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(words of each passage, first passage of each text, vocabulary). Every run of `passage` words is a passage; a
+    shorter text is one, its words repeated; number 0 is the word of a text that has none."""
+    vocabulary: dict[str, int] = {"": 0}
+    parts, sizes = [], []
+    for _, text in sample:
+        ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(text)] or [0], np.int32)
+        if len(ids) < s.passage:
+            ids = np.resize(ids, s.passage)
+        parts.append(np.lib.stride_tricks.sliding_window_view(ids, s.passage).copy())
+        sizes.append(len(parts[-1]))
+    return np.concatenate(parts), np.cumsum([0, *sizes[:-1]]), list(vocabulary)
+
+
+def word_bags(vocabulary: list[str], words: np.ndarray, begin: np.ndarray, s: Settings) -> tuple[Bags, np.ndarray]:
+    """(the bag of each word, the buckets trained): n-grams that fewer than `least_texts` texts hold are left out of
+    a bag, and keep their share of its mean."""
+    of_word = [np.zeros(0, np.int32), *(np.array(grams(word, s), np.int32) for word in vocabulary[1:])]
+    seen = np.zeros(s.buckets, np.int32)
+    for part in np.split(words, begin[1:]):
+        held = np.concatenate([of_word[w] for w in np.unique(part).tolist()])
+        seen[np.unique(held)] += 1
+    sizes = np.array([len(g) for g in of_word])
+    index = np.concatenate(of_word)
+    owner = np.repeat(np.arange(len(of_word), dtype=np.int32), sizes)
+    kept = seen[index] >= s.least_texts
+    used, local = np.unique(index[kept], return_inverse=True)
+    owner = owner[kept]
+    return Bags(local.astype(np.int32), owner, 1 / sizes[owner], len(of_word)), used
+
+
 def train(sample: list[tuple[int, str]], s: Settings) -> tuple[np.ndarray, float]:
     """(value of each bucket, bias): a passage's log odds of label 1 are the bias
-    plus the mean over its words of the mean value of their buckets."""
+    plus the mean over its words of the mean value of their buckets. Passages are rows of word
+    numbers, and steps work on one pair of logits a word or passage, so a sample of the
+    largest size (2 * `per_class` * `cut` characters) takes a few hundred MB."""
     labels = np.array([label for label, _ in sample], float)
     if len(set(labels)) < 2:
         return np.zeros(s.buckets), -math.inf
-    vocabulary: dict[str, int] = {}
-    texts = []
-    owner = []
-    for k, (_, text) in enumerate(sample):
-        words = words_of(text)
-        for at in range(0, max(1, len(words)), s.passage):
-            found = Counter(vocabulary.setdefault(w, len(vocabulary)) for w in words[at:at + s.passage])
-            total = sum(found.values())
-            texts.append([(w, n / total) for w, n in found.items()])
-            owner.append(k)
-    owner = np.array(owner)
-    begin = np.flatnonzero(np.diff(owner, prepend=-1))
-    share = 1 / np.bincount(owner)[owner]
-    of_word = [grams(word, s) for word in vocabulary]
-    held = [{b for w in {w for t in text for w, _ in t} for b in of_word[w]}
-            for text in (texts[a:b] for a, b in zip(begin, [*begin[1:], len(texts)]))]
-    frequent = np.bincount([b for h in held for b in h], minlength=s.buckets) >= s.least_texts
-    word_rows = [[(b, 1 / len(g)) for b in g if frequent[b]] for g in of_word]
-    docs, parts = Bags(texts), Bags(word_rows)
-    used, local = np.unique(parts.index, return_inverse=True)
-    parts.index = local
+    words, begin, vocabulary = passages(sample, s)
+    parts, used = word_bags(vocabulary, words, begin, s)
+    counts = np.diff([*begin, len(words)])
+    owner = np.repeat(np.arange(len(labels), dtype=np.int32), counts)
     rng = np.random.default_rng(s.seed)
     weights = {"e": rng.normal(0, 0.1, (len(used), s.size)), "w": rng.normal(0, 1, (s.size, 2)), "b": np.zeros(2)}
     first = {k: np.zeros_like(v) for k, v in weights.items()}
     second = {k: np.zeros_like(v) for k, v in weights.items()}
     truth = np.stack([1 - labels, labels], 1)
     for step in range(1, s.steps + 1):
-        vectors = docs.times(parts.times(weights["e"])) * s.scale
-        logits = vectors @ weights["w"] + weights["b"]
+        vectors = parts.times(weights["e"]) * s.scale
+        of_word = (vectors @ weights["w"]).astype(np.float32)
+        logits = of_word[words[:, 0]]
+        for k in range(1, s.passage):
+            logits += of_word[words[:, k]]
+        logits /= s.passage
         if step * 3 <= s.steps:
-            part = share
+            part = (1 / counts).astype(np.float32)[owner]
         else:
             strength = logits[:, 1] - logits[:, 0]
-            part = (strength == np.maximum.reduceat(strength, begin)[owner]).astype(float)
+            part = (strength == np.maximum.reduceat(strength, begin)[owner]).astype(np.float32)
             part /= np.add.reduceat(part, begin)[owner]
-        read = np.add.reduceat(logits * part[:, None], begin)
+        read = np.add.reduceat(logits * part[:, None], begin) + weights["b"]
         odds = np.exp(read - read.max(1, keepdims=True))
-        error = ((odds / odds.sum(1, keepdims=True) - truth) / len(labels))[owner] * part[:, None]
-        to_words = docs.back(error @ weights["w"].T * s.scale, len(vocabulary))
-        grad = {"w": vectors.T @ error, "b": error.sum(0), "e": parts.back(to_words, len(used))}
+        error = (odds / odds.sum(1, keepdims=True) - truth) / len(labels)
+        to_words = np.zeros((len(vocabulary), 2))
+        for c in range(2):
+            of_passage = error[:, c].astype(np.float32)[owner] * part / s.passage
+            for k in range(s.passage):
+                to_words[:, c] += np.bincount(words[:, k], of_passage, len(vocabulary))
+        grad = {"w": vectors.T @ to_words, "b": error.sum(0),
+                "e": parts.back(to_words @ weights["w"].T * s.scale, len(used))}
         for k, g in grad.items():
             first[k] = 0.9 * first[k] + 0.1 * g
             second[k] = 0.999 * second[k] + 0.001 * g * g
@@ -179,17 +199,16 @@ def score_of(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Set
 
 
 def strongest(words: list[str], memo: Memo, passage: int) -> float:
-    """The largest mean of a passage's words."""
-    best = None
-    for at in range(0, len(words), passage):
-        part = words[at:at + passage]
-        known = memo.young.get
-        found = [known(w) for w in part]
-        if None in found:
-            found = [memo.add(w) if v is None else v for w, v in zip(part, found)]
-        mean = sum(found) / len(found)
-        best = mean if best is None or mean > best else best
-    return best or 0.0
+    """The largest mean of `passage` words in a row (of all words, where there are fewer)."""
+    known = memo.young.get
+    found = [known(w) for w in words]
+    if None in found:
+        found = [memo.add(w) if v is None else v for w, v in zip(words, found)]
+    if len(found) <= passage:
+        return sum(found) / max(1, len(found))
+    if passage == 2:
+        return max(map(float.__add__, found, found[1:])) / 2
+    return max(sum(found[at:at + passage]) for at in range(len(found) - passage + 1)) / passage
 
 
 def scored(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), id_col: str = "doc_id",
