@@ -28,6 +28,7 @@ Segments are identified by 128 hash bits and the length; kernels verify symbols.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Iterator
 
@@ -84,6 +85,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=U64) * U64(BASES[0]))
+LONG_WORD = 64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BYTES = Hashes(BASES[1])
@@ -102,10 +104,15 @@ def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_symbols(text: bytes) -> np.ndarray:
+    """A number for each word: a polynomial hash of short words; of words over `LONG_WORD` bytes, where words of
+    a regular build could meet under any base, the first 8 bytes of a BLAKE2b digest."""
     start, stop = word_bounds(text)
     _BYTES.grow(len(text))
     prefixes = _BYTES.prefixes(byte_symbols(text))
-    return mix(_BYTES.of(prefixes, start, stop) + (stop - start).astype(U64))
+    out = mix(_BYTES.of(prefixes, start, stop) + (stop - start).astype(U64))
+    for k in np.flatnonzero(stop - start > LONG_WORD).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(text[start[k]:stop[k]], digest_size=8).digest(), "little")
+    return out
 
 
 SYMBOLS = {"bytes": byte_symbols, "words": word_symbols}
