@@ -8,6 +8,7 @@ both sides; integer sums are cast to BIGINT; calendar parts to INTEGER.
 
 from __future__ import annotations
 
+from auditlake import oracles_stored
 from auditlake.sources.fixture import FIXTURE_SQL
 
 TRAIL = FIXTURE_SQL.format(events="events")
@@ -466,7 +467,7 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= wm.w GROUP BY 1, 2"""
         "SELECT DISTINCT event_id, risk_level AS parser_risk_level FROM p WHERE risk_level IN ('high', 'critical')")
     o["baseline_tables"] = with_features("""SELECT event_id, user_total_events, event_type_frequency, ip_event_count
 FROM feat""")
-    return o
+    return o | oracles_stored.oracle_sql()
 
 
 _FEATURE_ORDER = [

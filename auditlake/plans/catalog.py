@@ -100,11 +100,12 @@ def as_table(features: DataFrame) -> DataFrame:
 
 def store_events(features: DataFrame, path: str, table: str = TABLE) -> str:
     """Write the feature table once, partitioned by date, and name it `table` in the session,
-    so that `spark.sql(get_query(name))` reads the stored columns. Rows of a date go to a
-    few files each, not to one per task. Returns the name."""
+    so that `spark.sql(get_query(name))` reads the stored columns. Rows are dealt by
+    date, and AQE splits a large date by its bytes into as many tasks and files as it
+    needs. Returns the name."""
     spark = features.sparkSession
     dated = as_table(features).withColumn("event_date", F.to_date("event_time"))
-    (dated.repartition("event_date", F.pmod(F.xxhash64("event_id", "user_name", "source_ip"), F.lit(16)))
+    (dated.hint("rebalance", F.col("event_date"))
      .write.mode("error").partitionBy("event_date").parquet(path))
     spark.read.schema(dated.schema).parquet(path).createOrReplaceTempView(table)
     return table

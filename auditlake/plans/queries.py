@@ -25,6 +25,7 @@ from auditlake.operators.lookup import attach, materialize
 from auditlake.operators.parse import parse_events
 from auditlake.plans import catalog as CAT
 from auditlake.plans import detection as DET
+from auditlake.plans import stored
 from auditlake.plans.features import (build_features, with_event_features, with_network_features,
                                       with_temporal_features, with_user_features)
 from auditlake.schema import PARSED_COLUMNS
@@ -507,6 +508,8 @@ def registry() -> dict[str, Query]:
     q["stream_user_hour_counts"] = q_stream_user_hour_counts
     q["alerts_high_severity"] = q_alerts_high_severity
     q["baseline_tables"] = q_baseline_tables
+    # the lossless raw zone, stored baselines, closed and late streams
+    q |= stored.registry()
 
     def wrap(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ oracles; the operators themselves are written separately on each side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from auditlake.session import prepare
 
@@ -73,3 +74,43 @@ def trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat 15-column event table built from `<sf_dir>/events.parquet`."""
     prepare(spark)
     return spark.sql(FIXTURE_SQL, events=table(spark, sf_dir, "events"))
+
+
+def _json(column: Column) -> Column:
+    """A column's value as JSON text, an explicit `null` included."""
+    text = F.to_json(F.struct(column.alias("v")), {"ignoreNullFields": "false"})
+    return F.substr(text, F.lit(6), F.length(text) - 6)
+
+
+def raw_documents(flat: DataFrame, events_per_document: int = 500) -> DataFrame:
+    """(document): the trail as `{"Records": [...]}` texts in which keys are missing, null or empty by
+    fixed rules on the event id, with keys beyond the flat table's. A document's
+    events are dealt by a hash of their id."""
+    k = F.col("event_id").cast("long")
+
+    def field(key: str, column, missing=None):
+        pair = F.concat(F.lit(f'"{key}":'), _json(column))
+        return pair if missing is None else F.when(~F.coalesce(missing, F.lit(False)), pair)
+
+    def null(name: str, n: int):
+        return F.col(name).isNull() & (k % n == 0)
+
+    def joined(*fields):
+        return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
+
+    identity = joined(field("type", F.col("user_type")), field("arn", F.col("user_arn")), field("accountId", F.col("account_id")),
+                      field("userName", F.col("user_name"), null("user_name", 2)))
+    time = F.when(k % 613 == 8, "n/a").otherwise(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    record = joined(
+        field("eventID", F.col("event_id")), field("eventTime", time, k % 613 == 7),
+        field("eventSource", F.col("event_source"), k % 401 == 3), field("eventName", F.col("event_name")),
+        field("awsRegion", F.col("aws_region")), field("sourceIPAddress", F.col("source_ip"), null("source_ip", 2)),
+        field("userAgent", F.col("user_agent"), null("user_agent", 4)),
+        F.when(k % 89 != 0, F.concat(F.lit('"userIdentity":'), F.when(k % 89 == 1, "null").otherwise(identity))),
+        field("errorCode", F.col("error_code"), null("error_code", 3)), field("errorMessage", F.col("error_message"), null("error_message", 5)),
+        field("is_anomaly", F.col("is_anomaly_original")), field("anomaly_type", F.col("anomaly_type_original"), null("anomaly_type_original", 5)),
+        F.when(k % 7 == 0, F.concat(F.lit('"requestParameters":{"n":'), k.cast("string"), F.lit(',"braces":"}{]["}'))),
+        F.when(k % 11 == 0, F.lit('"additionalEventData":null')))
+    group = F.pmod(F.xxhash64("event_id"), F.lit(max(1, -(-flat.count() // events_per_document))))
+    return (flat.select(group.alias("g"), record.alias("r")).groupBy("g")
+            .agg(F.concat(F.lit('{"Records":['), F.concat_ws(",", F.collect_list("r")), F.lit("]}")).alias("document")).select("document"))
