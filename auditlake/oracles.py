@@ -238,31 +238,39 @@ _ML34 = ["hour", "day_of_week", "is_business_hours", "is_weekend", "is_late_nigh
          "risk_score_normalized"]
 
 
+def _ranked(columns: str, where: str, order: str, listed: int) -> str:
+    """The first rows of a filtered list, by a numbered window."""
+    return f"SELECT {columns} FROM feat WHERE {where} QUALIFY row_number() OVER (ORDER BY {order}) <= {listed}"
+
+
+def _tally(key: str, **columns: str) -> str:
+    """Aggregates by a key, each over a narrow projection of the feature table."""
+    listed = ", ".join(f"{value} AS {name}" for name, value in columns.items())
+    return f"SELECT {key}, {listed} FROM feat GROUP BY ALL"
+
+
 def _sql_catalog() -> dict[str, str]:
-    src = "feat"
-    return {
-        "sql_total_events": with_features(f"SELECT COUNT(*) AS total_events FROM {src}"),
-        "sql_risk_distribution": with_features(
-            f"SELECT risk_level, COUNT(*) AS count FROM {src} GROUP BY risk_level"),
-        "sql_top_users": with_features(f"""SELECT user_name, COUNT(*) AS event_count,
-  CAST(SUM(is_sensitive_action) AS BIGINT) AS sensitive_actions, CAST(SUM(has_error) AS BIGINT) AS errors,
-  ROUND(AVG(risk_score_normalized), 2) AS avg_risk_score
-FROM {src} GROUP BY user_name ORDER BY event_count DESC, user_name ASC NULLS FIRST LIMIT 10"""),
-        "sql_high_risk_events": with_features(f"""SELECT user_name, source_ip, event_name, event_time, risk_level,
-  risk_score_normalized FROM {src} WHERE risk_level IN ('high', 'critical')
-ORDER BY risk_score_normalized DESC, event_id ASC LIMIT 50"""),
-        "sql_hourly_pattern": with_features(f"""SELECT hour, COUNT(*) AS event_count,
-  CAST(SUM(CASE WHEN is_anomaly_original = true THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count
-FROM {src} GROUP BY hour ORDER BY hour"""),
-        "sql_anomaly_summary": with_features(f"""SELECT anomaly_type_original, COUNT(*) AS count
-FROM {src} WHERE is_anomaly_original = true GROUP BY anomaly_type_original"""),
-        "sql_suspicious_ips": with_features(f"""SELECT source_ip, COUNT(*) AS event_count,
-  COUNT(DISTINCT user_name) AS unique_users, CAST(SUM(has_error) AS BIGINT) AS error_count
-FROM {src} WHERE is_suspicious_ip = 1 GROUP BY source_ip ORDER BY event_count DESC, source_ip"""),
-        "sql_sensitive_actions": with_features(f"""SELECT event_name, user_name, source_ip, event_time,
-  risk_score_normalized FROM {src} WHERE is_sensitive_action = 1
-ORDER BY event_time DESC NULLS LAST, event_id ASC LIMIT 50"""),
+    """The named reports, from their definitions: which key, which tallies, which rows and how many."""
+    rows = "count(event_id)"             # every event has an id here
+    found = {
+        "total_events": "SELECT sum(n)::BIGINT AS total_events FROM (SELECT risk_level, count(*) AS n FROM feat GROUP BY ALL)",
+        "risk_distribution": _tally("risk_level", count=rows),
+        "top_users": f"""SELECT * FROM ({_tally("user_name", event_count=rows, sensitive_actions="count_if(is_sensitive_action = 1)::BIGINT",
+                     errors="count_if(has_error = 1)::BIGINT", avg_risk_score="round(sum(risk_score_normalized) / count(risk_score_normalized), 2)")})
+QUALIFY row_number() OVER (ORDER BY event_count DESC, user_name NULLS FIRST) <= 10""",
+        "high_risk_events": _ranked("user_name, source_ip, event_name, event_time, risk_level, risk_score_normalized",
+                                    "risk_level_encoded >= 2", "risk_score_normalized DESC, event_id", 50),
+        "hourly_pattern": _tally("hour", event_count=rows, anomaly_count="count_if(coalesce(is_anomaly_original, false))::BIGINT"),
+        "anomaly_summary": """SELECT anomaly_type_original, n AS count FROM (
+  SELECT anomaly_type_original, is_anomaly_original AS planted, count(event_id) AS n FROM feat GROUP BY ALL) WHERE planted""",
+        "suspicious_ips": """SELECT source_ip, sum(n)::BIGINT AS event_count, count(user_name) AS unique_users, sum(wrong)::BIGINT AS error_count
+FROM (SELECT source_ip, user_name, count(event_id) AS n, count_if(has_error = 1) AS wrong FROM feat WHERE is_suspicious_ip > 0 GROUP BY ALL)
+GROUP BY source_ip""",
+        "sensitive_actions": _ranked("event_name, user_name, source_ip, event_time, risk_score_normalized",
+                                     "is_sensitive_action > 0", "event_time DESC NULLS LAST, event_id", 50),
     }
+    # a report reads the same from the plan and from the stored table
+    return {f"{where}_{name}": with_features(text) for name, text in found.items() for where in ("sql", "stored")}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -370,7 +378,6 @@ ORDER BY event_count DESC, user_name ASC LIMIT 5"""
     o["feat_statistics"] = with_features(stat_rows)
     # ---- named SQL
     o.update(_sql_catalog())
-    o["stored_top_users"] = o["sql_top_users"]
     o["sink_parsed_csv_all"] = o["sink_parsed_json_all"] = o["flatten_parsed"]
     o["sink_features_all"] = o["src_features_all"] = o["features_full"]
     # ---- detector operators on the rule decision

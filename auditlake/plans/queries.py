@@ -326,10 +326,9 @@ def q_ml_holdout_metrics(s, sf):
     return DET.holdout_metrics(features(s, sf))
 
 
-def q_stored_top_users(s, sf):
+def _stored(name):
     """S3: the features written once as a date-partitioned table; a report's text runs on it."""
-    name = CAT.store_events(features(s, sf), scratch_path(s, "security-events"))
-    return s.sql(CAT.get_query("top_users", name))
+    return lambda s, sf: s.sql(CAT.get_query(name, CAT.store_events(features(s, sf), scratch_path(s, "security-events"))))
 
 
 # --------------------------------------------------------------- threats
@@ -469,7 +468,7 @@ def registry() -> dict[str, Query]:
     # named SQL
     for name in CAT.list_queries():
         q[f"sql_{name}"] = _sql(name)
-    q["stored_top_users"] = q_stored_top_users
+        q[f"stored_{name}"] = _stored(name)
     # detector operators over a rule decision (exact oracles)
     q["ml_select_features"] = q_ml_select_features
     q["ml_ground_truth"] = q_ml_ground_truth
