@@ -2,8 +2,9 @@
 
 For every language a suffix automaton holds all substrings of a bounded sample
 of its labelled texts. A text is parsed greedily into the longest phrases that
-occur in the sample; the language that needs the fewest phrases per character
-wins: its text is the cheapest code book (cross-parsing entropy).
+occur in the sample; a phrase costs the logarithm of the letters learned (what pointing into
+that sample takes), and the language with the least cost wins: its text is the cheapest code
+book (cross-parsing entropy). A language of little labelled text so isn't beaten for being short.
 
 The automaton's transitions lie in one hashed row, at the place of their state plus
 the letter, so a step is a look-up and its memory follows the sample, not the number of
@@ -14,7 +15,7 @@ end at block ends, for every language alike, so long texts cost no more per lett
 Defined cases: texts that are null or have no letters are `und` with score 0;
 a tie goes to the first language in sort order; rows without id or lang teach
 nothing; without any usable row everything is `und`. The score is the
-gap to the second-best language, 1 - phrases / phrases (1 with a single language).
+gap to the second-best language, 1 - cost / cost (1 with a single language).
 Every input row gives one output row.
 """
 
@@ -55,6 +56,7 @@ class Table(NamedTuple):
     place: np.ndarray
     owner: np.ndarray
     step: np.ndarray
+    bits: float           # what a phrase costs: the logarithm of the letters learned
 
     def after(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
         at = self.place.take(state) + code
@@ -112,7 +114,7 @@ class Automaton:
             place[s] = at
             for c, to in self.step[s].items():
                 taken[at + c], owner[at + c], step[at + c] = 1, s, 4 * to
-        return Table(root, place, owner, step)
+        return Table(root, place, owner, step, float(np.log2(max(2, max(self.size)))))
 
 
 def letter_codes(texts: list[str]) -> np.ndarray:
@@ -186,6 +188,7 @@ def judge(texts: list[str], model: tuple, block: int) -> tuple[list[str], list[f
     codes, letters, tables = model
     read = [coded(t, codes) for t in texts]
     names = list(tables)
+    bits = np.array([t.bits for t in tables.values()])
     found = phrases(read, letters, tables, block) if names else np.zeros((0, len(texts)))
     langs, scores = [], []
     for k, text in enumerate(read):
@@ -193,7 +196,7 @@ def judge(texts: list[str], model: tuple, block: int) -> tuple[list[str], list[f
             langs.append(UNKNOWN)
             scores.append(0.0)
             continue
-        column = found[:, k]
+        column = found[:, k] * bits
         best = int(column.argmin())
         rest = np.delete(column, best)
         langs.append(names[best])
