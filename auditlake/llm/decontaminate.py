@@ -8,8 +8,8 @@ functions only:
 1. Document shingles meet item shingles in an equi-join. An item of m and a window of w
    shingles reach similarity t only with c >= t(m + w) / (1 + t) shared shingles, so a
    document needs that many places that hold a shingle of the item, and a window
-   that reaches t starts at most w - c places before one of them. Windows
-   that hold fewer such places are left out; none that could match is.
+   that reaches t holds that many. Windows that hold fewer such places are left out (one
+   pass over the sorted places of a document and item); none that could match is.
 2. The remaining windows and all items get 64-bit SimHash fingerprints.
 3. Multi-index Hamming search among items of the size that the window was cut for: `radius` + 1
    blocks, so fingerprints within `radius` agree in at least one block; an equi-join on
@@ -19,7 +19,7 @@ functions only:
    12 +- 3.1 bits, for a document with four of an item's five shingles).
 4. Candidates are verified by the exact similarity of their shingle texts.
 
-Words are runs without ASCII white space, lower-cased. Items with fewer than five words
+Words are runs without ASCII white space, lower-cased as Unicode has it. Items with fewer than five words
 are one shingle of all their words. Defined cases: null or empty items and
 texts match nothing, nor do documents without a shingle of the item's size; items that repeat an id
 count under it together (best similarity); null item ids are left out; an empty
@@ -109,18 +109,23 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, radius: i
     # c * (100 + percent) >= percent * (item_m + m)
     per_pair = per_pair.withColumn("need", F.ceil(percent * (F.col("item_m") + F.col("m")) / F.lit(100 + percent) - F.lit(1e-9)).cast("int"))
     enough = per_pair.where(F.size("places") >= F.col("need"))
-    starts = enough.select(ID, "item", "n", "m", "need", "places", "long", F.explode(F.array_distinct(F.flatten(F.transform(
-        "places", lambda p: F.sequence(p - F.col("m") + F.col("need"), p))))).alias("s"))
-    starts = starts.where((F.col("s") >= 0) & (F.col("s") + F.least("n", "long") <= F.col("long")))
-    inside = F.size(F.filter("places", lambda p: (p >= F.col("s")) & (p < F.col("s") + F.col("m"))))
-    windows = starts.where(inside >= F.col("need")).select(ID, "n", "m", "s").distinct()
+    # a window from s holds `need` places when, for some i, it starts at or before place i and ends after place
+    # i + need - 1; starts up to place i - 1 belong to an earlier i, so no start comes twice
+    last = F.col("long") - F.least("n", "long")
+    runs = F.transform(F.slice("places", F.lit(1), F.size("places") - F.col("need") + 1), lambda p, i: F.struct(
+        F.greatest(F.element_at("places", i + F.col("need")) - F.col("m") + 1,
+                   F.when(i > 0, F.get("places", i - 1) + 1).otherwise(0), F.lit(0)).alias("lo"),
+        F.least(p, last).alias("hi")))
+    starts = enough.select(ID, "n", "m", F.explode(F.filter(runs, lambda r: r["lo"] <= r["hi"])).alias("r"))
+    windows = starts.select(ID, "n", "m", F.explode(F.sequence("r.lo", "r.hi")).alias("s")).distinct()
     wanted, many = materialize(windows.groupBy(ID).agg(F.collect_list(F.struct("n", "m", "s")).alias("wanted")), "windows", rows=F.count(F.lit(1)))
     if not many["rows"]:
         return docs.select(ID, F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("start")).limit(0)
     held = texts.join(wanted, ID).select(ID, "w", F.explode("wanted").alias("x"))
     held = held.select(ID, F.col("x.n").alias("n"), F.col("x.m").alias("m"), F.col("x.s").alias("s"),
                        F.slice("w", F.col("x.s") + 1, F.col("x.n")).alias("w"))
-    held = fingerprinted(held)
+    # of equal windows of a document the first stands for all
+    held = fingerprinted(held.groupBy(ID, "n", "m", "w").agg(F.min("s").alias("s")))
     window, _ = materialize(held, "fingerprints")
     near = window.withColumn("b", F.explode(blocks("fp", radius))).select(ID, "s", "n", "fp", "b")
     listed, _ = materialize(fingerprinted(bench.select("item", "item_id", "n", "m", "w")), "item-fingerprints")

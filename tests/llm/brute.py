@@ -74,12 +74,16 @@ def contaminated(docs, items, percent=80):
     for d, t in docs:
         w = WORD.findall((t or "").lower())
         for i, n, k, c in listed:
-            m = n - k + 1
+            size = min(n, len(w))
+            m = size - k + 1
+            if m < 1:
+                continue
             found = [tuple(w[a:a + k]) for a in range(len(w) - k + 1)]
-            for s in range(len(w) - n + 1):
+            both = m + n - k + 1
+            for s in range(len(w) - size + 1):
                 x = sum((Counter(found[s:s + m]) & c).values())
-                if x * (100 + percent) >= 2 * percent * m and x / (2 * m - x) > out.get((d, i), (0, 0))[0]:
-                    out[d, i] = (x / (2 * m - x), s)
+                if x * (100 + percent) >= percent * both and x / (both - x) > out.get((d, i), (0, 0))[0]:
+                    out[d, i] = (x / (both - x), s)
     return out
 
 
