@@ -6,19 +6,26 @@ call_id, content) meet in a hash join on the identifier. A call may come
 pointer jumping (log2 of the longest chain joins), so a conversation is never collected
 into one task however long it is, and (depth, turn, call_id) is a topological order.
 Arguments are checked against the schema of the call's tool and written as canonical
-JSON: keys sorted, no white space, UTF-8.
+JSON: keys sorted, no white space, UTF-8, whole numbers without a fraction (1.0 is 1), lone
+surrogates as \\u escapes. Turns that are neither calls nor results are `context`:
+one row each, with the canonical JSON of role, turn and text.
 
 Defined cases: a call without result is `no_result`, a result without call `no_call`
 (depth 0, no name, not valid); a repeated identifier keeps its least arguments or
 content, and `n_calls` and `n_results` say how many rows it had; a call that follows an
 unknown one, or none, has depth 0; calls on a cycle have depth null and are not valid;
 arguments that aren't a JSON object, unknown tools, and null arguments are not
-valid (`problem` says why); rows with a null conversation or identifier are left out.
+valid (`problem` says why), nor are texts that nest deeper than `DEEPEST` or hold numbers
+beyond a double, NaN or Infinity; the last of equal keys of an object counts. Calls and results with a null
+conversation or identifier are left out of `link_calls`; `turns_as_calls` makes such turns, and those of
+any other role or none, context (valid null), so every row of a conversation is in the result.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,6 +40,28 @@ from auditlake.session import prepare
 REPLY = {"reply": {"text": {"type": "string", "minLength": 1, "required": True},
                    "turn": {"type": "integer", "minimum": 0, "required": True}}}
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
+DEEPEST = 100
+SURROGATE = re.compile("[\ud800-\udfff]")
+
+
+def number(text: str) -> int | float:
+    value = float(text)
+    if math.isinf(value):
+        raise ValueError("beyond a double")
+    return int(value) if value.is_integer() and abs(value) < 1 << 53 else value
+
+
+def no_number(text: str) -> None:
+    raise ValueError(f"{text} is no JSON")
+
+
+def depth_of(value: object) -> int:
+    """Levels of arrays and objects."""
+    level, here = 0, [value]
+    while here := [x for x in here if isinstance(x, (dict, list))]:
+        level += 1
+        here = [y for x in here for y in (x.values() if isinstance(x, dict) else x)]
+    return level
 
 
 def problem(name: str | None, arguments: str | None, schemas: dict) -> tuple[str | None, object]:
@@ -40,9 +69,13 @@ def problem(name: str | None, arguments: str | None, schemas: dict) -> tuple[str
     if name not in schemas:
         return "unknown tool", None
     try:
-        given = json.loads(arguments) if arguments is not None else None
+        given = json.loads(arguments, parse_float=number, parse_constant=no_number) if arguments is not None else None
     except ValueError:
         return "not JSON", None
+    except RecursionError:
+        return "nested too deeply", None
+    if depth_of(given) > DEEPEST:
+        return "nested too deeply", None
     if not isinstance(given, dict):
         return "not an object", given
     known = schemas[name]
@@ -64,8 +97,12 @@ def problem(name: str | None, arguments: str | None, schemas: dict) -> tuple[str
     return None, given
 
 
+def escaped(text: str) -> str:
+    return SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", text)
+
+
 def canonical(value: object) -> str:
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+    return escaped(json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":")))
 
 
 def depths(calls: DataFrame) -> DataFrame:
@@ -89,8 +126,9 @@ def depths(calls: DataFrame) -> DataFrame:
     return now.select("conv_id", "call_id", F.when(F.col("to").isNull(), F.col("depth")).alias("depth"))
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
-    """(conv_id, call_id, turn, depth, name, status, n_calls, n_results, valid, problem, json)."""
+def link_calls(calls: DataFrame, results: DataFrame, schemas: dict, context: DataFrame | None = None) -> DataFrame:
+    """(conv_id, call_id, turn, depth, name, status, n_calls, n_results, valid, problem, json);
+    `context` are (conv_id, turn, role, content) rows to carry along."""
     prepare(calls.sparkSession)
     keys = ["conv_id", "call_id"]
     calls = calls.where("conv_id IS NOT NULL AND call_id IS NOT NULL")
@@ -98,41 +136,57 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame
     one = calls.groupBy(*keys).agg(F.min(F.struct("arguments", "name", "turn", "after")).alias("c"), F.count(F.lit(1)).alias("n_calls"))
     one, _ = materialize(one.select(*keys, "c.*", "n_calls"), "tool-calls")
     answer = results.groupBy(*keys).agg(F.min("content").alias("content"), F.count(F.lit(1)).alias("n_results"), F.min("turn").alias("result_turn"))
-    joined = one.join(answer, keys, "full").join(depths(one), keys, "left")
+    joined = one.join(answer.hint("shuffle_hash"), keys, "full").join(depths(one), keys, "left")
     joined = joined.withColumns({
         "status": F.when(F.col("n_calls").isNull(), "no_call").when(F.col("n_results").isNull(), "no_result").otherwise("linked"),
         "turn": F.coalesce("turn", "result_turn"), "depth": F.when(F.col("n_calls").isNull(), 0).otherwise(F.col("depth")),
         "n_calls": F.coalesce("n_calls", F.lit(0).cast("long")), "n_results": F.coalesce("n_results", F.lit(0).cast("long"))})
     given = [*keys, "turn", "depth", "name", "status", "n_calls", "n_results"]
+    joined = joined.select(*given, "arguments", "after", "content", F.lit(None).cast("string").alias("role"))
+    if context is not None:
+        none = F.lit(0).cast("long")
+        joined = joined.unionByName(context.select("conv_id", "turn", "role", "content", F.lit("context").alias("status"),
+                                                   none.alias("n_calls"), none.alias("n_results")), allowMissingColumns=True)
 
     def rows(batch: pa.RecordBatch) -> Iterator[dict]:
-        found, text = [], []
-        column = {c: batch.column(c).to_pylist() for c in ("call_id", "name", "arguments", "after", "content", "depth", "status")}
-        for call, name, arguments, after, content, depth, status in zip(*column.values()):
-            wrong, parsed = ("no call", None) if status == "no_call" else problem(name, arguments, schemas)
-            found.append(wrong or ("cycle" if depth is None else None))
-            text.append(canonical({"after": after, "arguments": parsed, "call_id": call, "name": name, "result": content}))
-        yield {**{c: batch.column(c) for c in given}, "valid": [w is None for w in found], "problem": found, "json": text}
+        found, text, valid = [], [], []
+        column = [batch.column(c).to_pylist() for c in
+                  ("call_id", "turn", "name", "arguments", "after", "content", "depth", "status", "role")]
+        for call, turn, name, arguments, after, content, depth, status, role in zip(*column):
+            if status == "context":
+                wrong, shown = None, {"role": role, "text": content, "turn": turn}
+            else:
+                wrong, parsed = ("no call", None) if status == "no_call" else problem(name, arguments, schemas)
+                wrong = escaped(wrong) if wrong else "cycle" if depth is None else None
+                shown = {"after": after, "arguments": parsed, "call_id": call, "name": name, "result": content}
+            found.append(wrong)
+            text.append(canonical(shown))
+            valid.append(None if status == "context" else wrong is None)
+        yield {**{c: batch.column(c) for c in given}, "valid": valid, "problem": found, "json": text}
 
     kinds = dict(joined.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in given) + ", valid boolean, problem string, json string"
-    return arrow_map(joined.select(*given, "arguments", "after", "content"), rows, schema)
+    return arrow_map(joined, rows, schema)
 
 
-def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Calls and results of a (conv_id, turn, role, text) table: a user turn calls `reply`,
-    the assistant's turn after it is the result, and the next user turn follows that call."""
+def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Calls, results and context of a (conv_id, turn, role, text) table: a user turn calls `reply`,
+    the assistant's turn after it is the result, and the next user turn follows that call. All other
+    rows (other roles or none, no conversation or turn) are context."""
     name = lambda back: F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
-    rows = conversations.where("conv_id IS NOT NULL AND turn IS NOT NULL")
-    calls = rows.where("role = 'user'").select(
+    placed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    spoken = F.coalesce(placed & F.col("role").isin("user", "assistant"), F.lit(False))
+    calls = conversations.where(placed & (F.col("role") == "user")).select(
         "conv_id", name(0).alias("call_id"), name(2).alias("after"), "turn", F.lit("reply").alias("name"),
         F.to_json(F.struct("text", "turn"), {"ignoreNullFields": "false"}).alias("arguments"))
-    results = rows.where("role = 'assistant'").select("conv_id", name(1).alias("call_id"), F.col("text").alias("content"), "turn")
-    return calls, results
+    results = conversations.where(placed & (F.col("role") == "assistant")).select(
+        "conv_id", name(1).alias("call_id"), F.col("text").alias("content"), "turn")
+    return calls, results, conversations.where(~spoken).select("conv_id", "turn", "role", F.col("text").alias("content"))
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_calls(*turns_as_calls(read(spark, sf_dir, "conversations")), REPLY)
+    calls, results, context = turns_as_calls(read(spark, sf_dir, "conversations"))
+    return link_calls(calls, results, REPLY, context)
 
 
 OP8_SQL = """
@@ -165,4 +219,9 @@ SELECT b.conv_id, concat(b.conv_id, ':', b.at) AS call_id, coalesce(call_turn, r
               ',"call_id":"', b.conv_id, ':', b.at, '","name":', CASE WHEN n_calls IS NULL THEN 'null' ELSE '"reply"' END,
               ',"result":', coalesce(to_json(content)::VARCHAR, 'null'), '}') AS json
 FROM both_sides b LEFT JOIN depths d ON d.conv_id = b.conv_id AND d.turn = b.at
+UNION ALL
+SELECT conv_id, NULL, turn, NULL, NULL, 'context', 0, 0, NULL, NULL,
+       concat('{"role":', coalesce(to_json(role)::VARCHAR, 'null'), ',"text":', coalesce(to_json(text)::VARCHAR, 'null'),
+              ',"turn":', coalesce(turn::VARCHAR, 'null'), '}')
+FROM conversations WHERE NOT coalesce(role IN ('user', 'assistant') AND conv_id IS NOT NULL AND turn IS NOT NULL, false)
 """
