@@ -108,6 +108,10 @@ class EventStats:
               .select("_hour", "user_name", F.col("n").alias("user_events_this_hour")))
         return lk, self.rows["hour_user"]
 
+    def unseen(self, df: DataFrame) -> DataFrame:
+        """What keys without counts get. Counts of the table itself have every key."""
+        return df
+
 
 def event_stats(df: DataFrame, time_col: str = "event_time") -> EventStats:
     """One scan, one shuffle: all per-key counts, materialised."""

@@ -202,10 +202,11 @@ def add_lookup_rules(df: DataFrame) -> DataFrame:
     """Rules over the looked-up counts (after `attach_many` in the full plan)."""
     total = F.col("user_total_events")
     gap = F.coalesce(F.col("_gap"), F.lit(0.0))
+    share = lambda c: F.when(total > 0, F.col(c) / total).when(total == 0, 0.0)
     return df.withColumns({
-        "user_error_rate": F.col("user_error_count") / total,
+        "user_error_rate": share("user_error_count"),
         "is_new_user": C.flag(total < L.NEW_USER_BELOW),
-        "user_activity_diversity": F.col("user_unique_event_types") / total,
+        "user_activity_diversity": share("user_unique_event_types"),
         "is_rare_event": C.flag(F.col("event_type_frequency") < L.RARE_EVENT_BELOW),
         "is_shared_ip": C.flag(F.col("ip_unique_users") > 1),
         "is_suspicious_user_agent": C.flag(C.is_suspicious_user_agent("user_agent")),

@@ -273,6 +273,49 @@ GROUP BY source_ip""",
     return {f"{where}_{name}": with_features(text) for name, text in found.items() for where in ("sql", "stored")}
 
 
+def _published() -> str:
+    """Rows and checksum of every published zone."""
+    def zone(name: str, table: str, *keys: str) -> str:
+        text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
+        return (f"SELECT '{name}' AS zone, count(*) AS rows, CAST(coalesce(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)), 0) AS BIGINT) "
+                f"AS checksum, true AS intact FROM {table}")
+    parts = [zone("raw", "trail", "event_id"), zone("features", "rp", "event_id", "risk_score", "risk_level"),
+             zone("predictions", "rp", "event_id", "ml_anomaly_prediction", "ml_severity"),
+             zone("feature_summary", "(SELECT count(*) AS a, sum(is_sensitive_action) AS b, sum(has_error) AS c FROM rp)", "a", "b", "c"),
+             zone("detection_summary", "(SELECT count(*) AS a, sum(ml_anomaly_prediction) AS b FROM rp)", "a", "b")]
+    return _rule("\nUNION ALL ".join(parts))
+
+
+def _holdout() -> str:
+    """Key counts of the events up to the cut, applied to both parts; window counts within a part."""
+    return f"""WITH trail AS ({TRAIL}),
+ranked AS (SELECT event_time, row_number() OVER (ORDER BY event_time) - 1 AS r, count(*) OVER () AS n FROM trail WHERE event_time IS NOT NULL),
+cut AS (SELECT event_time AS at FROM ranked WHERE r = (n - 1) * 80 // 100),
+parted AS (SELECT t.*, CASE WHEN t.event_time > cut.at THEN 'test' ELSE 'train' END AS part FROM trail t, cut),
+users AS (SELECT user_name, count(*) AS n, count(DISTINCT source_ip) AS ips, count(DISTINCT event_name) AS kinds,
+    count(*) FILTER (error_code IS NOT NULL AND error_code <> '') AS errors FROM parted WHERE part = 'train' GROUP BY user_name),
+kinds AS (SELECT event_name, count(*) AS n FROM parted WHERE part = 'train' GROUP BY event_name),
+ips AS (SELECT source_ip, count(*) AS n, count(DISTINCT user_name) AS users FROM parted WHERE part = 'train' GROUP BY source_ip),
+joined AS (SELECT p.event_id, p.part, p.user_name, u.ips, u.kinds, u.errors,
+    CASE WHEN p.user_name IS NOT NULL THEN coalesce(u.n, 0) END AS total,
+    CASE WHEN p.event_name IS NOT NULL THEN coalesce(k.n, 0) END AS event_type_frequency,
+    CASE WHEN p.source_ip IS NOT NULL THEN coalesce(i.n, 0) END AS ip_event_count,
+    CASE WHEN p.source_ip IS NOT NULL THEN coalesce(i.users, 0) END AS ip_unique_users,
+    CASE WHEN p.event_time IS NOT NULL THEN count(*) OVER (PARTITION BY part, date_trunc('minute', p.event_time)) END AS events_this_minute,
+    CASE WHEN p.user_name IS NOT NULL THEN count(*) OVER (PARTITION BY part, date_trunc('hour', p.event_time), p.user_name) END AS user_events_this_hour
+  FROM parted p LEFT JOIN users u ON u.user_name = p.user_name LEFT JOIN kinds k ON k.event_name = p.event_name
+  LEFT JOIN ips i ON i.source_ip = p.source_ip)
+SELECT event_id, part, total AS user_total_events,
+  CASE WHEN user_name IS NOT NULL THEN coalesce(ips, 0) END AS user_unique_ips,
+  CASE WHEN user_name IS NOT NULL THEN coalesce(kinds, 0) END AS user_unique_event_types,
+  CASE WHEN user_name IS NOT NULL THEN coalesce(errors, 0) END AS user_error_count,
+  CASE WHEN total = 0 THEN 0.0::DOUBLE ELSE errors::DOUBLE / total END AS user_error_rate,
+  CASE WHEN total = 0 THEN 0.0::DOUBLE ELSE kinds::DOUBLE / total END AS user_activity_diversity,
+  CASE WHEN total < 5 THEN 1 ELSE 0 END AS is_new_user, event_type_frequency,
+  CASE WHEN event_type_frequency < 10 THEN 1 ELSE 0 END AS is_rare_event, ip_event_count, ip_unique_users,
+  events_this_minute, user_events_this_hour FROM joined"""
+
+
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
     # ---- parser and sources
@@ -474,6 +517,8 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= wm.w GROUP BY 1, 2"""
         "SELECT DISTINCT event_id, risk_level AS parser_risk_level FROM p WHERE risk_level IN ('high', 'critical')")
     o["baseline_tables"] = with_features("""SELECT event_id, user_total_events, event_type_frequency, ip_event_count
 FROM feat""")
+    o["sink_published"] = _published()
+    o["holdout_features"] = _holdout()
     return o | oracles_stored.oracle_sql()
 
 

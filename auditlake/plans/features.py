@@ -38,7 +38,7 @@ def build_features(flat: DataFrame, semantics: str = C.ERROR_PRESENT,
         (gaps, gap_bound, gap_keys, tuple(gap_keys[1:])),
     ]
     df = attach_many(df, specs, FT.ROW_ID)
-    df = FT.add_lookup_rules(df)
+    df = FT.add_lookup_rules(stats.unseen(df))
     df = FT.add_risk(df)
     return df.select(*FEATURE_COLUMNS)
 

@@ -28,15 +28,21 @@ from auditlake.plans import detection as DET
 from auditlake.plans import stored
 from auditlake.plans.features import (build_features, with_event_features, with_network_features,
                                       with_temporal_features, with_user_features)
-from auditlake.schema import PARSED_COLUMNS
+from auditlake.schema import FEATURE_COLUMNS, PARSED_COLUMNS
 from auditlake.session import prepare, scratch_path
+from auditlake.sources import publish as PB
 from auditlake.sources import sinks as K
+from auditlake.sources import variant as V
 from auditlake.sources.fixture import trail
 from auditlake.sources.raw import flat_to_raw, flatten_events, read_raw_records, write_raw_files
 from auditlake.streaming import ingest as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+HOLDOUT_COLUMNS = ["user_total_events", "user_unique_ips", "user_unique_event_types", "user_error_count", "user_error_rate",
+                   "user_activity_diversity", "is_new_user", "event_type_frequency", "is_rare_event", "ip_event_count", "ip_unique_users",
+                   "events_this_minute", "user_events_this_hour"]
+
 
 def out(df: DataFrame) -> DataFrame:
     """Emit TIMESTAMP columns as TIMESTAMP_NTZ."""
@@ -77,14 +83,21 @@ def features(spark: SparkSession, sf: str, semantics: str = C.ERROR_PRESENT) ->
 def rule_scored(spark: SparkSession, sf: str) -> tuple[DataFrame, dict]:
     """Features with a deterministic decision column (-risk_score_normalized,
     higher = more normal) for exact checks of the detector's operators."""
-    f, m = materialize(features(spark, sf).withColumn("_decision", -F.col("risk_score_normalized")),
+    return scored_by_rule(features(spark, sf))
+
+
+def scored_by_rule(table: DataFrame) -> tuple[DataFrame, dict]:
+    f, m = materialize(table.withColumn("_decision", -F.col("risk_score_normalized")),
                        "rule-scored", dmin=F.min("_decision"), dmax=F.max("_decision"))
     st = EV.decision_stats(f.select("_decision"), "_decision", L.CONTAMINATION)
     return f, {**st, "dmin": m["dmin"], "dmax": m["dmax"]}
 
 
 def rule_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    f, st = rule_scored(spark, sf)
+    return decided(*rule_scored(spark, sf))
+
+
+def decided(f: DataFrame, st: dict) -> DataFrame:
     raw_score = EV.minmax_score("_decision", st["dmin"], st["dmax"])
     return (f.withColumn("ml_anomaly_prediction", EV.flag("_decision", st["offset"]))
             .withColumn("_score_raw", raw_score)
@@ -326,6 +339,38 @@ def q_ml_holdout_metrics(s, sf):
     return DET.holdout_metrics(features(s, sf))
 
 
+def q_ml_holdout_by_time(s, sf):
+    return DET.holdout_by_time(flat(s, sf))
+
+
+def q_holdout_features(s, sf):
+    """Key counts of both parts, all fitted on the earlier one; window counts of the part itself."""
+    parts = DET.holdout_features(flat(s, sf))
+    named = [p.select("event_id", F.lit(n).alias("part"), *HOLDOUT_COLUMNS) for n, p in zip(("train", "test"), parts)]
+    return named[0].unionByName(named[1])
+
+
+def q_sink_published(s, sf):
+    """K7, K8: all five zones published under one manifest and checked against it: a version of every
+    other event, then one of all."""
+    base, rows = scratch_path(s, "published"), flat(s, sf)
+    for part in (rows.where(F.col("event_id").cast("long") % 2 == 1), rows):
+        table, found = build_and_decide(part)
+        doc = found.agg(F.count(F.lit(1)).alias("total_events"), F.coalesce(F.sum("ml_anomaly_prediction"), F.lit(0)).alias("anomalies"),
+                        *[F.count_if(F.col("ml_severity") == x).alias(f"severity_{x}") for x in L.SEVERITY_ORDER])
+        landing = scratch_path(s, "landing")
+        stored.land(part, landing)
+        PB.publish(s, base, {"raw": V.read_variant_events(s, landing, multi_line=False), "features": table, "predictions": found,
+                             "feature_summary": K.feature_summary_document(SM.feature_summary(table)), "detection_summary": doc})
+    return PB.verify(s, base)
+
+
+def build_and_decide(part: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Features of some events, and with them the decisions of the rule detector."""
+    found = decided(*scored_by_rule(build_features(part)))
+    return found.select(*FEATURE_COLUMNS), found.select(*FEATURE_COLUMNS, "ml_anomaly_prediction", "ml_anomaly_score", "ml_severity")
+
+
 def _stored(name):
     """S3: the features written once as a date-partitioned table; a report's text runs on it."""
     return lambda s, sf: s.sql(CAT.get_query(name, CAT.store_events(features(s, sf), scratch_path(s, "security-events"))))
@@ -492,6 +537,9 @@ def registry() -> dict[str, Query]:
     q["ml_ocsvm"] = q_ml_ocsvm
     q["ml_consensus"] = q_ml_consensus
     q["ml_holdout_metrics"] = q_ml_holdout_metrics
+    q["ml_holdout_by_time"] = q_ml_holdout_by_time
+    q["holdout_features"] = q_holdout_features
+    q["sink_published"] = q_sink_published
     # threats
     q["threat_privilege_escalation"] = lambda s, sf: TH.privilege_escalation(flat(s, sf))
     q["threat_unusual_access"] = lambda s, sf: TH.unusual_access(

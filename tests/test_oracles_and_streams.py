@@ -12,7 +12,7 @@ from scripts.check_oracles import TABLES, rows_of
 from tests.conftest import SF001
 
 KEYS = [
-    "features_full", "features_full_ref", "features_after_dedup", "stored_top_users", "flatten_parsed", "parse_risk_distribution",
+    "features_full", "holdout_features", "sink_published", "features_full_ref", "features_after_dedup", "stored_top_users", "flatten_parsed", "parse_risk_distribution",
     "parse_top_event_types", "feat_statistics", "sql_top_users", "sql_sensitive_actions",
     "sql_suspicious_ips", "ml_scale", "ml_metrics", "ml_roc_auc", "ml_severity_distribution",
     "threat_failed_attacks", "user_events_last_hour", "ip_first_seen", "join_threat_feed",
@@ -35,7 +35,7 @@ def test_every_query_has_oracle_or_is_model_based():
     missing = sorted(k for k in set(qs) - set(o) if k != "pipeline" and not (k[:2] == "op" and k[2].isdigit()))
     assert set(missing) <= {"ml_forest_nodes", "ml_predictions", "sink_predictions",
                             "ml_permutation_importance", "model_roundtrip", "detection_summary",
-                            "ml_ocsvm", "ml_consensus", "ml_holdout_metrics"}
+                            "ml_ocsvm", "ml_consensus", "ml_holdout_metrics", "ml_holdout_by_time"}
 
 
 @pytest.mark.parametrize("key", KEYS)
