@@ -171,13 +171,18 @@ def quality(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col
     """(id, the five counts, base_failed, score, kept) of every row. The narrow
     statistics are written once; the texts are read once."""
     prepare(docs.sparkSession)
-    stats, _ = materialize(statistics(docs, id_col, text_col), "quality")
+    stats, seen = materialize(statistics(docs, id_col, text_col), "quality", rows=F.count_if(~F.col("base_failed")))
     known = (labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("label_id"))
              .agg(F.min(label_col).alias("label")))
     taught = stats.where("not base_failed").join(known, F.col(id_col) == F.col("label_id"))
     # ranked by id and counts, so equal counts are not neighbours; rows that agree in both count once
-    picked = (stats.where("not base_failed").select(id_col, *COUNTS).distinct().withColumn("key", F.xxhash64(id_col, *COUNTS))
-              .orderBy("key", id_col, *COUNTS).limit(s.sample).collect())
+    ranked = stats.where("not base_failed").select(id_col, *COUNTS).distinct().withColumn("key", F.xxhash64(id_col, *COUNTS))
+    # the lowest keys lie below a bound that about four samples pass, so tasks send few rows; repeated rows may leave less
+    below = -(1 << 63) + min((1 << 64) - 1, (4 * s.sample << 64) // max(1, int(seen["rows"] or 0)))
+    for rows in (ranked.where(F.col("key") <= below), ranked):
+        picked = rows.orderBy("key", id_col, *COUNTS).limit(s.sample).collect()
+        if len(picked) == s.sample or below == (1 << 63) - 1:
+            break
     table = {c: np.array([r[c] for r in picked]) for c in COUNTS}
     forest = grow_forest(features(table), s)
     cut = threshold(scored(taught, forest).select("score", "label"), s)
