@@ -91,6 +91,7 @@ def user_events_last_hour(df: DataFrame) -> DataFrame:
     base = df.select("event_id", "user_name", F.unix_micros("event_time").alias("_us"))
     keys = (base.where(F.col("user_name").isNotNull() & F.col("_us").isNotNull())
             .groupBy("user_name", "_us").agg(F.count(F.lit(1)).alias("_w")))
+    keys, _ = materialize(keys, "user-times")          # read by the cuts, the ranges, keys and probes
     points = keys.select("user_name", "_us", F.col("_us").alias("_t0"), "_w", F.lit(True).alias("_key")) \
         .unionByName(keys.select("user_name", (F.col("_us") - F.lit(HOUR_US)).alias("_us"),
                                  F.col("_us").alias("_t0"), F.lit(0).cast("bigint").alias("_w"),
