@@ -519,7 +519,8 @@ WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= wm.w GROUP BY 1, 2"""
 FROM feat""")
     o["sink_published"] = _published()
     o["holdout_features"] = _holdout()
-    return o | oracles_stored.oracle_sql()
+    from auditlake import oracles_forest     # it builds on the feature CTEs above
+    return o | oracles_stored.oracle_sql() | oracles_forest.oracle_sql()
 
 
 _FEATURE_ORDER = [

@@ -3,7 +3,8 @@
 Jobs: one aggregate for scaler statistics and the row count, one sampling +
 training job (bounded groups), one write of the scored feature table (min and
 max observed during the write), one single-column percentile. The forest is
-collected (a bounded node table) and travels with the scoring UDF.
+collected (a bounded node table) and travels with the scoring UDF. It takes the
+features in their own units; the One-Class SVM takes them scaled.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ class Detection:
         """event_id + scaled feature vector of the scored rows."""
         return self.scored.select("event_id", scaled_vector(self.names, self.scaler))
 
+    def vectors(self) -> DataFrame:
+        """event_id + feature vector in the features' own units, as the forest takes it."""
+        return self.scored.select("event_id", vector(self.names))
+
     def evaluation(self) -> DataFrame:
         y = PR.ground_truth(self.scored)
         if y is None:                  # without labels there is nothing to evaluate
@@ -56,6 +61,10 @@ class Detection:
         return EV.roc_auc(df, "y", "_score_raw")
 
 
+def vector(names: list[str], out: str = "features"):
+    return F.array(*[PR.clean(c) for c in names]).alias(out)
+
+
 def scaled_vector(names: list[str], scaler: dict, out: str = "features"):
     cols = []
     for c in names:
@@ -76,12 +85,12 @@ def detect(features: DataFrame, trees: int = L.FOREST_TREES, psi: int = L.FOREST
     psi_eff = max(1, min(psi, n))
 
     # 2) sample and grow the trees (bounded groups), collect the bounded node table
-    Xs = table.select("event_id", scaled_vector(names, scaler))
-    nodes = train(sample_trees(Xs, n, trees, psi, seed), seed, psi_eff, trees=trees).toPandas()
+    X = table.select("event_id", vector(names))
+    nodes = train(sample_trees(X, n, trees, psi, seed), seed, psi_eff, trees=trees).toPandas()
     forest = Forest(nodes, psi_eff)
 
     # 3) score every row once, written; min and max observed in the same job
-    with_score = table.withColumn("_score_samples", forest.score_udf()(scaled_vector(names, scaler)))
+    with_score = table.withColumn("_score_samples", forest.score(vector(names)))
     scored, m = materialize(with_score, "scored",
                             smin=F.min("_score_samples"), smax=F.max("_score_samples"))
     # 4) the contamination quantile of the written scores (one column)
@@ -106,7 +115,7 @@ def prediction_table(d: Detection) -> DataFrame:
 
 
 def importance(d: Detection, seed: int = L.FOREST_SEED) -> DataFrame:
-    return permutation_importance(d.matrix(), d.names, d.forest, seed, n_rows=d.n_rows)
+    return permutation_importance(d.vectors(), d.names, d.forest, seed, n_rows=d.n_rows)
 
 
 def summary_frame(spark: SparkSession, d: Detection, top: int = 10) -> DataFrame:
@@ -182,7 +191,7 @@ def judged(train: DataFrame, test: DataFrame, seed: int, trees: int) -> DataFram
     """Metrics on `test` of a detector fitted on `train`."""
     d = detect(train, trees=trees, seed=seed)
     y = PR.ground_truth(test)
-    s = d.forest.score_udf()(scaled_vector(d.names, d.scaler))
+    s = d.forest.score(vector(d.names))
     scored, m = materialize(test.select((y if y is not None else F.lit(0)).alias("y"), s.alias("_s")),
                             "holdout", n=F.count(F.lit(1)))
     scored = scored.select("y", F.when(F.col("_s") < F.lit(d.offset), 1).otherwise(0).alias("pred"),

@@ -305,6 +305,10 @@ def q_ml_predictions(s, sf):
                                               "ml_severity"))
 
 
+def q_ml_forest_metrics(s, sf):
+    return _detect(s, sf).evaluation()
+
+
 def q_sink_predictions(s, sf):
     d = _detect(s, sf)
     path = K.write_features(DET.prediction_table(d), scratch_path(s, "predictions"))
@@ -318,9 +322,8 @@ def q_ml_permutation_importance(s, sf):
 def q_model_roundtrip(s, sf):
     d = _detect(s, sf)
     path = K.save_model(s, d.nodes, d.scaler, d.params, scratch_path(s, "model"))
-    forest, scaler, names, _ = K.load_model(s, path)
-    f = d.scored
-    return f.select("event_id", forest.score_udf()(DET.scaled_vector(names, scaler)).alias("score_samples"))
+    forest, _, names, _ = K.load_model(s, path)
+    return d.scored.select("event_id", forest.score(DET.vector(names)).alias("score_samples"))
 
 
 def q_detection_summary(s, sf):
@@ -530,6 +533,7 @@ def registry() -> dict[str, Query]:
     # forest (no SQL oracle: randomised model; checked by properties in tests)
     q["ml_forest_nodes"] = q_ml_forest_nodes
     q["ml_predictions"] = q_ml_predictions
+    q["ml_forest_metrics"] = q_ml_forest_metrics
     q["sink_predictions"] = q_sink_predictions
     q["ml_permutation_importance"] = q_ml_permutation_importance
     q["model_roundtrip"] = q_model_roundtrip

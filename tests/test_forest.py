@@ -35,6 +35,32 @@ def test_sample_is_deterministic_and_sized(spark):
     assert key(a) == key(b)
 
 
+def test_identical_rows_are_drawn_one_by_one(spark):
+    """A third of the table as one row: it takes about a third of every tree, never all or none."""
+    rows = [(None, [0.0, 0.0])] * 1000 + [(None, [float(i), 1.0]) for i in range(2000)]
+    X = spark.createDataFrame(rows, "event_id string, features array<double>")
+    drawn = sample_trees(X, 3000, trees=12, psi=256)
+    found = drawn.groupBy("tree_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("features")[1] == 0).alias("same")).collect()
+    assert len(found) == 12 and all(r.n == 256 and 50 < r.same < 125 for r in found)
+    assert len({r.same for r in found}) > 1
+
+
+def test_equal_rows_beyond_one_chunk(spark, monkeypatch):
+    from auditlake.ml import forest
+    rows = [(None, [1.0])] * 500 + [("a", [2.0])]
+    X = spark.createDataFrame(rows, "event_id string, features array<double>")
+    want = sorted(map(str, sample_trees(X, 501, trees=5, psi=64).collect()))
+    monkeypatch.setattr(forest, "COPIES", 7)
+    assert sorted(map(str, sample_trees(X.repartition(6), 501, trees=5, psi=64).collect())) == want
+
+
+def test_tree_of_rows_that_do_not_differ(spark):
+    X = spark.createDataFrame([(f"e{i}", [1.0, 2.0]) for i in range(40)], "event_id string, features array<double>")
+    nodes = train(sample_trees(X, 40, trees=3, psi=16), psi=16).toPandas()
+    assert len(nodes) == 3 and (nodes["feature"] == -1).all() and (nodes["size"] == 16).all()
+    assert X.select(Forest(nodes, 16).score(F.col("features")).alias("s")).distinct().count() == 1
+
+
 def test_planted_outliers_rank_first(spark):
     X = _matrix(spark)
     nodes = train(sample_trees(X, 600, trees=50, psi=128, seed=42), seed=42, psi=128).toPandas()
@@ -84,5 +110,5 @@ def test_model_roundtrip_scores_identically(spark):
     path = K.save_model(spark, d.nodes, d.scaler, d.params, scratch_path(spark, "model-test"))
     forest, scaler, names, params = K.load_model(spark, path)
     assert names == d.names and params["n_estimators"] == 20
-    M = np.stack(d.matrix().orderBy("event_id").toPandas()["features"].to_numpy())
+    M = np.stack(d.vectors().orderBy("event_id").toPandas()["features"].to_numpy())
     assert np.allclose(forest.score_samples(M), d.forest.score_samples(M), rtol=0, atol=0)

@@ -33,8 +33,7 @@ def test_every_query_has_oracle_or_is_model_based():
     qs, o = E.queries(), E.oracle_sql()
     # the training-data queries have tests of their own
     missing = sorted(k for k in set(qs) - set(o) if k != "pipeline" and not (k[:2] == "op" and k[2].isdigit()))
-    assert set(missing) <= {"ml_forest_nodes", "ml_predictions", "sink_predictions",
-                            "ml_permutation_importance", "model_roundtrip", "detection_summary",
+    assert set(missing) <= {"ml_permutation_importance", "detection_summary",
                             "ml_ocsvm", "ml_consensus", "ml_holdout_metrics", "ml_holdout_by_time"}
 
 
