@@ -485,6 +485,24 @@ s AS (SELECT *, AVG(action_count) OVER (PARTITION BY user_name) AS mean,
         STDDEV_SAMP(action_count) OVER (PARTITION BY user_name) AS std FROM h)
 SELECT user_name, hour_start, action_count, ROUND(mean, 6) AS mean, ROUND(std, 6) AS std FROM s
 WHERE std IS NOT NULL AND action_count > mean + 3.0 * std"""
+    o["threat_exfiltration_burst"] = f"""WITH trail AS ({TRAIL}),
+day AS (SELECT date_trunc('day', max(event_time)) - INTERVAL 9 DAY AS burst FROM trail),
+h AS (SELECT user_name, date_trunc('hour', event_time) AS hour_start,
+    CAST(SUM(CASE WHEN date_trunc('hour', event_time) = burst THEN 60 ELSE 1 END) AS BIGINT) AS action_count FROM trail, day
+  WHERE event_name = 'GetObject' AND user_name IS NOT NULL AND event_time IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT *, avg(action_count) OVER w AS mean, stddev_samp(action_count) OVER w AS std FROM h WINDOW w AS (PARTITION BY user_name))
+SELECT user_name, CAST(hour_start AS TIMESTAMP) AS hour_start, action_count, round(mean, 6) AS mean, round(std, 6) AS std FROM s WHERE action_count > mean + 3 * std"""
+    o["join_feed_ranges"] = f"""WITH trail AS ({TRAIL}),
+v4 AS (SELECT source_ip, list_sum([CAST(p AS BIGINT) * CAST(pow(256, 4 - i) AS BIGINT) FOR p, i IN string_split(source_ip, '.')]) AS n
+  FROM (SELECT DISTINCT source_ip FROM trail WHERE regexp_full_match(source_ip, '[0-9]+([.][0-9]+){{3}}'))),
+feed AS (SELECT DISTINCT source_ip AS entry, 32 AS length FROM trail WHERE error_code <> ''
+  UNION SELECT DISTINCT source_ip, 24 FROM trail WHERE event_name = 'CreateUser'),
+spans AS (SELECT DISTINCT length, n - n % (1::BIGINT << (32 - length)) AS low, n - n % (1::BIGINT << (32 - length)) + (1::BIGINT << (32 - length)) - 1 AS high,
+    CASE WHEN length = 32 THEN entry ELSE regexp_replace(entry, '[0-9]+$', '0') END || '/' || length AS network
+  FROM feed JOIN v4 ON v4.source_ip = feed.entry),
+hit AS (SELECT source_ip, arg_max(network, length) AS network FROM v4 JOIN spans ON n BETWEEN low AND high GROUP BY source_ip
+  UNION ALL SELECT DISTINCT entry, entry FROM feed WHERE entry <> '' AND length = 32 AND entry NOT IN (SELECT source_ip FROM v4))
+SELECT event_id, network AS feed_network FROM trail LEFT JOIN hit USING (source_ip)"""
     o["user_events_last_hour"] = f"""WITH trail AS ({TRAIL}),
 v AS (SELECT event_id, COUNT(*) OVER (PARTITION BY user_name ORDER BY event_time
         RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n

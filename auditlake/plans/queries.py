@@ -21,6 +21,7 @@ from auditlake.operators import features as FT
 from auditlake.operators import summaries as SM
 from auditlake.operators import threats as TH
 from auditlake.operators.event_stats import event_stats
+from auditlake.operators.feeds import match_feed
 from auditlake.operators.lookup import attach, materialize
 from auditlake.operators.parse import parse_events
 from auditlake.plans import catalog as CAT
@@ -389,6 +390,25 @@ def q_join_threat_feed(s, sf):
     return joined.select("event_id", F.coalesce("_hit", F.lit(0)).alias("is_suspicious_ip"))
 
 
+def q_join_feed_ranges(s, sf):
+    """J3, P6 against a feed that grows with the events: every address with an error, and the /24
+    network of every address that created a user."""
+    fl = flat(s, sf)
+    failed = fl.where("error_code <> ''").select(F.col("source_ip").alias("entry"))
+    wide = fl.where("event_name = 'CreateUser'").select(F.concat("source_ip", F.lit("/24")).alias("entry"))
+    return match_feed(fl.select("event_id", "source_ip"), failed.unionByName(wide), "entry").select("event_id", "feed_network")
+
+
+def q_threat_exfiltration_burst(s, sf):
+    """D4 over events in which the downloads of one hour are there sixty times."""
+    burst = ("event_name = 'GetObject' AND date_trunc('hour', event_time) = "
+             "(SELECT date_trunc('day', max(event_time)) - INTERVAL 9 DAYS FROM trail_of_burst)")
+    fl = flat(s, sf)
+    fl.createOrReplaceTempView("trail_of_burst")
+    times = s.sql(f"SELECT *, explode(sequence(1, CASE WHEN {burst} THEN 60 ELSE 1 END)) AS copy FROM trail_of_burst")
+    return out(TH.exfiltration(times))
+
+
 # ------------------------------------------------------------- streaming
 def q_stream_flatten(s, sf):
     src = raw_dir(s, sf)
@@ -501,6 +521,8 @@ def registry() -> dict[str, Query]:
     q["features_after_dedup"] = lambda s, sf: out(build_features(flat(s, sf).dropDuplicates(["event_id"])))
     q["features_full_ref"] = lambda s, sf: out(features(s, sf, C.ERROR_REFERENCE))
     q["join_threat_feed"] = q_join_threat_feed
+    q["join_feed_ranges"] = q_join_feed_ranges
+    q["threat_exfiltration_burst"] = q_threat_exfiltration_burst
     # summaries
     q["parse_risk_distribution"] = lambda s, sf: SM.level_distribution(
         parsed(s, sf), "risk_level", L.RISK_LEVEL_ORDER)
