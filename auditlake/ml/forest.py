@@ -15,7 +15,8 @@ and walk the same forest (`oracles_forest.py`).
 * Scoring: the forest (at most trees x (2 psi - 1) nodes) travels with an iterator pandas UDF
   that walks all trees over Arrow batches and adds path lengths in whole billionths, so a score
   does not depend on the order of the trees. (Spark's own higher-order functions over the
-  same arrays gave the same sums at about 15 times the CPU.)
+  same arrays gave the same sums: 4.7 s on 8 cores for 100,000 rows, job overhead
+  included, against 2.1 s on one core in numpy.)
 """
 
 from __future__ import annotations

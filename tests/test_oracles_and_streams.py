@@ -16,6 +16,7 @@ KEYS = [
     "parse_top_event_types", "feat_statistics", "sql_top_users", "sql_sensitive_actions",
     "sql_suspicious_ips", "ml_scale", "ml_metrics", "ml_roc_auc", "ml_severity_distribution",
     "threat_failed_attacks", "user_events_last_hour", "ip_first_seen", "join_threat_feed",
+    "ml_forest_nodes", "ml_predictions", "join_feed_ranges", "threat_exfiltration_burst",
 ]
 
 
