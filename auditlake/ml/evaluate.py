@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from auditlake.functions import columns as C
 from auditlake.functions import lists as L
+from auditlake.operators.lookup import materialize
 from auditlake.operators.ordered import exact_quantile, prefix_sums_over_unique
 
 
@@ -75,6 +76,7 @@ def roc_auc(df: DataFrame, y: str, score: str) -> DataFrame:
     per_score = (df.where(F.col(score).isNotNull())
                  .groupBy(F.col(score).alias("_s"))
                  .agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")))
+    per_score, _ = materialize(per_score, "per-score")      # read by the cuts, the ranges and their totals
     cum = prefix_sums_over_unique(per_score, "_s", ["neg"], inclusive=False)
     pos = F.col("pos").cast("double")      # products of counts exceed a long
     area = cum.agg(

@@ -12,8 +12,8 @@ and walk the same forest (`oracles_forest.py`).
   (bounded group size). Node 1 is the root, the children of node i are 2i and 2i + 1. A node
   takes the feature of least hash among those that vary in it, and a cut at a hashed fraction
   of that feature's range. Cuts are in the features' own units: isolation does not depend on scale.
-* Scoring: the forest (at most trees x (2 psi - 1) nodes) travels with an iterator pandas UDF
-  that walks all trees over Arrow batches and adds path lengths in whole billionths, so a score
+* Scoring: the forest (at most trees x (2 psi - 1) nodes) travels with an iterator Arrow UDF
+  that walks all trees over its batches and adds path lengths in whole billionths, so a score
   does not depend on the order of the trees. (Spark's own higher-order functions over the
   same arrays gave the same sums: 4.7 s on 8 cores for 100,000 rows, job overhead
   included, against 2.1 s on one core in numpy.)
@@ -27,11 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from auditlake.functions import lists as L
+from auditlake.ml.prepare import rows_of
 from auditlake.operators.lookup import broadcast_or_shuffle
 
 EULER_GAMMA = 0.5772156649015329
@@ -40,6 +42,7 @@ HEX_DIGITS = 13                 # of a hash, as a fraction of 2^52
 SLICE, TREES_AT_ONCE = 4, 8     # digits of a digest for one tree, trees that share it
 LARGEST = 9e12                  # features are named in millionths of at most this
 COPIES = 65536                  # equal rows numbered by one task at a time
+WALKED_ROWS = 2048              # rows walked at a time: their features stay in a core's cache
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType()),
@@ -189,26 +192,73 @@ class Forest:
 
     def score_samples(self, X: np.ndarray) -> np.ndarray:
         """-(anomaly score); lower = more abnormal (the sklearn convention)."""
-        return -np.power(2.0, -(self.path_sums(X) / self.scale) / self.norm)
+        return self._scores(self.path_sums(X))
+
+    def _scores(self, sums: np.ndarray) -> np.ndarray:
+        return -np.power(2.0, -(sums / self.scale) / self.norm)
 
     def path_sums(self, X: np.ndarray) -> np.ndarray:
         """Path lengths over all trees, in whole billionths."""
-        rows, total = np.arange(X.shape[0]), np.zeros(X.shape[0], dtype=np.int64)
+        total = np.zeros(X.shape[0], dtype=np.int64)
+        for first in range(0, X.shape[0], WALKED_ROWS):
+            part = np.ascontiguousarray(X[first:first + WALKED_ROWS])
+            values, starts = part.ravel(), np.arange(part.shape[0]) * part.shape[1]
+            for root in self.roots:
+                node = np.full(part.shape[0], root)
+                for _ in range(self.depth):
+                    goes_right = values.take(starts + self.feature.take(node)) > self.cut.take(node)
+                    node = self.left.take(node)
+                    node += goes_right
+                total[first:first + WALKED_ROWS] += self.value.take(node)
+        return total
+
+    def permuted_sums(self, X: np.ndarray, P: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`path_sums` of X, and of X with each feature in turn taken from P (a column each).
+
+        A row leaves its path only at a node that tests the replaced feature and sends the two values
+        to different sides; from there on, and only then, its other path is walked."""
+        n, width = X.shape
+        values, others, starts = X.ravel(), P.ravel(), np.arange(n) * width
+        total, moved = np.zeros(n, dtype=np.int64), np.zeros(n * width, dtype=np.int64)
+        left_at = np.zeros(n * width, dtype=bool)               # (row, feature) whose path has parted in this tree
         for root in self.roots:
-            node = np.full(X.shape[0], root)
+            node = np.full(n, root)
+            cell = feature = at = np.zeros(0, np.int64)         # parted paths: row and feature, and the node reached
             for _ in range(self.depth):
-                node = self.left[node] + (X[rows, self.feature[node]] > self.cut[node])
-            total += self.value[node]
-        return total
+                if at.size:
+                    tested = self.feature.take(at)
+                    place = cell - feature + tested
+                    x = np.where(tested == feature, others.take(place), values.take(place))
+                    at = self.left.take(at) + (x > self.cut.take(at))
+                tested, cut, left = self.feature.take(node), self.cut.take(node), self.left.take(node)
+                place = starts + tested
+                goes_right, would = values.take(place) > cut, others.take(place) > cut
+                parts = np.flatnonzero(goes_right != would)
+                parts = parts[~left_at.take(place.take(parts))]
+                if parts.size:
+                    new = place.take(parts)
+                    left_at[new] = True
+                    cell, feature = np.concatenate([cell, new]), np.concatenate([feature, tested.take(parts)])
+                    at = np.concatenate([at, left.take(parts) + would.take(parts)])
+                node = left + goes_right
+            length = self.value.take(node)
+            total += length
+            moved[cell] += self.value.take(at) - length.take(cell // width)
+            left_at[cell] = False
+        return total, total[:, None] + moved.reshape(n, width)
+
+    def permuted_scores(self, X: np.ndarray, P: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`score_samples` of X, and of X with each feature in turn taken from P (a column each)."""
+        return tuple(self._scores(sums) for sums in self.permuted_sums(X, P))
 
     def score(self, features: Column) -> Column:
         """`score_samples` of an array of features."""
         forest = self
 
-        @F.pandas_udf(T.LongType())
-        def path_sums(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for s in batches:
-                yield pd.Series(forest.path_sums(np.stack(s.to_numpy()).astype(float)) if len(s) else np.zeros(0, np.int64))
+        @F.arrow_udf(T.LongType())
+        def path_sums(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for lists in batches:
+                yield pa.array(forest.path_sums(rows_of(lists)))
 
         mean = path_sums(features).cast("double") / F.lit(self.scale)
         return -F.pow(F.lit(2.0), -mean / F.lit(self.norm))

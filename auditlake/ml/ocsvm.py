@@ -20,11 +20,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from auditlake.ml.prepare import rows_of
+from auditlake.operators.lookup import materialize
 from auditlake.operators.ordered import exact_quantile
 
 
@@ -48,13 +50,10 @@ class OneClassModel:
     def raw_udf(self):
         model = self
 
-        @F.pandas_udf(T.DoubleType())
-        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for s in batches:
-                if len(s) == 0:
-                    yield pd.Series(np.zeros(0))
-                    continue
-                yield pd.Series(model.raw(np.stack(s.to_numpy()).astype(float)))
+        @F.arrow_udf(T.DoubleType())
+        def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for lists in batches:
+                yield pa.array(model.raw(rows_of(lists)) if len(lists) else np.zeros(0))
 
         return score
 
@@ -81,7 +80,8 @@ def fit(X: DataFrame, n_features: int, n_rows: int, nu: float = 0.1, components:
         step = 1.0 / (epoch + 1)
         model.w = model.w - step * (model.w - total / (nu * n))
         model.rho -= step * (violating / (nu * n) - 1.0) * abs(model.rho)
-    scores = X.select(model.raw_udf()(F.col(features)).alias("s"))
+    # written once: the quantile reads them several times
+    scores, _ = materialize(X.select(model.raw_udf()(F.col(features)).alias("s")), "ocsvm-scores")
     q = exact_quantile(scores, "s", nu)
     model.rho = float(q) if q is not None else model.rho
     return model
@@ -91,17 +91,17 @@ def violation_sums(X: DataFrame, model: OneClassModel, features: str) -> tuple[n
     """Sum of z over the rows below rho, and their number."""
     size = model.W.shape[1]
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, count = np.zeros(size, np.int64), 0
-        for pdf in batches:
-            if len(pdf):
-                Z = model.embed(np.stack(pdf[features].to_numpy()).astype(float))
+        for batch in batches:
+            if batch.num_rows:
+                Z = model.embed(rows_of(batch.column(0)))
                 below = np.round(Z @ model.w * UNIT) < model.rho * UNIT
                 total += np.round(Z[below] * UNIT).astype(np.int64).sum(axis=0)
                 count += int(below.sum())
-        yield pd.DataFrame({"i": np.arange(size + 1), "v": [*total.tolist(), count]})
+        yield pa.RecordBatch.from_pydict({"i": np.arange(size + 1), "v": [*total.tolist(), count]})
 
-    rows = (X.select(features).mapInPandas(sums, "i long, v long").groupBy("i")
+    rows = (X.select(features).mapInArrow(sums, "i long, v long").groupBy("i")
             .agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v")).orderBy("i").collect())
     if not rows:
         return np.zeros(size), 0

@@ -4,19 +4,32 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlake.functions import lists as L
 
 
-def clean(c: str) -> Column:
-    """Feature value as DOUBLE with null, NaN and +-inf replaced by 0."""
+def clean(c: str, kind: T.DataType | None = None) -> Column:
+    """Feature value as DOUBLE with null, NaN and +-inf replaced by 0. A whole number is never
+    NaN or infinite: where the type is known, its code is short enough to be compiled."""
     x = F.col(c).cast("double")
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(x, F.lit(0.0))
     bad = x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(math.inf))
     return F.when(bad, F.lit(0.0)).otherwise(x)
 
 
+def rows_of(lists: pa.Array) -> np.ndarray:
+    """Feature lists of equal length as a matrix, a row each."""
+    if lists.null_count:
+        raise ValueError("a row without features")
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(lists), -1 if len(lists) else 0)
+
+
 def select_features(df: DataFrame, candidates: list[str] | None = None) -> tuple[DataFrame, list[str]]:
     """Present model columns (absent ones skipped), cleaned; keeps event_id."""
     names = [c for c in (candidates or L.ML_FEATURES) if c in df.columns]

@@ -1,10 +1,11 @@
 """Anomaly-detection plan (M1-M12, K5-K7): features -> forest -> predictions.
 
-Jobs: one aggregate for scaler statistics and the row count, one sampling +
-training job (bounded groups), one write of the scored feature table (min and
-max observed during the write), one single-column percentile. The forest is
+Jobs: one write of the feature table (row count observed), one aggregate for scaler
+statistics, one sampling + training job (bounded groups), one write of the scores with ids and
+labels (min and max observed during the write), one single-column percentile. The forest is
 collected (a bounded node table) and travels with the scoring UDF. It takes the
-features in their own units; the One-Class SVM takes them scaled.
+features in their own units; the One-Class SVM takes them scaled. The wide table is
+written once: whoever wants all columns with their scores has the rows scored on the way.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from dataclasses import dataclass, field
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from auditlake.functions import lists as L
 from auditlake.ml import evaluate as EV
@@ -29,7 +31,9 @@ from auditlake.plans.features import build_features
 @dataclass
 class Detection:
     predictions: DataFrame        # features + ml_anomaly_prediction, ml_anomaly_score, ml_severity
-    scored: DataFrame             # written table: features + _score_samples
+    decisions: DataFrame          # the same for event_id and label alone, from the written scores
+    table: DataFrame              # written features
+    scored: DataFrame             # written scores: event_id, label, _score_samples
     nodes: pd.DataFrame
     forest: Forest
     names: list
@@ -40,58 +44,62 @@ class Detection:
 
     def matrix(self) -> DataFrame:
         """event_id + scaled feature vector of the scored rows."""
-        return self.scored.select("event_id", scaled_vector(self.names, self.scaler))
+        return self.table.select("event_id", scaled_vector(self.names, self.scaler, self.table.schema))
 
     def vectors(self) -> DataFrame:
         """event_id + feature vector in the features' own units, as the forest takes it."""
-        return self.scored.select("event_id", vector(self.names))
+        return self.table.select("event_id", vector(self.names, self.table.schema))
 
     def evaluation(self) -> DataFrame:
         y = PR.ground_truth(self.scored)
         if y is None:                  # without labels there is nothing to evaluate
             return self.scored.sparkSession.createDataFrame([], "accuracy double")
-        lab = self.predictions.select(y.alias("y"), "ml_anomaly_prediction")
+        lab = self.decisions.select(y.alias("y"), "ml_anomaly_prediction")
         return EV.metrics_from_confusion(EV.confusion(lab, "y", "ml_anomaly_prediction"))
 
     def roc_auc(self) -> DataFrame:
         y = PR.ground_truth(self.scored)
         if y is None:
             return self.scored.sparkSession.createDataFrame([], "roc_auc double")
-        df = self.predictions.select(y.alias("y"), F.col("_score_raw"))
+        df = self.decisions.select(y.alias("y"), F.col("_score_raw"))
         return EV.roc_auc(df, "y", "_score_raw")
 
 
-def vector(names: list[str], out: str = "features"):
-    return F.array(*[PR.clean(c) for c in names]).alias(out)
+def cleaned(names: list[str], schema: T.StructType) -> list:
+    return [PR.clean(c, schema[c].dataType) for c in names]
 
 
-def scaled_vector(names: list[str], scaler: dict, out: str = "features"):
+def vector(names: list[str], schema: T.StructType, out: str = "features"):
+    return F.array(*cleaned(names, schema)).alias(out)
+
+
+def scaled_vector(names: list[str], scaler: dict, schema: T.StructType, out: str = "features"):
     cols = []
-    for c in names:
+    for c, x in zip(names, cleaned(names, schema)):
         mean, std = scaler[c]
-        x = PR.clean(c)
         cols.append((x - F.lit(mean)) / F.lit(std) if std > 0 else F.lit(0.0))
     return F.array(*cols).alias(out)
 
 
 def detect(features: DataFrame, trees: int = L.FOREST_TREES, psi: int = L.FOREST_SAMPLE,
-           seed: int = L.FOREST_SEED, contamination: float = L.CONTAMINATION) -> Detection:
+           seed: int = L.FOREST_SEED, contamination: float = L.CONTAMINATION, written: bool = False) -> Detection:
+    """`written`: the features are (rows of) a written table already."""
     names = [c for c in L.ML_FEATURES if c in features.columns]
     # 1) write the feature table once (row count observed), then one pass over
     #    the cleaned model columns of the written table for the scaler statistics
-    table, row = materialize(features, "features", n=F.count(F.lit(1)))
-    n = int(row["n"] or 0)
-    scaler = PR.scaler_stats(table.select(*[PR.clean(c).alias(c) for c in names]), names)
+    table, n = (features, features.count()) if written else _written(features)
+    scaler = PR.scaler_stats(table.select(*[x.alias(c) for c, x in zip(names, cleaned(names, table.schema))]), names)
     psi_eff = max(1, min(psi, n))
 
     # 2) sample and grow the trees (bounded groups), collect the bounded node table
-    X = table.select("event_id", vector(names))
+    X = table.select("event_id", vector(names, table.schema))
     nodes = train(sample_trees(X, n, trees, psi, seed), seed, psi_eff, trees=trees).toPandas()
     forest = Forest(nodes, psi_eff)
 
-    # 3) score every row once, written; min and max observed in the same job
-    with_score = table.withColumn("_score_samples", forest.score(vector(names)))
-    scored, m = materialize(with_score, "scored",
+    # 3) score every row once, written without the features; min and max observed in the same job
+    with_score = table.withColumn("_score_samples", forest.score(vector(names, table.schema)))
+    label = [c for c in ("is_anomaly_original",) if c in table.columns]
+    scored, m = materialize(with_score.select("event_id", *label, "_score_samples"), "scored",
                             smin=F.min("_score_samples"), smax=F.max("_score_samples"))
     # 4) the contamination quantile of the written scores (one column)
     st = EV.decision_stats(scored.select("_score_samples"), "_score_samples", contamination)
@@ -99,15 +107,21 @@ def detect(features: DataFrame, trees: int = L.FOREST_TREES, psi: int = L.FOREST
     dmin = None if m.get("smin") is None else float(m["smin"]) - offset
     dmax = None if m.get("smax") is None else float(m["smax"]) - offset
 
-    dec = (F.col("_score_samples") - F.lit(offset)).alias("_decision")
-    pred = scored.select(*features.columns, "_score_samples", dec)
-    pred = (pred.withColumn("ml_anomaly_prediction", EV.flag("_decision", 0.0))
-            .withColumn("_score_raw", EV.minmax_score("_decision", dmin, dmax))
-            .withColumn("ml_anomaly_score", F.bround("_score_raw", 2))
-            .withColumn("ml_severity", EV.severity("ml_anomaly_score")))
+    def decided(df: DataFrame) -> DataFrame:
+        pred = df.withColumn("_decision", F.col("_score_samples") - F.lit(offset))
+        return (pred.withColumn("ml_anomaly_prediction", EV.flag("_decision", 0.0))
+                .withColumn("_score_raw", EV.minmax_score("_decision", dmin, dmax))
+                .withColumn("ml_anomaly_score", F.bround("_score_raw", 2))
+                .withColumn("ml_severity", EV.severity("ml_anomaly_score")))
+
     params = {"n_estimators": trees, "contamination": contamination, "random_state": seed,
               "max_samples": psi_eff}
-    return Detection(pred, scored, nodes, forest, names, scaler, offset, n, params)
+    return Detection(decided(with_score), decided(scored), table, scored, nodes, forest, names, scaler, offset, n, params)
+
+
+def _written(features: DataFrame) -> tuple[DataFrame, int]:
+    table, row = materialize(features, "features", n=F.count(F.lit(1)))
+    return table, int(row["n"] or 0)
 
 
 def prediction_table(d: Detection) -> DataFrame:
@@ -155,7 +169,7 @@ def consensus(d: Detection, nu: float = L.CONTAMINATION, seed: int = L.FOREST_SE
     no join between the two models' outputs)."""
     from auditlake.ml.ocsvm import fit
     model = fit(d.matrix(), len(d.names), d.n_rows, nu=nu, seed=seed)
-    oc = model.raw_udf()(scaled_vector(d.names, d.scaler)) - F.lit(model.rho)
+    oc = model.raw_udf()(scaled_vector(d.names, d.scaler, d.table.schema)) - F.lit(model.rho)
     both = d.predictions.select("event_id", EV.flag("_decision", 0.0).alias("forest_prediction"),
                                 F.when(oc < 0, 1).otherwise(0).alias("ocsvm_prediction"))
     return both.withColumn("consensus_prediction",
@@ -169,7 +183,7 @@ def holdout_metrics(features: DataFrame, test_share: float = 0.2, seed: int = L.
     (per user, event, address) cover both parts, as in the in-sample run."""
     features, _ = materialize(features, "holdout-features")
     is_test = F.pmod(F.xxhash64("event_id", F.lit(seed)), F.lit(1000)) < F.lit(int(test_share * 1000))
-    return judged(features.where(~is_test), features.where(is_test), seed, trees)
+    return judged(features.where(~is_test), features.where(is_test), seed, trees, written=True)
 
 
 def holdout_by_time(flat: DataFrame, test_percent: int = 20, seed: int = L.FOREST_SEED,
@@ -187,11 +201,11 @@ def holdout_features(flat: DataFrame, test_percent: int = 20) -> tuple[DataFrame
     return build_features(earlier, stats=fit), build_features(later, stats=applied(fit, later))
 
 
-def judged(train: DataFrame, test: DataFrame, seed: int, trees: int) -> DataFrame:
+def judged(train: DataFrame, test: DataFrame, seed: int, trees: int, written: bool = False) -> DataFrame:
     """Metrics on `test` of a detector fitted on `train`."""
-    d = detect(train, trees=trees, seed=seed)
+    d = detect(train, trees=trees, seed=seed, written=written)
     y = PR.ground_truth(test)
-    s = d.forest.score(vector(d.names))
+    s = d.forest.score(vector(d.names, test.schema))
     scored, m = materialize(test.select((y if y is not None else F.lit(0)).alias("y"), s.alias("_s")),
                             "holdout", n=F.count(F.lit(1)))
     scored = scored.select("y", F.when(F.col("_s") < F.lit(d.offset), 1).otherwise(0).alias("pred"),

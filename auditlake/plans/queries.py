@@ -44,6 +44,10 @@ HOLDOUT_COLUMNS = ["user_total_events", "user_unique_ips", "user_unique_event_ty
                    "user_activity_diversity", "is_new_user", "event_type_frequency", "is_rare_event", "ip_event_count", "ip_unique_users",
                    "events_this_minute", "user_events_this_hour"]
 
+# HotSpot never compiles a method of more bytes than this: a stage over the 59 columns that
+# Spark generates as one such method runs interpreted, so Spark is to run it operator by operator
+COMPILED_BYTES = "8000"
+
 
 def out(df: DataFrame) -> DataFrame:
     """Emit TIMESTAMP columns as TIMESTAMP_NTZ."""
@@ -302,8 +306,7 @@ def q_ml_forest_nodes(s, sf):
 
 def q_ml_predictions(s, sf):
     d = _detect(s, sf)
-    return out(DET.prediction_table(d).select("event_id", "ml_anomaly_prediction", "ml_anomaly_score",
-                                              "ml_severity"))
+    return out(d.decisions.select("event_id", "ml_anomaly_prediction", "ml_anomaly_score", "ml_severity"))
 
 
 def q_ml_forest_metrics(s, sf):
@@ -324,7 +327,7 @@ def q_model_roundtrip(s, sf):
     d = _detect(s, sf)
     path = K.save_model(s, d.nodes, d.scaler, d.params, scratch_path(s, "model"))
     forest, _, names, _ = K.load_model(s, path)
-    return d.scored.select("event_id", forest.score(DET.vector(names)).alias("score_samples"))
+    return d.table.select("event_id", forest.score(DET.vector(names, d.table.schema)).alias("score_samples"))
 
 
 def q_detection_summary(s, sf):
@@ -587,6 +590,7 @@ def registry() -> dict[str, Query]:
     def wrap(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             prepare(spark)
+            spark.conf.set("spark.sql.codegen.hugeMethodLimit", COMPILED_BYTES)
             return fn(spark, sf_dir)
         run.__name__ = getattr(fn, "__name__", "query")
         return run
