@@ -24,10 +24,11 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +36,8 @@ from auditlake.llm.common import Memo, id_remainder, read, sample_texts
 from auditlake.session import prepare
 
 LETTERS = re.compile(r"[^\W_]+")
+MEMO_WORDS = 1 << 16             # words whose values a task keeps, twice over
+TEXTS_AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -183,21 +186,28 @@ def fit(docs: DataFrame, labels: DataFrame, s: Settings = Settings(), id_col: st
 def score_of(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Settings(), text_col: str = "text") -> Column:
     """Score of each row's text."""
     shared = prepare(docs.sparkSession).sparkContext.broadcast(model)
-    held: list[Memo] = []
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         values, bias = shared.value
-        if not held:
-            def value(word: str) -> float:
-                g = grams(word, s)
-                return float(values[g].sum()) / len(g)
-            held.append(Memo(value, 1 << 18))
-        return pd.Series([sigmoid(bias + strongest(words_of(t or ""), held[0], s.passage)) for t in texts])
+
+        def value(word: str) -> float:
+            g = grams(word, s)
+            return float(values[g].sum()) / len(g)
+
+        memo = Memo(value, MEMO_WORDS)
+        for batch in batches:
+            yield pa.array(scores_of(batch, bias, memo, s.passage), pa.float64())
 
     return score(F.col(text_col))
 
 
+def scores_of(batch: pa.Array, bias: float, memo: Memo, passage: int) -> list[float]:
+    """Scores of a batch, which may hold thousands of texts: a few at a time become Python's."""
+    return [sigmoid(bias + strongest(words_of(t or ""), memo, passage))
+            for at in range(0, len(batch), TEXTS_AT_ONCE) for t in batch.slice(at, TEXTS_AT_ONCE).to_pylist()]
+
+
 def strongest(words: list[str], memo: Memo, passage: int) -> float:
     """The largest mean of `passage` words in a row (of all words, where there are fewer)."""
     known = memo.young.get
