@@ -6,8 +6,9 @@ and walk the same forest (`oracles_forest.py`).
 
 * Sampling: a tree takes the min(psi, n) rows of least hash. A row is named by its id and its
   features in millionths, and by its ordinal among equal rows, so each of many identical rows
-  is drawn on its own. Only names and counts are shuffled; a group of equal rows is numbered in
-  chunks of COPIES, however large it is. A hash of the row first discards almost all rows.
+  is drawn on its own. Only names and counts are shuffled, and once: a hash discards almost all rows
+  before the rest is numbered, a large group of equal rows in chunks of COPIES. The drawn rows are
+  found again by their ids; only rows with such an id are named a second time.
 * Training: `groupBy(tree_id).applyInPandas` grows one tree per group from its psi rows
   (bounded group size). Node 1 is the root, the children of node i are 2i and 2i + 1. A node
   takes the feature of least hash among those that vary in it, and a cut at a hashed fraction
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 
 from auditlake.functions import lists as L
 from auditlake.ml.prepare import rows_of
-from auditlake.operators.lookup import broadcast_or_shuffle
+from auditlake.operators.lookup import broadcast_or_shuffle, materialize
 
 EULER_GAMMA = 0.5772156649015329
 BILLION = 1_000_000_000
@@ -42,6 +43,7 @@ HEX_DIGITS = 13                 # of a hash, as a fraction of 2^52
 SLICE, TREES_AT_ONCE = 4, 8     # digits of a digest for one tree, trees that share it
 LARGEST = 9e12                  # features are named in millionths of at most this
 COPIES = 65536                  # equal rows numbered by one task at a time
+FEW_COPIES = 64                 # equal rows looked through ahead of that
 WALKED_ROWS = 2048              # rows walked at a time: their features stay in a core's cache
 
 NODE_SCHEMA = T.StructType([
@@ -83,43 +85,64 @@ def _digest(*parts) -> str:
     return hashlib.md5(":".join(str(p) for p in parts).encode()).hexdigest()
 
 
-def row_name(features: str = "features", key: str = "event_id") -> Column:
-    """Digest of the id and the features in millionths; equal rows share it."""
+def row_id(key: str = "event_id") -> Column:
+    """The id as it stands in a row's name: a null one is empty."""
+    return F.coalesce(F.col(key).cast("string"), F.lit(""))
+
+
+def row_name(features: str = "features", key: str = "event_id", width: int | None = None) -> Column:
+    """Digest of the id and the features in millionths; equal rows share it. With the number of
+    features known, the expression is compiled, which a function over an array's elements is not."""
     def millionths(x):
         held = F.least(F.greatest(x, F.lit(-LARGEST)), F.lit(LARGEST))
         return F.floor(held * F.lit(1e6) + F.lit(0.5)).cast("string")
-    named = F.array_join(F.transform(features, millionths), ",")
-    return F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), named))
+    named = (F.array_join(F.transform(features, millionths), ",") if width is None
+             else F.concat_ws(",", *[millionths(F.get(features, F.lit(i))) for i in range(width)]))
+    return F.md5(F.concat_ws(":", row_id(key), named))
 
 
 def sample_trees(X: DataFrame, n_rows: int, trees: int = L.FOREST_TREES,
                  psi: int = L.FOREST_SAMPLE, seed: int = L.FOREST_SEED,
-                 oversample: float = 3.0, key: str = "event_id", features: str = "features") -> DataFrame:
+                 oversample: float = 3.0, key: str = "event_id", features: str = "features",
+                 width: int | None = None) -> DataFrame:
     """Rows (tree_id, <key>, <features>) with min(psi, n_rows) rows per tree. Null and repeated
-    ids and identical rows are drawn like any other rows."""
+    ids and identical rows are drawn like any other rows. `width`: the number of features, if it is
+    the same in all rows."""
     psi_eff = max(1, min(psi, n_rows))
     r = min(1.0, oversample * psi_eff / max(1, n_rows))      # per-tree draw rate
     p_any = min(1.0, trees * r)                              # chance a row is used at all
-    named = X.select(key, features, row_name(features, key).alias("_row"))
-    chunks = (named.groupBy("_row").agg(F.count(F.lit(1)).alias("_n"))
+    name = row_name(features, key, width)
+    named = X.select(row_id(key).alias("_id"), name.alias("_row"))       # a name has one id
+
+    def drawn_at_all(copy: Column) -> Column:
+        return _below(F.md5(F.concat_ws(":", F.lit(seed), F.col("_row"), copy)), p_any)
+
+    # groups of few rows none of which is drawn go ahead of the chunks' shuffle
+    drawn_copies = F.when(F.col("_n") == 1, drawn_at_all(F.lit(0))).when(
+        F.col("_n") <= FEW_COPIES, F.exists(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1), drawn_at_all)).otherwise(True)
+    chunks = (named.groupBy("_row", "_id").agg(F.count(F.lit(1)).alias("_n")).where(drawn_copies)
               .withColumn("_chunk", F.explode(F.expr(f"sequence(0, (_n - 1) div {COPIES})")))
               .repartition("_row", "_chunk"))
-    copies = chunks.select("_row", F.explode(F.expr(
+    copies = chunks.select("_row", "_id", F.explode(F.expr(
         f"sequence(_chunk * {COPIES}, least(_n, (_chunk + 1) * {COPIES}) - 1)")).alias("_copy"))
-    copies = copies.where(_below(F.md5(F.concat_ws(":", F.lit(seed), "_row", "_copy")), p_any))
+    copies = copies.where(drawn_at_all(F.col("_copy")))
     # kept rows x trees is at most ~3 psi trees^2 rows whatever the table size; one digest of a
     # row serves TREES_AT_ONCE trees, SLICE digits each
-    eights = copies.select("_row", "_copy", F.explode(F.sequence(F.lit(0), F.lit((trees - 1) // TREES_AT_ONCE))).alias("_eight"))
+    eights = copies.select("_row", "_id", "_copy", F.explode(F.sequence(F.lit(0), F.lit((trees - 1) // TREES_AT_ONCE))).alias("_eight"))
     eights = eights.withColumn("_d", F.md5(F.concat_ws(":", F.lit(seed), F.lit("trees"), "_eight", "_row", "_copy")))
     chosen = F.array_compact(F.array(*[F.when(_below(F.col("_d"), r / p_any, SLICE * i + 1, SLICE), F.lit(i))
                                        for i in range(TREES_AT_ONCE)]))
-    draws = eights.select("_row", "_copy", "_eight", F.explode(chosen).alias("_i"))
+    draws = eights.select("_row", "_id", "_copy", "_eight", F.explode(chosen).alias("_i"))
     draws = draws.withColumn("tree_id", F.col("_eight") * TREES_AT_ONCE + F.col("_i")).where(F.col("tree_id") < trees)
     draws = draws.withColumn("_h", F.md5(F.concat_ws(":", F.lit(seed), "tree_id", "_row", "_copy")))
     rank = F.row_number().over(Window.partitionBy("tree_id").orderBy("_h", "_row", "_copy"))
     drawn = draws.withColumn("_rk", rank).where(F.col("_rk") <= psi_eff)
-    wanted = drawn.groupBy("_row").agg(F.collect_list("tree_id").alias("_trees"))    # trees x psi entries in all
-    found = (named.join(broadcast_or_shuffle(wanted, trees * psi_eff), "_row").groupBy("_row")
+    # trees x psi entries in all, written once: first their ids tell which rows are named again at all
+    wanted, _ = materialize(drawn.groupBy("_row", "_id").agg(F.collect_list("tree_id").alias("_trees")), "drawn")
+    ids = broadcast_or_shuffle(wanted.select("_id").distinct(), trees * psi_eff)
+    near = X.select(key, features, row_id(key).alias("_id")).join(ids, "_id", "left_semi")
+    again = near.select(key, features, name.alias("_row"))
+    found = (again.join(broadcast_or_shuffle(wanted.drop("_id"), trees * psi_eff), "_row").groupBy("_row")
              .agg(F.min(F.struct(key, features)).alias("_x"), F.first("_trees").alias("_trees")))
     return found.select(F.explode("_trees").alias("tree_id"), F.col(f"_x.{key}"), F.col(f"_x.{features}"))
 

@@ -70,6 +70,7 @@ def fit(X: DataFrame, n_features: int, n_rows: int, nu: float = 0.1, components:
     b = rng.uniform(0.0, 2.0 * np.pi, size=components)
     model = OneClassModel(W, b, np.zeros(components), 0.0)
     n = max(1, n_rows)
+    X, _ = materialize(X.select(features), "ocsvm-matrix")       # cleaned and scaled once, read by every pass
     for epoch in range(epochs + 1):
         # no row reaches an infinite rho: the first pass sums all rows
         total, violating = violation_sums(X, OneClassModel(W, b, model.w, model.rho if epoch else np.inf), features)

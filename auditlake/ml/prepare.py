@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +45,36 @@ def ground_truth(df: DataFrame, label: str = "is_anomaly_original") -> Column |
 
 
 def scaler_stats(X: DataFrame, names: list[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population std per column in one pass: the columns are
-    unpivoted (`stack`) and grouped by name, so the plan holds two aggregates
-    instead of two per column; one row per feature reaches the driver."""
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in names)
-    long = X.select(*names).selectExpr(f"stack({len(names)}, {pairs}) AS (feature, v)")
-    rows = long.groupBy("feature").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect()
-    got = {r["feature"]: (float(r["m"] or 0.0), float(r["s"] or 0.0)) for r in rows}
+    """Mean and population std per column in one pass; nulls don't count. A task sums up its batches
+    column by column (mean and squared deviations, merged as Chan, Golub & LeVeque do); the tasks' rows, three
+    numbers a column each, are merged in Spark and one row per column reaches the driver."""
+    if not names:
+        return {}
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, squares = (np.zeros(len(names)) for _ in range(3))
+        for batch in batches:
+            for i, column in enumerate(batch.columns):
+                v = column.drop_null().to_numpy(zero_copy_only=False)
+                if len(v):
+                    m = v.mean()
+                    apart, total = m - mean[i], n[i] + len(v)
+                    squares[i] += np.square(v - m).sum() + apart * apart * n[i] * len(v) / total
+                    mean[i] += apart * len(v) / total
+                    n[i] = total
+        yield pa.RecordBatch.from_pydict({"i": np.arange(len(names)), "n": n, "m": mean, "s": squares})
+
+    def merged(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["m"] - a["m"]
+        return F.struct(n.alias("n"), (a["m"] + apart * b["n"] / n).alias("m"),
+                        (a["s"] + b["s"] + apart * apart * a["n"] * b["n"] / n).alias("s"))
+
+    # tasks are merged in the order of their numbers, so the sums don't depend on which ended first
+    tasks = (X.select(*[F.col(c).cast("double") for c in names]).mapInArrow(moments, "i long, n double, m double, s double")
+             .where("n > 0").groupBy("i").agg(F.sort_array(F.collect_list(F.struct("n", "m", "s"))).alias("t")))
+    nothing = F.struct(*[F.lit(0.0).alias(c) for c in "nms"])
+    rows = tasks.select("i", F.aggregate("t", nothing, merged).alias("a")).select("i", "a.*").collect()
+    got = {names[r["i"]]: (r["m"], math.sqrt(r["s"] / r["n"])) for r in rows}
     return {c: got.get(c, (0.0, 0.0)) for c in names}
 
 

@@ -133,23 +133,26 @@ def kth_smallest(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
     max per range: a table of at most SELECT_BUCKETS rows) and keeps the range
     holding the wanted rank; once the range holds at most SELECT_FINAL_ROWS
     rows the answer comes from a bounded top-k. Every round is one scan of one
-    column; nothing unbounded meets in one task or on the driver.
+    column, and ranks in the same range share it; nothing unbounded meets in one task or on the driver.
     """
     vals = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     rows = vals.count()
     out: dict[int, float] = {}
+    counted: dict[tuple, list] = {}            # closed value range -> rows per part of it
     for k in ks:
         if not 0 <= k < rows:
             raise ValueError(f"rank {k} of {rows} rows")
-        rng, below, n_in = vals, 0, rows
+        rng, below, n_in, at = vals, 0, rows, None
         while k not in out:
             if n_in <= SELECT_FINAL_ROWS:
                 out[k] = float(rng.orderBy("_v").offset(k - below).limit(1).collect()[0]["_v"])
                 break
-            cuts = range_cuts(rng, "_v", n_buckets=SELECT_BUCKETS, rows=n_in, per_row=True)
-            hist = (with_range_bucket(rng, "_v", cuts=cuts).groupBy("_bkt")
-                    .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
-                    .orderBy("_bkt").collect())
+            if at not in counted:
+                cuts = range_cuts(rng, "_v", n_buckets=SELECT_BUCKETS, rows=n_in, per_row=True)
+                counted[at] = (with_range_bucket(rng, "_v", cuts=cuts).groupBy("_bkt")
+                               .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"))
+                               .orderBy("_bkt").collect())
+            hist = counted[at]
             for h in hist:
                 if below + h["n"] > k:
                     break
@@ -164,7 +167,7 @@ def kth_smallest(df: DataFrame, col: str, ks: list[int]) -> dict[int, float]:
                     out[k] = float(lo)
                     break
                 lo, below, n = math.nextafter(lo, math.inf), below + n_eq, n - n_eq
-            rng, n_in = vals.where((F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi))), n
+            rng, n_in, at = vals.where((F.col("_v") >= F.lit(lo)) & (F.col("_v") <= F.lit(hi))), n, (lo, hi)
     return out
 
 

@@ -93,7 +93,7 @@ def detect(features: DataFrame, trees: int = L.FOREST_TREES, psi: int = L.FOREST
 
     # 2) sample and grow the trees (bounded groups), collect the bounded node table
     X = table.select("event_id", vector(names, table.schema))
-    nodes = train(sample_trees(X, n, trees, psi, seed), seed, psi_eff, trees=trees).toPandas()
+    nodes = train(sample_trees(X, n, trees, psi, seed, width=len(names)), seed, psi_eff, trees=trees).toPandas()
     forest = Forest(nodes, psi_eff)
 
     # 3) score every row once, written without the features; min and max observed in the same job

@@ -16,28 +16,26 @@ def build_features(flat: DataFrame, semantics: str = C.ERROR_PRESENT,
                    stats: EventStats | None = None) -> DataFrame:
     """Flat 15-column events -> 59 feature columns in the reference order.
 
-    Row-local rules first; then every whole-table lookup in one step
-    (`attach_many`: broadcast where the exact bound allows, the rest through a
-    narrow projection and a single join back on the row id); then the rules
-    that read the looked-up counts.
+    Every whole-table lookup in one step first (`attach_many`: broadcast where the
+    exact bound allows, the rest through a narrow projection and a single join back on
+    the row id, for which the rows go with no more than their own columns); then the
+    row-local rules and those that read the looked-up counts.
     """
     df = FT.spread_narrow_input(FT.with_row_id(flat))
     stats = stats or event_stats(df)
-    df = FT.add_time_features(df)
-    df = FT.add_event_flags(df, semantics)
-    df = FT.add_network_flags(df)
     df = df.withColumns({"_minute": minute_key(), "_hour": hour_key()})
-    gaps, gap_bound, gap_keys = FT.gap_lookup(df, tiebreak=["event_id", FT.ROW_ID],
-                                              rows_bound=stats.timed_rows)
+    gaps, gap_bound, _ = FT.gap_lookup(df, tiebreak=["event_id", FT.ROW_ID], rows_bound=stats.timed_rows)
     specs = [
         (*stats.users(semantics), ["user_name"], ()),
         (*stats.event_names(), ["event_name"], ()),
         (*stats.ips(), ["source_ip"], ()),
         (*stats.minutes(), ["_minute"], ()),
         (*stats.user_hours(), ["_hour", "user_name"], ("_hour",)),
-        (gaps, gap_bound, gap_keys, tuple(gap_keys[1:])),
+        # the first row of each time has the gap: its row id is the key, and so that of the join back
+        (gaps.select(FT.ROW_ID, "_gap"), gap_bound, [FT.ROW_ID], ()),
     ]
     df = attach_many(df, specs, FT.ROW_ID)
+    df = FT.add_network_flags(FT.add_event_flags(FT.add_time_features(df), semantics))
     df = FT.add_lookup_rules(stats.unseen(df))
     df = FT.add_risk(df)
     return df.select(*FEATURE_COLUMNS)
