@@ -8,7 +8,7 @@ left neighbour), each logarithmic in the piece. Pieces without white space
 runs are short, but a piece may be as long as its text, which stays n log n.
 
 Ids of short pieces are kept in caches of bounded size per Python worker, which serve all
-its tasks.
+its tasks until one of another operator frees them.
 
 Defined cases: a null text is empty and has no tokens; special tokens are
 ordinary text; bytes that aren't UTF-8 are read as U+FFFD.
@@ -27,7 +27,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import ID, TEXT, Memo, arrow_map, read, texts_of
+from auditlake.llm.common import _HELD as _CODECS  # noqa: F401  one thing is held at a time
+from auditlake.llm.common import ID, TEXT, Memo, arrow_map, held, read, texts_of
 from auditlake.session import prepare
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -152,15 +153,9 @@ class Codec:
         return self.blob[np.repeat(shift, sizes) + np.arange(sizes.sum())].tobytes()
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def worker_codec(name: str, load: Callable[[], tuple]) -> Codec:
-    """The codec of this Python worker, with the memos of the tasks before; one vocabulary is held at a time."""
-    if name not in _CODECS:
-        _CODECS.clear()
-        _CODECS[name] = Codec(*load())
-    return _CODECS[name]
+    """The codec of this Python worker, with the memos of the tasks before, until a task of another operator."""
+    return held(name, lambda: Codec(*load()))
 
 
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks_path: str | None = None) -> DataFrame:
@@ -178,7 +173,7 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ran
                "decoded": [codec.decode(x) for x in ids]}
 
     rows_in = docs.select(F.col(id_col).cast("long").alias(ID), F.col(text_col).alias(TEXT))
-    return arrow_map(rows_in, rows, f"{ID} long, ids binary, n_tokens long, decoded binary").withColumnRenamed(ID, id_col)
+    return arrow_map(rows_in, rows, f"{ID} long, ids binary, n_tokens long, decoded binary", keeps=True).withColumnRenamed(ID, id_col)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

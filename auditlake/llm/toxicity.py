@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlake.llm.common import Memo, id_remainder, read, sample_texts
+from auditlake.llm.common import Memo, id_remainder, read, release, sample_texts
 from auditlake.session import prepare
 
 LETTERS = re.compile(r"[^\W_]+")
@@ -189,17 +189,23 @@ def score_of(docs: DataFrame, model: tuple[np.ndarray, float], s: Settings = Set
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        values, bias = shared.value
+        yield from score_batches(batches, shared.value, s)
 
-        def value(word: str) -> float:
-            g = grams(word, s)
-            return float(values[g].sum()) / len(g)
+    return score(F.col(text_col))
 
-        memo = Memo(value, MEMO_WORDS)
-        for batch in batches:
-            yield pa.array(scores_of(batch, bias, memo, s.passage), pa.float64())
 
-    return score(F.col(text_col))
+def score_batches(batches: Iterator[pa.Array], model: tuple[np.ndarray, float], s: Settings) -> Iterator[pa.Array]:
+    """Scores of a task's batches of texts."""
+    release()
+    values, bias = model
+
+    def value(word: str) -> float:
+        g = grams(word, s)
+        return float(values[g].sum()) / len(g)
+
+    memo = Memo(value, MEMO_WORDS)
+    for batch in batches:
+        yield pa.array(scores_of(batch, bias, memo, s.passage), pa.float64())
 
 
 def scores_of(batch: pa.Array, bias: float, memo: Memo, passage: int) -> list[float]:
